@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 
+from sluice.session import ship
+
 #: Rows handed to a kernel at once.
 SLICE_ROWS = 512
 
@@ -26,6 +28,7 @@ def map_slices(df: DataFrame, make: Callable[[], Kernel], ddl: str, rows: int =
     into columns by name. State that outlives a slice belongs to the kernel and
     must be bounded. Rows without any output are fine.
     """
+    ship(df.sparkSession)
     schema = schema_of(ddl)
     names = schema.fieldNames()
 

@@ -30,6 +30,19 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
 
 
+def op4_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sluice.llm.near_vectors import near_vectors
+
+    return near_vectors(table(spark, sf_dir, "embeddings"), cosine=0.95)
+
+
+def op9_maxscore_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sluice.llm.topk import search
+
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return search(vectors, vectors.where("vec_id % 50 = 0"), k=5, scale=256)
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
