@@ -12,6 +12,19 @@ from sluice.session import table
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sluice.llm.substring_dedup import dedup_substrings
+
+    return dedup_substrings(table(spark, sf_dir, "documents"))
+
+
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sluice.llm.line_dedup import dedup_lines
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return dedup_lines(docs).select("doc_id", "text", "n_dropped")
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sluice.llm.byte_bpe import round_trip
 
@@ -36,6 +49,12 @@ def op4_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"), cosine=0.95)
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sluice.llm.toxicity import classify
+
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_maxscore_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sluice.llm.topk import search
 
@@ -48,4 +67,6 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from sluice.llm import line_dedup
+
+    return {"op2_line_dedup": line_dedup.oracle()}
