@@ -62,6 +62,12 @@ def op9_maxscore_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(vectors, vectors.where("vec_id % 50 = 0"), k=5, scale=256)
 
 
+def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sluice.llm.html_extract import extract
+
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
