@@ -55,6 +55,12 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sluice.llm.shingle_join import jaccard_groups
+
+    return jaccard_groups(table(spark, sf_dir, "documents"), width=3, percent=90)
+
+
 def op9_maxscore_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sluice.llm.topk import search
 
