@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -46,6 +49,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir, or a private one where that is unset."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return folder or os.path.join(tempfile.gettempdir(), f"sluice-checkpoints-{os.getpid()}")
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a Parquet table in the shared folder, which is smaller than a checkpoint of wide rows.
+
+    The table is deleted when the application ends; copies of it in memory hold no rows.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark).rstrip('/')}/sluice-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    atexit.register(_delete, spark, path)
+    return spark.read.parquet(path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    with contextlib.suppress(Exception):  # the session may be gone
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the folder the cluster names.
 
@@ -55,8 +82,5 @@ def checkpointed(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            folder = os.path.join(tempfile.gettempdir(), f"sluice-checkpoints-{os.getpid()}")
-        sc.setCheckpointDir(folder)
+        sc.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)
