@@ -42,12 +42,14 @@ def boilerplate(docs: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGE
     )
 
 
-def dedup_lines(docs: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES, min_count: int = MIN_COUNT, site: str = "source", text_column: str = "text", id_column: str = "doc_id", dropped: str | None = "n_dropped", length_column: str | None = "n_chars") -> DataFrame:
+def dedup_lines(docs: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES, min_count: int = MIN_COUNT, site: str = "source", text_column: str = "text", id_column: str = "doc_id", dropped: str | None = "n_dropped", length_column: str | None = "n_chars", spare_copies: bool = False) -> DataFrame:
     """The documents with boilerplate lines taken out of their texts; all rows and columns stay.
 
     ``dropped`` names a column with the number of lines taken out, None adds
     none; a length column, if there is one, counts the code points left where a
-    line was taken out. Null texts stay null and empty ones empty; repeated rows
+    line was taken out. With ``spare_copies`` a page that would lose all it says
+    stays as it is: it is a copy of a page, and which of those stay is for a
+    near-duplicate stage to say. Null texts stay null and empty ones empty; repeated rows
     stay and count as pages; an empty table stays empty.
     """
     lines = checkpointed(boilerplate(docs, ratio, min_pages, min_count, site, text_column))
@@ -69,6 +71,8 @@ def dedup_lines(docs: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGE
     split = F.split(F.col(text_column), "\n", -1)
     kept = F.filter(split, lambda x: ~F.array_contains(F.col("_hashes"), _hash(x)))
     hit = F.col("_hashes").isNotNull() & (F.size(kept) < F.size(split))
+    if spare_copies:
+        hit &= F.exists(kept, lambda x: F.trim(x) != "")
     hit = F.coalesce(hit, F.lit(False))
     cleaned = F.when(hit, F.array_join(kept, "\n")).otherwise(F.col(text_column))
     out = []
