@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from sluice.session import checkpointed
 
 
 def first_by_key(df: DataFrame, key: str, order: str) -> DataFrame:
@@ -13,3 +16,95 @@ def first_by_key(df: DataFrame, key: str, order: str) -> DataFrame:
     holds a third of all rows sends one row per task. Null keys form one group.
     """
     return df.groupBy(key).agg(F.min(order).alias(order))
+
+
+def first_rows(df: DataFrame, key: str, order: str) -> DataFrame:
+    """The whole first row of each key, by an aggregate of structs."""
+    rest = [c for c in df.columns if c not in (key, order)]
+    row = F.min_by(F.struct(*rest), F.col(order)) if rest else F.lit(None)
+    out = df.groupBy(key).agg(F.min(order).alias(order), row.alias("_row"))
+    return out.select(*(F.col(f"_row.{c}").alias(c) if c in rest else F.col(c) for c in df.columns))
+
+
+def ordered_union_distinct(frames: list[DataFrame], key: str, order: str = "pos") -> DataFrame:
+    """The frames one after the other, and of each key only the first row: by frame, then by the order within it."""
+    tagged = [f.withColumn("_frame", F.lit(i)) for i, f in enumerate(frames)]
+    union = tagged[0]
+    for f in tagged[1:]:
+        union = union.unionByName(f, allowMissingColumns=True)
+    union = union.withColumn("_place", F.struct("_frame", order))
+    return first_rows(union, key, "_place").drop("_place", "_frame")
+
+
+def hamming_pairs(df: DataFrame, threshold: int, id_column: str = "id", hash_column: str = "h", bits: int = 64) -> DataFrame:
+    """(a, b, distance) of every pair a < b within a threshold, exactly.
+
+    A pair within t bits agrees on one of t + 1 bands at least, so the pairs are
+    an equi-join on bands; with bands of under a few bits that joins nearly all
+    rows with all, as any exact method would. Equal hashes should be collapsed
+    first, as ``near_dup_greedy`` does.
+    """
+    bands = threshold + 1
+    cuts = [bits * k // bands for k in range(bands + 1)]
+    base = df.where(F.col(hash_column).isNotNull()).select(F.col(id_column).alias("id"), F.col(hash_column).cast("long").alias("h"))
+    parts = [
+        F.struct(F.lit(k).alias("band"), F.shiftrightunsigned("h", lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1 if hi - lo < 64 else -1)).alias("bits"))
+        for k, (lo, hi) in enumerate(zip(cuts, cuts[1:]))
+        if hi > lo
+    ]
+    banded = base.select("id", "h", F.inline(F.array(*parts)))
+    left = banded.select(F.col("id").alias("a"), F.col("h").alias("ha"), "band", "bits")
+    right = banded.select(F.col("id").alias("b"), F.col("h").alias("hb"), "band", "bits")
+    distance = F.bit_count(F.col("ha").bitwiseXOR(F.col("hb")))
+    return (
+        left.join(right, ["band", "bits"])
+        .where((F.col("a") < F.col("b")) & (distance <= threshold))
+        .select("a", "b", distance.cast("int").alias("distance"))
+        .distinct()
+    )
+
+
+def near_dup_greedy(df: DataFrame, threshold: int = 8, id_column: str = "id", hash_column: str = "h", bits: int = 64) -> DataFrame:
+    """(id, fate): in order of id, a row is kept iff no kept row before it is within the threshold.
+
+    fate is 'kept', 'duplicate' or, without a hash, 'null_hash'. A threshold of
+    0 or None means 8. The result is the lexicographically first maximal
+    independent set of the graph of near pairs. Equal hashes are collapsed to
+    their first row, which decides for all of them. Each round keeps every row
+    all of whose earlier neighbours are gone and drops the later neighbours of
+    kept rows; rounds are bounded by the longest chain of decisions, lineage is
+    cut by a checkpoint in each.
+    """
+    threshold = threshold or 8
+    base = df.select(F.col(id_column).alias("id"), F.col(hash_column).cast("long").alias("h"))
+    firsts = first_by_key(base.where("h is not null"), "h", "id")
+    edges = checkpointed(hamming_pairs(firsts, threshold, bits=bits).select("a", "b"))
+    decided = None
+    while edges.limit(1).count():
+        later = edges.select(F.col("b").alias("id")).distinct()
+        # rows with only later neighbours are kept, and those neighbours dropped
+        heads = edges.select(F.col("a").alias("id")).distinct().join(later, "id", "left_anti")
+        gone = edges.join(heads.select(F.col("id").alias("a")), "a").select(F.col("b").alias("id")).distinct()
+        gone = checkpointed(gone)
+        decided = gone if decided is None else decided.union(gone)
+        edges = checkpointed(
+            edges.join(gone.select(F.col("id").alias("a")), "a", "left_anti")
+            .join(gone.select(F.col("id").alias("b")), "b", "left_anti")
+            .join(heads.select(F.col("id").alias("a")), "a", "left_anti")
+            .select("a", "b")
+        )
+    kept = firsts.select("id") if decided is None else firsts.select("id").join(decided, "id", "left_anti")
+    marked = base.join(kept.withColumn("in", F.lit(True)), "id", "left")
+    fate = F.when(F.col("h").isNull(), "null_hash").when(F.col("in"), "kept").otherwise("duplicate")
+    return marked.select("id", fate.alias("fate"))
+
+
+def content_key(df: DataFrame, content: str, algorithm: str = "md5") -> DataFrame:
+    """A digest of the content in ``digest``: md5, or sha with its bits (sha256)."""
+    value = F.md5(content) if algorithm == "md5" else F.sha2(content, int(algorithm.removeprefix("sha")))
+    return df.withColumn("digest", value)
+
+
+def numbered_firsts(df: DataFrame, key: str, order: str) -> DataFrame:
+    """Every row with its number among those of its key, from 1, in ``occurrence``."""
+    return df.withColumn("occurrence", F.row_number().over(Window.partitionBy(key).orderBy(order)))

@@ -2,66 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from sluice.operators.dedup import first_by_key
-from sluice.session import table
-
-Query = Callable[[SparkSession, str], DataFrame]
-_QUERIES: dict[str, Query] = {}
-_SQL: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None):
-    def add(f: Query) -> Query:
-        _QUERIES[name] = f
-        if sql:
-            _SQL[name] = sql
-        return f
-
-    return add
+from sluice.plans import curation, extensions, planning, scalars, sequences  # noqa: F401  they register their queries
+from sluice.plans.registry import QUERIES, SQL, Query
 
 
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
-
-
-CLEAN_MIN_CHARS = 200
-
-
-@query(
-    "clean_pipeline",
-    f"""
-    with d as (
-      select doc_id, n_chars, quality, min(doc_id) over (partition by md5(text)) as first_id
-      from documents left join labels using (doc_id)),
-    f as (
-      select case when n_chars < {CLEAN_MIN_CHARS} then 'low_res' when quality = 0 then 'invalid'
-             when doc_id <> first_id then 'duplicate' else 'kept' end as fate from d)
-    select fate, count(*) as n from f group by fate""",
-)
-def clean_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
-    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
-    firsts = first_by_key(docs.select("doc_id", F.md5("text").alias("digest")), "digest", "doc_id")
-    return (
-        docs.select("doc_id", "n_chars", F.md5("text").alias("digest"))
-        .join(firsts.withColumnRenamed("doc_id", "first_id"), "digest")
-        .join(labels, "doc_id", "left")
-        .select(
-            F.when(F.col("n_chars") < CLEAN_MIN_CHARS, "low_res")
-            .when(F.col("quality") == 0, "invalid")
-            .when(F.col("doc_id") != F.col("first_id"), "duplicate")
-            .otherwise("kept")
-            .alias("fate")
-        )
-        .groupBy("fate")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    return dict(SQL)
