@@ -29,6 +29,7 @@ from __future__ import annotations
 import heapq
 import math
 from bisect import bisect_left
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,12 +38,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sluice.llm.batches import Kernel, map_slices
+from sluice.llm.batches import SLICE_ROWS, Kernel, map_slices
 from sluice.llm.components import components
-from sluice.session import checkpointed
+from sluice.session import checkpointed, ship
 
 #: Lists of more entries are long if more than UNRELATED of these are unrelated documents.
 LONG_LIST, UNRELATED = 64, 0.3
+#: Common prefix elements asked for where sets are small: what short texts share by chance is no link.
+FEW = 32
 #: Shingles in a block of a cluster.
 BLOCK_SHINGLES = 500_000
 #: Words a task keeps hashed before it starts afresh; bounds memory, not results.
@@ -51,38 +54,83 @@ MAX_WORDS = 400_000
 BROADCAST_IDS = 500_000
 #: DivideSkip's weight of a probe against a step of the heap.
 PROBE = 0.01
+#: Hash buckets of words whose frequencies are known to all.
+BUCKETS = 1 << 16
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
-class Shingler:
-    """Sets of hashed word shingles: words are runs of other than ASCII white space, A-Z in lower case."""
+def words_of(text: str | None) -> list[bytes]:
+    """Runs of other than ASCII white space, A-Z in lower case."""
+    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+
+
+class WordHashes:
+    """64-bit hashes of words, those met lately kept."""
 
-    def __init__(self, width: int):
-        self.width = width
+    def __init__(self) -> None:
         self.known: dict[bytes, int] = {}
 
-    def __call__(self, text: str | None) -> np.ndarray:
-        words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-        if not words:
-            return np.zeros(0, np.uint64)
+    def __call__(self, words: list[bytes]) -> np.ndarray:
         known = self.known
         try:
-            hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+            return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
         except KeyError:
             if len(known) > MAX_WORDS:
                 known.clear()
             for w in words:
                 if w not in known:
                     known[w] = xxhash.xxh3_64_intdigest(w)
-            hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+            return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+
+
+def word_frequencies(docs: DataFrame, text_column: str) -> np.ndarray:
+    """The binary logarithm of how often the words of each of BUCKETS hash buckets occur in all documents: a table of fixed size."""
+    ship(docs.sparkSession)
+
+    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, counts = WordHashes(), np.zeros(BUCKETS, np.int64)
+        for batch in source:
+            for start in range(0, batch.num_rows, SLICE_ROWS):
+                texts = batch.column(0).slice(start, SLICE_ROWS).to_pylist()
+                found = np.concatenate([hashes(words_of(t)) for t in texts]) & np.uint64(BUCKETS - 1)
+                counts += np.bincount(found.astype(np.int64), minlength=BUCKETS)
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_pydict({"bucket": pa.array(at), "n": pa.array(counts[at])})
+
+    rows = docs.select(text_column).mapInArrow(run, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
+    table = np.zeros(BUCKETS)
+    for r in rows:
+        table[r["bucket"]] = math.log2(r["n"] + 1)
+    return table
+
+
+class Shingler:
+    """Sets of word shingles as 64-bit numbers in the order in which they are indexed.
+
+    The upper bits are the shingle's commonness, from the frequencies of its
+    words, the others its hash: what texts share by chance comes last.
+    """
+
+    def __init__(self, width: int, frequencies: np.ndarray):
+        self.width, self.frequencies = width, frequencies
+        self.hashes = WordHashes()
+
+    def __call__(self, text: str | None) -> np.ndarray:
+        words = words_of(text)
+        if not words:
+            return np.zeros(0, np.uint64)
+        hashes = self.hashes(words)
+        common = self.frequencies[(hashes & np.uint64(BUCKETS - 1)).astype(np.int64)]
         width = min(self.width, len(words))
         n = len(words) - width + 1
-        mixed = np.full(n, width, np.uint64)
+        mixed, rank = np.full(n, width, np.uint64), np.zeros(n)
         for k in range(width):
             mixed = (mixed ^ hashes[k : k + n]) * _MULTIPLIER
             mixed ^= mixed >> np.uint64(29)
-        return np.unique(mixed)
+            rank += common[k : k + n]
+        level = np.minimum(rank * (2.0 / width), 63).astype(np.uint64)
+        return np.unique(level << np.uint64(57) | mixed >> np.uint64(7))
 
 
 def overlap(size: int, percent: int) -> int:
@@ -91,8 +139,9 @@ def overlap(size: int, percent: int) -> int:
 
 
 def extra(size: int, percent: int) -> int:
-    """How many common elements the extended prefix of a set of this size is to hold."""
-    return (size - overlap(size, percent)) // 2 + 1
+    """How many common elements the extended prefix of a set of this size is to hold: half as many as it may miss, but FEW at least."""
+    least = overlap(size, percent)
+    return max((size - least) // 2 + 1, min(least, FEW))
 
 
 def prefix_length(size: int, percent: int) -> int:
@@ -104,12 +153,12 @@ def needed(size: int, percent: int) -> int:
     return extra(overlap(size, percent), percent)
 
 
-def sets(docs: DataFrame, width: int, percent: int, id_column: str, text_column: str) -> DataFrame:
+def sets(docs: DataFrame, width: int, percent: int, frequencies: np.ndarray, id_column: str, text_column: str) -> DataFrame:
     """(id, n_shingles, signature, other, prefix): of every whole text its set's size, 128-bit digest,
     least element in another order, and extended prefix."""
 
     def make() -> Kernel:
-        shingler = Shingler(width)
+        shingler = Shingler(width, frequencies)
 
         def kernel(batch: pa.RecordBatch) -> dict:
             found = [shingler(t) for t in batch.column(text_column).to_pylist()]
@@ -150,7 +199,8 @@ def clusters(reps: DataFrame, percent: int) -> DataFrame:
     )
     entries = entries.join(long, "shingle", "left").withColumn("long", F.coalesce("long", F.lit(False)))
     partner = F.ceil(F.col("n_shingles") * percent / 100)
-    need = F.floor((partner - F.ceil(partner * percent / 100)) / 2) + 1
+    least = F.ceil(partner * percent / 100)
+    need = F.greatest(F.floor((partner - least) / 2) + 1, F.least(least, F.lit(FEW)))
     counts = (
         entries.groupBy("id")
         .agg(F.count(F.lit(1)).alias("held"), F.count_if("long").alias("longs"))
@@ -269,7 +319,9 @@ def jaccard_groups(docs: DataFrame, width: int = 5, percent: int = 80, id_column
     have none and link with nothing. Rows with one id are compared as separate
     texts and share a component if they link; rows with a null id are dropped.
     """
-    found = checkpointed(sets(docs.where(F.col(id_column).isNotNull()), width, percent, id_column, text_column))
+    docs = docs.where(F.col(id_column).isNotNull())
+    frequencies = word_frequencies(docs, text_column)
+    found = checkpointed(sets(docs, width, percent, frequencies, id_column, text_column))
     first = found.where("n_shingles > 0").groupBy("signature", "n_shingles").agg(F.min("id").alias("rep"))
     members = found.select("id", "n_shingles", "signature").join(first, ["signature", "n_shingles"], "left").select("id", "n_shingles", "rep")
     reps = found.join(first.select(F.col("rep").alias("id"), "signature"), ["id", "signature"], "left_semi").dropDuplicates(["id", "signature"])
@@ -282,7 +334,7 @@ def jaccard_groups(docs: DataFrame, width: int = 5, percent: int = 80, id_column
     texts = docs.select(F.col(id_column).alias("_id"), F.col(text_column).alias("_text")).join(placed, "_id")
 
     def make() -> Kernel:
-        shingler = Shingler(width)
+        shingler = Shingler(width, frequencies)
 
         def kernel(batch: pa.RecordBatch) -> dict:
             out = {n: batch.column(n) for n in ("_id", "cluster", "parts")}
