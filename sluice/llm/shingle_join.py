@@ -49,7 +49,7 @@ FEW = 32
 #: Shingles in a block of a cluster.
 BLOCK_SHINGLES = 500_000
 #: Words a task keeps hashed before it starts afresh; bounds memory, not results.
-MAX_WORDS = 400_000
+MAX_WORDS = 200_000
 #: Ids of documents in clusters that are sent to every task; more are joined.
 BROADCAST_IDS = 500_000
 #: DivideSkip's weight of a probe against a step of the heap.

@@ -35,10 +35,10 @@ DECAY, SPAN = 0.75, 5
 WINDOW = 24
 LANDMARKS = 256
 #: At most so many labelled documents are used to fit the machine.
-SAMPLE_DOCS = 4_000
+SAMPLE_DOCS = 3_000
 THRESHOLD = 0.7
 #: Words whose scores a task keeps before it starts afresh; bounds memory, not results.
-MAX_WORDS = 400_000
+MAX_WORDS = 150_000
 
 #: Signs that stand for letters.
 LOOKALIKES = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i", "|": "l"})
@@ -138,14 +138,19 @@ def _kernel(words: list[str], landmarks: list[str]) -> tuple[np.ndarray, tuple]:
     return out, (present, table)
 
 
-def _hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3, rounds: int = 6) -> np.ndarray:
-    """Squared hinge loss with a ridge, by Newton's method; the last coefficient is the bias."""
+def _hinge(x: np.ndarray, rows: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3, rounds: int = 6) -> np.ndarray:
+    """Squared hinge loss with a ridge over some rows of x, by Newton's method in blocks; the last coefficient is the bias."""
     v = np.zeros(x.shape[1])
     for _ in range(rounds):
-        slack = 1 - y * (x @ v.astype(x.dtype))
-        on = slack > 0
-        part = x[on] * weight[on, None]
-        step = np.linalg.solve((x[on].T @ part).astype(float) + ridge * np.eye(len(v)), (part.T @ y[on]).astype(float))
+        square, side = ridge * np.eye(len(v)), np.zeros(len(v))
+        for start in range(0, len(rows), 4096):
+            cut = slice(start, start + 4096)
+            part = x[rows[cut]]
+            on = 1 - y[cut] * (part @ v.astype(part.dtype)) > 0
+            part, weighted = part[on], part[on] * weight[cut][on, None]
+            square += part.T @ weighted
+            side += weighted.T @ y[cut][on]
+        step = np.linalg.solve(square, side)
         if np.abs(step - v).max() < 1e-3:
             return step
         v = step
@@ -188,6 +193,7 @@ def fit_machine(docs: list[list[str]], labels: np.ndarray, rounds: int = 3, witn
     x = np.concatenate([values @ whiten.astype(np.float32), np.ones((len(vocabulary), 1), np.float32)], 1)
     masked = _kernel([w[:WINDOW] for _, w in disguised], [w[:WINDOW] for w in landmarks])[0] @ whiten.astype(np.float32)
     masked = np.concatenate([masked, np.ones((len(disguised), 1), np.float32)], 1)
+    x = np.concatenate([x, masked])
     index = {w: i for i, w in enumerate(vocabulary)}
     negative = n[:, 0] / clean
     v = np.zeros(x.shape[1])
@@ -197,12 +203,12 @@ def fit_machine(docs: list[list[str]], labels: np.ndarray, rounds: int = 3, witn
             break
         keep_p, keep_n = positive > 0, negative > 0
         extra = positive[parents] * share[parents]
-        rows = np.concatenate([x[keep_p], masked, x[keep_n]])
+        rows = np.concatenate([np.flatnonzero(keep_p), len(vocabulary) + np.arange(len(masked)), np.flatnonzero(keep_n)])
         y = np.concatenate([np.ones(keep_p.sum() + len(extra), np.float32), -np.ones(keep_n.sum(), np.float32)])
         weight = np.concatenate([positive[keep_p] / positive.sum(), extra / positive.sum(), 4 * negative[keep_n] / negative.sum()]) * len(y) / 100
         weight = weight.astype(np.float32)
-        v = _hinge(rows, y, weight)
-        margin = x @ v
+        v = _hinge(x, rows, y, weight)
+        margin = x[: len(vocabulary)] @ v.astype(x.dtype)
         positive = np.zeros(len(vocabulary))
         for bag in bags:
             if len(bag):
@@ -311,7 +317,7 @@ def score(df: DataFrame, model: Model, id_column: str = "doc_id", text_column: s
 
     kinds = dict(df.dtypes)
     ddl = ", ".join([*(f"`{n}` {kinds[n]}" for n in names), "score double"])
-    return map_slices(df.select(*dict.fromkeys([*names, text_column])), make, ddl)
+    return map_slices(df.select(*dict.fromkeys([*names, text_column])), make, ddl, 128)
 
 
 def held_out(id_column: str = "doc_id"):
