@@ -250,7 +250,9 @@ def fit(sample: list[tuple[str, int]]) -> Model:
     """From labelled texts. Without both labels nothing is toxic: every score is 0."""
     labels = np.array([y for _, y in sample], int)
     docs = [sorted({f for c in words_of(t or "") if (f := fold(c))}) for t, _ in sample]
-    half = np.arange(len(docs)) % 2
+    half = np.zeros(len(docs), int)
+    for y in (0, 1):
+        half[labels == y] = np.arange((labels == y).sum()) % 2
     features = np.zeros((len(docs), 5))
     for k in (0, 1):
         other = fit_machine([d for d, h in zip(docs, half) if h != k], labels[half != k])
