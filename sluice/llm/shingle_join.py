@@ -54,6 +54,8 @@ MAX_WORDS = 200_000
 BROADCAST_IDS = 500_000
 #: DivideSkip's weight of a probe against a step of the heap.
 PROBE = 0.01
+#: Short lists of more entries than this together are merged by counting.
+HEAP_ENTRIES = 3_000
 #: Hash buckets of words whose frequencies are known to all.
 BUCKETS = 1 << 16
 
@@ -223,91 +225,86 @@ class Cell:
 
     def __init__(self, found: list[np.ndarray], percent: int):
         self.sets, self.percent = found, percent
-        sizes = np.array([len(s) for s in found])
+        self.sizes = np.array([len(s) for s in found], np.int64)
         flat = np.concatenate(found)
-        owner = np.repeat(np.arange(len(found)), sizes)
         order = np.argsort(flat, kind="stable")
-        flat, owner = flat[order], owner[order]
+        flat, self.owner = flat[order], np.repeat(np.arange(len(found)), self.sizes)[order]
         starts = np.flatnonzero(np.r_[True, flat[1:] != flat[:-1]])
-        lengths = np.diff(np.r_[starts, len(flat)])
-        several = lengths > 1
-        lists = owner.tolist()
-        self.lists = {
-            int(s): lists[a : a + n] for s, a, n in zip(flat[starts[several]].tolist(), starts[several].tolist(), lengths[several].tolist())
-        }
-
-    def linked(self, x: int, y: int, common: int) -> bool:
-        union = len(self.sets[x]) + len(self.sets[y]) - common
-        return 100 * common >= self.percent * union
-
-    def partners(self, x: int, skip) -> list[int]:
-        """The documents linked with x, leaving out those that ``skip`` names, by DivideSkip."""
-        lists = [p for s in self.sets[x].tolist() if (p := self.lists.get(s)) is not None]
-        least = overlap(len(self.sets[x]), self.percent)
-        if len(lists) < least:
-            return []
-        lists.sort(key=len)
-        several = min(least - 1, int(least / (PROBE * math.log2(1 + len(lists[-1])) + 1)))
-        short, long = lists[: len(lists) - several], lists[len(lists) - several :]
-        enough = least - several
-        out = []
-        heap = [(p[0], k, 0) for k, p in enumerate(short)]
+        self.keys, self.starts, self.lengths = flat[starts], starts, np.diff(np.r_[starts, len(flat)])
+
+    def merged(self, lists: list[np.ndarray], enough: int) -> tuple[np.ndarray, np.ndarray]:
+        """The documents on at least so many lists, ascending, and on how many: on a heap, or by counting where the lists are dense."""
+        if sum(map(len, lists)) > HEAP_ENTRIES:
+            counts = np.bincount(np.concatenate(lists), minlength=len(self.sets))
+            found = np.flatnonzero(counts >= enough)
+            return found, counts[found]
+        rows = [p.tolist() for p in lists]
+        heap = [(p[0], k, 0) for k, p in enumerate(rows)]
         heapq.heapify(heap)
+        found, counts = [], []
         while len(heap) >= enough:
-            y = heap[0][0]
-            taken = []
+            y, taken = heap[0][0], []
             while heap and heap[0][0] == y:
                 taken.append(heapq.heappop(heap))
             if len(taken) >= enough:
-                if y != x and not skip(y):
-                    common = len(taken)
-                    for k, p in enumerate(long):
-                        at = bisect_left(p, y)
-                        common += at < len(p) and p[at] == y
-                        if common + len(long) - k - 1 < least:
-                            break
-                    if common >= least and self.linked(x, y, common):
-                        out.append(y)
+                found.append(y)
+                counts.append(len(taken))
                 ahead = y + 1
             else:
-                # fewer lists than it takes are here: none before the next document of the rest can have enough
+                # fewer lists than it takes are here: none before the next document of the rest can be on enough
                 while heap and len(taken) < enough - 1:
                     taken.append(heapq.heappop(heap))
-                ahead = heap[0][0] if heap else None
-            if ahead is None:
-                break
+                if not heap:
+                    break
+                ahead = heap[0][0]
             for _, k, at in taken:
-                at = bisect_left(short[k], ahead, at)
-                if at < len(short[k]):
-                    heapq.heappush(heap, (short[k][at], k, at))
-        return out
+                at = bisect_left(rows[k], ahead, at)
+                if at < len(rows[k]):
+                    heapq.heappush(heap, (rows[k][at], k, at))
+        return np.array(found, np.int64), np.array(counts, np.int64)
+
+    def partners(self, x: int, skip: np.ndarray) -> np.ndarray:
+        """The documents linked with x, leaving out those that ``skip`` marks, by DivideSkip."""
+        at = np.searchsorted(self.keys, self.sets[x])
+        lengths = self.lengths[at]
+        at, lengths = at[lengths > 1], lengths[lengths > 1]
+        least = overlap(len(self.sets[x]), self.percent)
+        if len(at) < least:
+            return np.zeros(0, np.int64)
+        order = np.argsort(lengths, kind="stable")
+        at, lengths = at[order], lengths[order]
+        lists = [self.owner[a : a + n] for a, n in zip(self.starts[at].tolist(), lengths.tolist())]
+        several = min(least - 1, int(least / (PROBE * math.log2(1 + int(lengths[-1])) + 1)))
+        short, long = lists[: len(lists) - several], lists[len(lists) - several :]
+        found, common = self.merged(short, least - several)
+        fine = ~skip[found] & (found != x)
+        found, common = found[fine], common[fine]
+        for k, p in enumerate(long):
+            if not len(found):
+                break
+            place = np.searchsorted(p, found)
+            common = common + (p[np.minimum(place, len(p) - 1)] == found)
+            fine = common + (len(long) - k - 1) >= least
+            if not fine.all():
+                found, common = found[fine], common[fine]
+        union = len(self.sets[x]) + self.sizes[found] - common
+        return found[(common >= least) & (100 * common >= self.percent * union)]
 
     def groups(self) -> list[int]:
-        """Of each document the first of its group."""
-        n = len(self.sets)
-        parent, size = list(range(n)), [1] * n
-
-        def find(v: int) -> int:
-            while parent[v] != v:
-                parent[v] = parent[parent[v]]
-                v = parent[v]
-            return v
-
+        """Of each document the first of its group. Documents of the largest group so far need no query of their own."""
+        group, size = np.arange(len(self.sets)), np.ones(len(self.sets), np.int64)
         largest = 0
-        for x in range(n):
-            root = find(x)
-            if x and root == find(largest):
+        for x in range(len(self.sets)):
+            if x and group[x] == group[largest]:
                 continue
-            for y in self.partners(x, lambda v: find(v) == root):
-                a, b = find(x), find(y)
-                if a != b:
-                    a, b = min(a, b), max(a, b)
-                    parent[b] = a
-                    size[a] += size[b]
-                    root = a
-            if size[find(x)] > size[find(largest)]:
-                largest = find(x)
-        return [find(v) for v in range(n)]
+            for y in self.partners(x, group == group[x]).tolist():
+                low, high = sorted((int(group[x]), int(group[y])))
+                if low != high:
+                    group[group == high] = low
+                    size[low] += size[high]
+            if size[group[x]] > size[group[largest]]:
+                largest = x
+        return group.tolist()
 
 
 def jaccard_groups(docs: DataFrame, width: int = 5, percent: int = 80, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

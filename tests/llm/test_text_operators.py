@@ -200,14 +200,15 @@ def test_shingle_join(spark, width, percent, monkeypatch):
     assert shingle_join.jaccard_groups(df.limit(0), width, percent).count() == 0
 
 
-def test_divide_skip_finds_what_brute_force_finds():
+def test_divide_skip_finds_what_brute_force_finds(monkeypatch):
     rnd = np.random.default_rng(0)
     base = rnd.integers(0, 500, 80).astype(np.uint64)
     sets = [np.unique(np.concatenate([base[rnd.random(80) < 0.97], rnd.integers(500, 2000, rnd.integers(0, 6)).astype(np.uint64)])) for _ in range(40)]
     cell = shingle_join.Cell(sets, 85)
-    for x in range(40):
+    for x, most in ((x, most) for x in range(40) for most in (0, 10_000)):  # counting, and the heap
+        monkeypatch.setattr(shingle_join, "HEAP_ENTRIES", most)
         expected = [y for y in range(40) if y != x and 100 * len(np.intersect1d(sets[x], sets[y])) >= 85 * len(np.union1d(sets[x], sets[y]))]
-        assert sorted(cell.partners(x, lambda v: False)) == expected
+        assert cell.partners(x, np.zeros(40, bool)).tolist() == expected
 
 
 def test_toxicity(spark, odd):
