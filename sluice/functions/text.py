@@ -110,6 +110,11 @@ def first_filled(*columns: Column | str) -> Column:
     return F.coalesce(*(F.nullif(_col(c), F.lit("")) for c in columns))
 
 
+def video_url(url: Column | str, video: Column | str, prefix: str) -> Column:
+    """A video's own address, or else its site's with its id; null without both."""
+    return F.coalesce(F.nullif(_col(url), F.lit("")), F.concat(F.lit(prefix), F.nullif(_col(video), F.lit(""))))
+
+
 def truncated(c: Column | str, most: int) -> Column:
     """At most so many characters; null if empty."""
     return F.nullif(F.left(_col(c), F.lit(most)), F.lit(""))

@@ -29,6 +29,7 @@ def value(spark, column, **cells):
         (lambda: T.photo_url(F.lit("1"), F.lit("2"), F.lit("3")), "https://live.staticflickr.com/1/2_3_b.jpg"),
         (lambda: T.photo_url(F.lit(""), F.lit("2"), F.lit("3")), None),
         (lambda: T.first_filled(F.lit(""), F.lit("b")), "b"),
+        (lambda: T.video_url(F.lit(""), F.lit("x1"), "https://v/"), "https://v/x1"),
         (lambda: T.truncated(F.lit(""), 5), None),
         (lambda: T.truncated(F.lit("abcdef"), 5), "abcde"),
         (lambda: T.output_name(F.lit("/r/dir/x.png")), "dir_x.png"),
