@@ -127,8 +127,8 @@ def _kernel(words: list[str], landmarks: list[str]) -> tuple[np.ndarray, tuple]:
     index = np.full(_CODES, -1, np.int32)
     index[present] = np.arange(len(present))
     out = np.zeros((len(words), len(landmarks)), np.float32)
-    for start in range(0, len(words), 2000):
-        part = words[start : start + 2000]
+    for start in range(0, len(words), 500):
+        part = words[start : start + 500]
         word, found, value = triples(part)
         hit = index[found] >= 0
         word, found, value = word[hit], index[found[hit]], value[hit]
@@ -190,10 +190,11 @@ def fit_machine(docs: list[list[str]], labels: np.ndarray, rounds: int = 3, witn
     spectrum, basis = np.linalg.eigh((own + own.T) / 2)
     sound = spectrum > 1e-4 * spectrum[-1]
     whiten = basis[:, sound] / np.sqrt(spectrum[sound])
-    x = np.concatenate([values @ whiten.astype(np.float32), np.ones((len(vocabulary), 1), np.float32)], 1)
-    masked = _kernel([w[:WINDOW] for _, w in disguised], [w[:WINDOW] for w in landmarks])[0] @ whiten.astype(np.float32)
-    masked = np.concatenate([masked, np.ones((len(disguised), 1), np.float32)], 1)
-    x = np.concatenate([x, masked])
+    masked = _kernel([w[:WINDOW] for _, w in disguised], [w[:WINDOW] for w in landmarks])[0]
+    x = np.ones((len(vocabulary) + len(disguised), int(sound.sum()) + 1), np.float32)
+    x[: len(vocabulary), :-1] = values @ whiten.astype(np.float32)
+    x[len(vocabulary) :, :-1] = masked @ whiten.astype(np.float32)
+    del values
     index = {w: i for i, w in enumerate(vocabulary)}
     negative = n[:, 0] / clean
     v = np.zeros(x.shape[1])
