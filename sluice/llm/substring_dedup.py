@@ -26,26 +26,43 @@ RUN, WORDS, LONG = 2, 20, 24
 HOT, SALTS = 10_000, 64
 BROADCAST_HASHES = 100_000
 
-_SENTENCE = re.compile(r"[^\n]*?[.!?…][\"'”’)\]]*(?=\s|$)|[^\n]+")
+_END = re.compile(r"[.!?…][\"'”’)\]]*(?=\s|$)|\n")
 _WORD = re.compile(r"\S+")
 
 
-def sentences(text: str) -> list[tuple[int, int, int]]:
-    """(start, end, words) of every sentence, in code points, without white space around."""
-    out = []
-    for m in _SENTENCE.finditer(text):
-        words = [(w.start(), w.end()) for w in _WORD.finditer(text, m.start(), m.end())]
-        for at in range(0, len(words), LONG):
-            part = words[at : at + LONG]
-            out.append((part[0][0], part[-1][1], len(part)))
+def sentences(text: str) -> list[list[str]]:
+    """The words of every sentence."""
+    out, at = [], 0
+    for m in _END.finditer(text):
+        words = text[at : m.end()].split()
+        at = m.end()
+        if len(words) <= LONG:
+            if words:
+                out.append(words)
+        else:
+            out += [words[i : i + LONG] for i in range(0, len(words), LONG)]
+    words = text[at:].split()
+    return out + [words[i : i + LONG] for i in range(0, len(words), LONG)]
+
+
+def stretches_of(text: str, units: list[list[str]], gone: list[bool]) -> list[tuple[int, int]]:
+    """(start, end) in code points of every run of sentences that go, without white space around."""
+    out: list[tuple[int, int]] = []
+    words = _WORD.finditer(text)
+    joined = False
+    for unit, away in zip(units, gone):
+        own = [next(words) for _ in unit]
+        if away:
+            out.append((out.pop()[0] if joined else own[0].start(), own[-1].end()))
+        joined = away
     return out
 
 
-def spans(units: list[tuple[int, int, int]], run: int = RUN, words: int = WORDS) -> list[tuple[int, int]]:
+def spans(units: list[list[str]], run: int = RUN, words: int = WORDS) -> list[tuple[int, int]]:
     """(first, last) of every span of sentences, each once."""
     total = [0]
-    for _, _, n in units:
-        total.append(total[-1] + n)
+    for unit in units:
+        total.append(total[-1] + len(unit))
     found = set()
     n = len(units)
     last = 0
@@ -67,9 +84,9 @@ def spans(units: list[tuple[int, int, int]], run: int = RUN, words: int = WORDS)
     return sorted(found)
 
 
-def span_hash(text: str, units: list[tuple[int, int, int]], first: int, last: int) -> int:
+def span_hash(said: list[str], first: int, last: int) -> int:
     """64 bits of the words of a span, whatever the white space between them."""
-    return xxhash.xxh3_64_intdigest(" ".join(text[units[first][0] : units[last][1]].split())) - (1 << 63)
+    return xxhash.xxh3_64_intdigest(" ".join(said[first : last + 1])) - (1 << 63)
 
 
 def _spans(docs: DataFrame, run: int, words: int, id_column: str, text_column: str) -> DataFrame:
@@ -80,9 +97,12 @@ def _spans(docs: DataFrame, run: int, words: int, id_column: str, text_column: s
             rows: list[list[int]] = [[], [], [], []]
             for k, text in enumerate(texts_of(batch, text_column)):
                 units = sentences(text)
+                said = [" ".join(unit) for unit in units]
                 for first, last in spans(units, run, words):
-                    for column, value in zip(rows, (k, span_hash(text, units, first, last), first, last)):
-                        column.append(value)
+                    rows[0].append(k)
+                    rows[1].append(span_hash(said, first, last))
+                    rows[2].append(first)
+                    rows[3].append(last)
             return {"id": batch.column(id_column).take(pa.array(rows[0], pa.int64())), "hash": rows[1], "first": rows[2], "last": rows[3]}
 
         return kernel
@@ -130,11 +150,11 @@ def without(text: str, covered: list[tuple[int, int]]) -> str:
 
 
 def dedup_substrings(docs: DataFrame, run: int = RUN, words: int = WORDS, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(id, n_sentences, n_removed, removed, text) of every document.
+    """(id, n_removed, removed, text) of every document.
 
     ``removed`` lists the stretches taken out as start:end in code points of the
-    old text, comma-joined; ``text`` is what is left. Null and empty texts have
-    no sentences and stay as they are; texts shorter than a span stay; rows with
+    old text, comma-joined; ``text`` is what is left. n_removed counts the
+    sentences taken out. Null and empty texts stay as they are; texts shorter than a span stay; rows with
     one id are one document, whose rows all lose the same sentences; an empty
     table gives an empty result; other columns are not read.
     """
@@ -143,20 +163,13 @@ def dedup_substrings(docs: DataFrame, run: int = RUN, words: int = WORDS, id_col
 
     def make() -> Kernel:
         def kernel(batch: pa.RecordBatch) -> dict:
-            out: dict = {id_column: batch.column(id_column), "n_sentences": [], "n_removed": [], "removed": [], "text": []}
+            out: dict = {id_column: batch.column(id_column), "n_removed": [], "removed": [], "text": []}
             for text, repeated in zip(batch.column(text_column).to_pylist(), batch.column("repeated").to_pylist()):
-                units = sentences(text or "")
+                units = sentences(text) if text and repeated else []
                 gone = [False] * len(units)
                 for span in repeated or []:
                     gone[span["first"] : span["last"] + 1] = [True] * (span["last"] + 1 - span["first"])
-                stretches: list[tuple[int, int]] = []
-                for k, (start, end, _) in enumerate(units):
-                    if gone[k]:
-                        if k and gone[k - 1]:
-                            stretches[-1] = (stretches[-1][0], end)
-                        else:
-                            stretches.append((start, end))
-                out["n_sentences"].append(len(units))
+                stretches = stretches_of(text, units, gone) if units else []
                 out["n_removed"].append(sum(gone))
                 out["removed"].append(",".join(f"{a}:{b}" for a, b in stretches))
                 out["text"].append(text and without(text, stretches))
@@ -165,5 +178,5 @@ def dedup_substrings(docs: DataFrame, run: int = RUN, words: int = WORDS, id_col
         return kernel
 
     kind = dict(docs.dtypes)[id_column]
-    ddl = f"{id_column} {kind}, n_sentences bigint, n_removed bigint, removed string, text string"
+    ddl = f"{id_column} {kind}, n_removed bigint, removed string, text string"
     return map_slices(joined, make, ddl, 256)
