@@ -47,7 +47,7 @@ LONG_LIST, UNRELATED = 64, 0.3
 #: Common prefix elements asked for where sets are small: what short texts share by chance is no link.
 FEW = 32
 #: Shingles in a block of a cluster.
-BLOCK_SHINGLES = 500_000
+BLOCK_SHINGLES = 1_500_000
 #: Words a task keeps hashed before it starts afresh; bounds memory, not results.
 MAX_WORDS = 200_000
 #: Ids of documents in clusters that are sent to every task; more are joined.
