@@ -19,9 +19,10 @@ to fine, and every step keeps every link:
    searched by DivideSkip on whole sets: a query merges its short inverted lists
    on a heap, skipping ahead by the overlap it needs from them, and probes the
    long ones by binary search.
-4. A search only has to find which documents hang together: documents of the
-   largest group found so far need no query of their own, as whatever links to
-   them from outside is queried. Spanning edges are what goes on.
+4. A search only has to find which documents hang together: documents of one
+   group need no query of their own if all others are queried. Those of the
+   largest group so far are put off, and queried in the end unless they are in
+   the one group that holds most of them. Spanning edges are what goes on.
 """
 
 from __future__ import annotations
@@ -291,12 +292,12 @@ class Cell:
         return found[(common >= least) & (100 * common >= self.percent * union)]
 
     def groups(self) -> list[int]:
-        """Of each document the first of its group. Documents of the largest group so far need no query of their own."""
+        """Of each document the first of its group. All documents without a query of their own are in one group."""
         group, size = np.arange(len(self.sets)), np.ones(len(self.sets), np.int64)
-        largest = 0
-        for x in range(len(self.sets)):
-            if x and group[x] == group[largest]:
-                continue
+        largest, put_off = 0, []
+
+        def query(x: int) -> None:
+            nonlocal largest
             for y in self.partners(x, group == group[x]).tolist():
                 low, high = sorted((int(group[x]), int(group[y])))
                 if low != high:
@@ -304,6 +305,18 @@ class Cell:
                     size[low] += size[high]
             if size[group[x]] > size[group[largest]]:
                 largest = x
+
+        for x in range(len(self.sets)):
+            if x and group[x] == group[largest]:
+                put_off.append(x)
+            else:
+                query(x)
+        if put_off:
+            # a link between two that were put off while different groups were the largest is still to be found
+            seed = put_off[int(np.argmax(np.bincount(group[put_off])[group[put_off]]))]
+            for x in put_off:
+                if group[x] != group[seed]:
+                    query(x)
         return group.tolist()
 
 

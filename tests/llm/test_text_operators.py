@@ -211,6 +211,24 @@ def test_divide_skip_finds_what_brute_force_finds(monkeypatch):
         assert cell.partners(x, np.zeros(40, bool)).tolist() == expected
 
 
+def test_groups_are_what_links_reach_in_any_order():
+    rnd = np.random.default_rng(1)
+    for _ in range(200):
+        # chains of versions, of which each links with the next one only
+        n = int(rnd.integers(5, 21))
+        sets = [np.arange(3 * k, 3 * k + 30, dtype=np.uint64) for k in rnd.permutation(n)]
+        gap = int(rnd.integers(n))
+        sets = [s if s[0] < 3 * gap else s + np.uint64(1000) for s in sets]
+        links = lambda x, y: 100 * len(np.intersect1d(x, y)) >= 80 * len(np.union1d(x, y))
+        expected = list(range(n))
+        for i in range(n):
+            for j in range(i):
+                if links(sets[i], sets[j]) and expected[i] != expected[j]:
+                    low, high = sorted((expected[i], expected[j]))
+                    expected = [low if g == high else g for g in expected]
+        assert shingle_join.Cell(sets, 80).groups() == expected
+
+
 def test_toxicity(spark, odd):
     rnd = np.random.default_rng(4)
     plain = ["the", "house", "green", "walks", "over", "river", "slowly", "and", "bread", "window", "paper", "stone"]
