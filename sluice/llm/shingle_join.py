@@ -12,7 +12,9 @@ to fine, and every step keeps every link:
    many sites repeat) are set aside, as in DivideSkip: with h of them among a
    document's prefix, t - h common elements remain to be found in the others. A
    document keeps the long lists only if its prefix consists of so many of them
-   that this would be none, and only other such documents can need them.
+   that this would be none, and only other such documents can need them: it
+   has a partner if it shares t elements in all, or, with a document that has
+   set its long lists aside, at least one of the others.
    Documents with fewer shared elements than they need have no partner.
 3. Documents that still share an indexed element are a cluster. Clusters are
    cut into blocks by the number of their shingles, and every pair of blocks is
@@ -213,11 +215,17 @@ def clusters(reps: DataFrame, percent: int) -> DataFrame:
     heavy = F.col("longs") >= F.col("need")
     want = F.when(heavy, F.col("need")).otherwise(F.col("need") - F.col("longs"))
     entries = entries.join(counts.select("id", heavy.alias("heavy"), want.alias("want")), "id").where("heavy or not long")
-    # once more among those that are left
-    again = checkpointed(_shared(entries.select("shingle", "id", "want")))
-    fit = again.groupBy("id").agg(F.count(F.lit(1)).alias("held"), F.first("want").alias("want")).where("held >= want").select("id")
+    # once more among those that are left; what a heavy document shares with one that isn't are at least t - (t - 1) lists that aren't long
+    again = checkpointed(_shared(entries.select("shingle", "id", "long", "heavy", "want")))
+    fit = (
+        again.groupBy("id")
+        .agg(F.count(F.lit(1)).alias("held"), F.count_if(~F.col("long")).alias("rest"), F.first("heavy").alias("heavy"), F.first("want").alias("want"))
+        .where("held >= want or heavy and rest > 0")
+        .select("id", (F.col("held") >= F.col("want")).alias("whole"))
+    )
+    again = again.join(fit, "id").where("whole or not long")
     hub = F.min("id").over(Window.partitionBy("shingle"))
-    edges = again.join(fit, "id", "left_semi").select(F.col("id").alias("a"), hub.alias("b")).where("a <> b").distinct()
+    edges = again.select(F.col("id").alias("a"), hub.alias("b")).where("a <> b").distinct()
     return components(edges).withColumnRenamed("component_id", "cluster")
 
 

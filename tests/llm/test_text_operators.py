@@ -200,6 +200,16 @@ def test_shingle_join(spark, width, percent, monkeypatch):
     assert shingle_join.jaccard_groups(df.limit(0), width, percent).count() == 0
 
 
+def test_a_copy_keeps_its_link_where_only_one_of_both_is_mostly_on_long_lists(spark):
+    passage = " ".join(f"r{i}" for i in range(13))
+    rows = [(0, f"{passage} a b"), (1, f"{passage} a b c")]
+    rows += [(k, " ".join([*(f"x{k}v{i}" for i in range(9)), passage, *(f"y{k}v{i}" for i in range(9))])) for k in range(10, 110)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = shingle_join.jaccard_groups(df, 3, 90).orderBy("doc_id").collect()
+    assert [(r["n_shingles"], r["component_id"]) for r in found] == brute_groups(rows, 3, 90)
+    assert found[1]["component_id"] == 0
+
+
 def test_divide_skip_finds_what_brute_force_finds(monkeypatch):
     rnd = np.random.default_rng(0)
     base = rnd.integers(0, 500, 80).astype(np.uint64)
