@@ -1,8 +1,11 @@
 """Substring dedup on sliding sentence spans.
 
 A text is cut into sentences (at line ends, and after . ! ? … with any closing
-quotes before white space); a sentence of more than LONG words counts as several, so that no passage
-is a single one. From each sentence on, and back from each sentence, the
+quotes before white space); a sentence of more than 2 * AROUND words counts as
+several, so that no passage is a single one: it is cut before every word whose
+hash is the least among AROUND words on both sides, so equal passages are cut
+alike wherever they stand. Where no word is for LONG words, as in periodic
+text, a cut comes after LONG words. From each sentence on, and back from each sentence, the
 shortest run of at least RUN sentences and WORDS words is a span. Spans are
 hashed and joined globally; every occurrence of a span after the first, in
 order of document and place, is repeated, and the sentences it covers are
@@ -12,7 +15,9 @@ taken out.
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -21,7 +26,7 @@ from pyspark.sql import functions as F
 from sluice.llm.batches import Kernel, map_slices, texts_of
 from sluice.session import checkpointed
 
-RUN, WORDS, LONG = 2, 20, 24
+RUN, WORDS, LONG, AROUND = 2, 20, 24, 3
 #: Spans with more occurrences than this are joined in SALTS parts.
 HOT, SALTS = 10_000, 64
 BROADCAST_HASHES = 100_000
@@ -30,19 +35,43 @@ _END = re.compile(r"[.!?…][\"'”’)\]]*(?=\s|$)|\n")
 _WORD = re.compile(r"\S+")
 
 
+@lru_cache(100_000)
+def _hash(word: str) -> int:
+    return xxhash.xxh3_64_intdigest(word)
+
+
 def sentences(text: str) -> list[list[str]]:
-    """The words of every sentence."""
-    out, at = [], 0
-    for m in _END.finditer(text):
-        words = text[at : m.end()].split()
-        at = m.end()
-        if len(words) <= LONG:
-            if words:
-                out.append(words)
+    """The words of every sentence or piece of one."""
+    words: list[str] = []
+    starts, at = [], 0
+    for end in [*(m.end() for m in _END.finditer(text)), len(text)]:
+        own = text[at:end].split()
+        at = end
+        if own:
+            starts.append(len(words))
+            words += own
+    n, side = len(words), AROUND
+    places = starts
+    if n > 2 * side:
+        hashes = np.fromiter(map(_hash, words), np.uint64, n)
+        first = np.array(starts)
+        sizes = np.diff(first, append=n)
+        inside = np.arange(n) - np.repeat(first, sizes)
+        fine = (inside >= side) & (np.repeat(sizes, sizes) - inside > side)
+        least = fine[side : n - side]
+        own_hash = hashes[side : n - side]
+        for k in range(1, side + 1):
+            least &= own_hash < hashes[side - k : n - side - k]
+            least &= own_hash <= hashes[side + k : n - side + k]
+        fine[first] = True
+        places = np.flatnonzero(fine).tolist()
+    out = []
+    for start, end in zip(places, [*places[1:], n]):
+        if end - start <= LONG:
+            out.append(words[start:end])
         else:
-            out += [words[i : i + LONG] for i in range(0, len(words), LONG)]
-    words = text[at:].split()
-    return out + [words[i : i + LONG] for i in range(0, len(words), LONG)]
+            out += [words[k : min(k + LONG, end)] for k in range(start, end, LONG)]
+    return out
 
 
 def stretches_of(text: str, units: list[list[str]], gone: list[bool]) -> list[tuple[int, int]]:

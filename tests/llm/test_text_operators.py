@@ -156,6 +156,21 @@ def test_substring_dedup(spark, odd, monkeypatch):
     assert substring_dedup.dedup_substrings(odd.limit(0)).count() == 0
 
 
+def test_long_sentences_are_cut_alike_at_any_offset(spark):
+    rnd = np.random.default_rng(5)
+    draw = lambda n: " ".join(f"w{k}" for k in rnd.integers(0, 10**6, n))
+    for _ in range(100):
+        passage = draw(50)
+        texts = [f"{draw(rnd.integers(1, 60))} {passage} {draw(rnd.integers(1, 60))}" for _ in range(2)]
+        own = [[" ".join(u) for u in substring_dedup.sentences(t)] for t in texts]
+        assert [" ".join(u) for u in own] == texts
+        hashes = [{substring_dedup.span_hash(u, a, b) for a, b in substring_dedup.spans([x.split() for x in u])} for u in own]
+        assert hashes[0] & hashes[1]
+    rows = [(1, f"{draw(7)} {passage} {draw(30)}"), (2, f"{draw(12)} {passage} {draw(9)}")]
+    got = {r["doc_id"]: r for r in substring_dedup.dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1]["text"] == rows[0][1] and len(got[2]["text"].split()) <= 71 - 20
+
+
 def brute_groups(rows, width, percent):
     sets, parent = [], list(range(len(rows)))
 
