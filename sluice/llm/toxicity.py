@@ -35,7 +35,7 @@ DECAY, SPAN = 0.75, 5
 WINDOW = 24
 LANDMARKS = 256
 #: At most so many labelled documents are used to fit the machine.
-SAMPLE_DOCS = 3_000
+SAMPLE_DOCS = 4_000
 THRESHOLD = 0.7
 #: Words whose scores a task keeps before it starts afresh; bounds memory, not results.
 MAX_WORDS = 150_000

@@ -254,6 +254,10 @@ def test_groups_are_what_links_reach_in_any_order():
         assert shingle_join.Cell(sets, 80).groups() == expected
 
 
+def test_toxicity_sample_is_as_large_as_it_was():
+    assert toxicity.SAMPLE_DOCS == 4_000
+
+
 def test_toxicity(spark, odd):
     rnd = np.random.default_rng(4)
     plain = ["the", "house", "green", "walks", "over", "river", "slowly", "and", "bread", "window", "paper", "stone"]
