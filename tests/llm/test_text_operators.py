@@ -207,12 +207,38 @@ def test_shingle_join(spark, width, percent, monkeypatch):
     rows += [(200, None), (201, ""), (202, " \n"), (203, "one"), (204, "ONE"), (205, "one two"), (206, LONG), (207, LONG + "tail")]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("id", F.lit("x")).withColumn("cluster", F.lit(1))
     expected = brute_groups(rows, width, percent)
-    for block in (shingle_join.BLOCK_SHINGLES, 2000):  # whole clusters, and pairs of blocks
-        monkeypatch.setattr(shingle_join, "BLOCK_SHINGLES", block)
-        monkeypatch.setattr(shingle_join, "LONG_LIST", 64 if block > 2000 else 8)
+    for block, long, hot in ((shingle_join.BLOCK_SHINGLES, shingle_join.LONG_LIST, shingle_join.HOT), (2000, 8, 1000), (700, 4, 12)):  # whole clusters, and blocks of them
+        for name, value in (("BLOCK_SHINGLES", block), ("LONG_LIST", long), ("HOT", hot), ("SEEDS", 6)):
+            monkeypatch.setattr(shingle_join, name, value)
         found = shingle_join.jaccard_groups(df, width, percent).orderBy("doc_id").collect()
         assert [(r["n_shingles"], r["component_id"]) for r in found] == expected
     assert shingle_join.jaccard_groups(df.limit(0), width, percent).count() == 0
+    nameless = shingle_join.jaccard_groups(df.limit(3).withColumn("doc_id", F.expr("nullif(doc_id, 0)")), width, percent).where("doc_id is null").first()
+    assert nameless["n_shingles"] == expected[0][0] and nameless["component_id"] is None
+
+
+@pytest.mark.parametrize("width, percent", [(3, 90), (5, 80)])
+def test_no_link_is_lost_in_any_wording(spark, width, percent, monkeypatch):
+    """Many passages, each in documents with more, less or next to nothing else, on lists that are short, long and hot."""
+    rnd = np.random.default_rng(percent)
+    rows = []
+    for wording in range(100):
+        word = iter(f"w{wording}n{k}" for k in range(10_000))
+        draw = lambda n: [next(word) for _ in range(n)]
+        passage = draw(int(rnd.integers(30, 100)))
+        title = draw(int(rnd.integers(0, 6)))
+        texts = [[*title, *passage], [*title, *passage, *draw(int(rnd.integers(1, 7)))], [*passage, *draw(int(rnd.integers(1, 12)))], [*draw(3), *passage[5:], *draw(2)]]
+        for _ in range(int(rnd.integers(4, 30))):
+            at = int(rnd.integers(len(passage) - 12))
+            texts.append([*draw(int(rnd.integers(2, 24))), *passage[at : at + 12 + int(rnd.integers(60))], *draw(int(rnd.integers(2)))])
+        rows += [(int(k), " ".join(t)) for k, t in zip(10_000 * wording + rnd.permutation(len(texts)), texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = {r[0]: e for r, e in zip(rows, brute_groups(rows, width, percent))}
+    for long, hot in ((256, 4096), (6, 4096), (3, 8)):
+        monkeypatch.setattr(shingle_join, "LONG_LIST", long)
+        monkeypatch.setattr(shingle_join, "HOT", hot)
+        found = shingle_join.jaccard_groups(df, width, percent).collect()
+        assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == expected
 
 
 def test_a_copy_keeps_its_link_where_only_one_of_both_is_mostly_on_long_lists(spark):
@@ -252,6 +278,7 @@ def test_groups_are_what_links_reach_in_any_order():
                     low, high = sorted((expected[i], expected[j]))
                     expected = [low if g == high else g for g in expected]
         assert shingle_join.Cell(sets, 80).groups() == expected
+        assert shingle_join.Cell(sets, 80).groups(np.arange(n) < n - 1) == expected
 
 
 def test_toxicity_sample_is_as_large_as_it_was():
