@@ -1,40 +1,44 @@
 """Main text of web pages by equivalence-class template deduction.
 
-A token is the opening of an element, told apart by its place: the path of the
-elements around it with their classes. Tokens of a host whose occurrence
-vectors, the counts on each of the host's pages, are the same form an
-equivalence class. A class is valid if it occurs on nearly every page, once on
-each, and its tokens nest: those classes, nested by path, are the host's
-template, and what lies between their tokens are its slots. The article's slot
-is the one element of the template that is marked as such, or else the deepest
-one that holds most of the text that differs between pages; slots with the
-same text on every page and elements whose name, role or class says that they
-are a menu, header, footer, sidebar, notice, advert, form or comment section
-are left out. Pages of hosts too small to tell are read by the marks alone.
+A token is the opening of an element, told apart by its place: the labels of
+the elements around it. A page counts the tokens that it has once, inside
+elements that it has once. Tokens of a host with the same occurrence vector,
+that is on the same of the host's pages, form an equivalence class. A class is
+valid if it has SIZE tokens or more and is on MIN_PAGES pages or more; being
+places in a tree, its tokens nest, and so do the classes: together they are the
+host's template, which has a class of its own for each layout of the host.
+Between the tokens of the classes that a page has lie its slots.
+
+The article's slot is the deepest template element that holds most of the text
+on the pages of its class and doesn't say the same on all of them; elements
+that are marked as an article or main part come first. Template elements inside
+it that say the same on all their pages are no part of the article, unless they
+make up most of it: then the pages are copies. Names, roles and classes decide
+what the template can't tell apart: menus, headers, footers, sidebars, notices,
+adverts, forms and comments within a slot, and pages without a template.
 
 Occurrence vectors are never gathered: a vector is known by the exclusive or of
-hashes of (page, count), which is combined before the shuffle.
+hashes of its pages, which is combined before the shuffle.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
-from collections import Counter
+from dataclasses import dataclass, field
 
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from sluice.llm.batches import Kernel, map_slices, texts_of
 from sluice.session import checkpointed
 
-#: Pages a host needs, the share of them a template token is on, and the share of the differing text that the article's slot holds.
-MIN_PAGES, SUPPORT, MOST_TEXT = 3, 0.9, 0.6
-#: Host templates sent to every task; more are joined, each host in SALTS parts.
-BROADCAST_HOSTS, SALTS = 50_000, 32
+#: Pages and tokens a class needs, the share of the text that the deepest fitting slot holds of the largest one's.
+MIN_PAGES, SIZE, MOST_TEXT = 3, 3, 0.6
+#: Slots of all host templates sent to every task; more are joined, each host in SALTS parts.
+BROADCAST_SLOTS, SALTS = 200_000, 32
 
 #: Names of elements, roles and words of classes.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -43,100 +47,199 @@ BLOCKS = frozenset(
     "head header hgroup hr html legend li main menu nav ol p pre search section summary table tbody tfoot thead tr ul".split()
 )
 SPACES = frozenset("br td th option wbr img".split())
-LEFT_OUT = frozenset("aside button dialog dir footer form head menu nav search select fieldset label".split())
+LEFT_OUT = frozenset("aside audio button canvas datalist dialog footer form head menu nav object search select svg template video".split())
+UNREAD = frozenset("iframe noembed noframes noscript script style textarea title xmp".split())
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 WORDS = frozenset(
-    "ad ads adbox adslot advert advertisement adverts alert banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies disclaimer "
-    "discussion disqus footer gdpr header login menu modal nav navbar navigation newsletter notice notices overlay pagination paywall popup promo "
-    "promotion promoted recommended related reply replies respond responses search share sharing sidebar signup skip social sponsor sponsored subscribe tags "
-    "toc toolbar topbar widget widgets".split()
+    "ad ads adbox adslot advert advertisement adverts banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies "
+    "disqus footer gdpr login menu modal nav navbar navigation newsletter notice notices overlay pagination paywall popup promo "
+    "promoted recommended reply replies respond responses share sharing sidebar signup skip social sponsor sponsored subscribe toolbar topbar widget widgets".split()
 )
+FILLING = frozenset("area bar block bottom box button buttons container content form inner item items left links list main outer right section top wrap wrapper".split())
+PARAGRAPHS = frozenset("blockquote dd dt figcaption h1 h2 h3 h4 h5 h6 li p pre tr td th".split())
 MARKED = frozenset("article main".split())
 MARKED_WORDS = frozenset("article content entry main post story".split())
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|textarea|iframe|svg|canvas|object|title)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|<[!?/][^>]*>",
-    re.IGNORECASE | re.DOTALL,
-)
-_ATTRIBUTE = re.compile(r"([a-zA-Z][\w:-]*)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-_NUMBER = re.compile(r"\d+")
-_WORD = re.compile(r"[a-z]+")
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_ATTRIBUTE = re.compile(r"[\s/]*([^\s/>=][^\s/>=]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?")
+_GAP = re.compile(r"[\s/=]*")
+_CLOSING = {name: re.compile(f"</{name}(?=[\\s/>])", re.IGNORECASE) for name in UNREAD}
+_NUMBER, _LONG_NUMBER = re.compile(r"\d+"), re.compile(r"\d{3,}")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
+_PRIME, _BASE = (1 << 61) - 1, 0x1F3A9C5D7
 
 
-class Element:
-    """An open block element: its path, and whether it is left out or inside what is."""
-
-    __slots__ = ("name", "path", "out", "marked")
-
-    def __init__(self, name: str, path: str, out: bool, marked: bool):
-        self.name, self.path, self.out, self.marked = name, path, out, marked
+def markup(page: str):
+    """(text before, name, whether it ends an element, attributes) of every tag, in one pass; the last has no name.
 
-
-def _open(name: str, raw: str, above: Element) -> Element:
-    attributes = {a.lower(): b or c or d for a, b, c, d in _ATTRIBUTE.findall(raw)} if raw.strip("/ \n\t") else {}
-    named = " ".join(attributes.get(k, "") for k in ("class", "id")).lower()
-    words = set(_WORD.findall(named))
-    label = name + ("." + _NUMBER.sub("0", named.strip()) if named.strip() else "")
-    marked = name in MARKED or attributes.get("role", "").lower() in ("main", "article")
-    out = above.out or (
+    As browsers do it: quotes count only around a value, a tag that is never
+    closed takes the rest with it, so does a script or a comment.
+    """
+    at = start = 0
+    while (at := page.find("<", at)) >= 0:
+        if page.startswith("<!--", at):
+            end = page.find("-->", at + 4)
+            yield page[start:at], "!", False, {}
+            start = at = end + 3 if end >= 0 else len(page)
+            continue
+        following = page[at + 1 : at + 2]
+        closes = following == "/"
+        name = _NAME.match(page, at + 1 + closes)
+        if name is None:
+            if following and following in "!?/":
+                end = page.find(">", at)
+                yield page[start:at], "!", False, {}
+                start = at = end + 1 if end >= 0 else len(page)
+            else:
+                at += 1
+            continue
+        before, attributes, place = page[start:at], {}, name.end()
+        while (place := _GAP.match(page, place).end()) < len(page) and page[place] != ">":
+            found = _ATTRIBUTE.match(page, place)
+            key = found[1].lower()
+            if key not in attributes:
+                attributes[key] = found[2] or found[3] or found[4] or ""
+            place = found.end()
+        start = at = place + 1
+        called = name[0].lower()
+        yield before, called, closes, attributes
+        if called in UNREAD and not closes:
+            end = _CLOSING[called].search(page, at)
+            start = at = end.start() if end else len(page)
+    yield page[start:], "", False, {}
+
+
+def named_out(classes: str) -> bool:
+    """Whether some class consists of words for what is left out, and of none that say otherwise."""
+    for one in classes.split():
+        words = [w for w in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", one).lower()) if w]
+        if any(w in WORDS for w in words) and all(w in WORDS or w in FILLING for w in words):
+            return True
+    return False
+
+
+@dataclass(slots=True)
+class Element:
+    """An element with its place, and the blocks inside, from first up to last."""
+
+    name: str
+    path: int
+    out: bool
+    marked: bool
+    rank: int
+    classed: bool
+    depth: int
+    above: int
+    first: int
+    last: int = -1
+
+
+@dataclass
+class Page:
+    """What a page says, block by block (text, left out, in a marked element), and its elements in the order in which they open."""
+
+    blocks: list[tuple[str, bool, bool]] = field(default_factory=list)
+    elements: list[Element] = field(default_factory=list)
+
+    def once(self) -> dict[int, Element]:
+        """The elements that have their place to themselves, as have those around them."""
+        count: dict[int, int] = {}
+        for e in self.elements:
+            count[e.path] = count.get(e.path, 0) + 1
+        alone: list[bool] = []
+        for e in self.elements:
+            alone.append(count[e.path] == 1 and (e.above < 0 or alone[e.above]))
+        return {e.path: e for e, fine in zip(self.elements, alone) if fine and not (e.out and e.above >= 0 and self.elements[e.above].out)}
+
+
+def _element(name: str, attributes: dict[str, str], above: Element | None, at: int, first: int) -> Element:
+    named = " ".join(attributes[k] for k in ("class", "id") if k in attributes)
+    # numbers of an id and long ones of a class tell pages apart, not places
+    label = f"{name}.{' '.join(_LONG_NUMBER.sub('0', attributes.get('class', '')).split())}#{_NUMBER.sub('0', attributes.get('id', ''))}".lower()
+    role = attributes.get("role", "").lower()
+    own = name in MARKED or role in ("main", "article")
+    out = above is not None and above.out or (
         name in LEFT_OUT
-        or name == "header" and not above.marked
-        or attributes.get("role", "").lower() in ROLES
+        or name == "header" and not (above and above.marked)
+        or role in ROLES
         or "hidden" in attributes
         or attributes.get("aria-hidden", "").lower() == "true"
         or bool(_HIDDEN.search(attributes.get("style", "").lower()))
-        or not marked and name != "body" and name != "html" and bool(words & WORDS)
+        or bool(named) and not own and name not in PARAGRAPHS and name not in ("body", "html") and named_out(named)
     )
-    return Element(name, f"{above.path}/{label}", out, above.marked or marked)
+    rank = 2 if own else int(bool(named) and not MARKED_WORDS.isdisjoint(re.split("[^a-z]+", named.lower())))
+    path = xxhash.xxh3_64_intdigest(label.encode("utf-8", "surrogatepass"), seed=above.path if above else 0)
+    return Element(name, path, out, own or bool(above and above.marked), rank, bool(named.strip()), above.depth + 1 if above else 0, at, first)
 
 
-def read(page: str) -> tuple[list[tuple[str, str, bool, bool]], list[str]]:
-    """The blocks of a page, (path, text, left out, in a marked element) in page order, and the paths of its elements as they open."""
-    root = Element("", "", False, False)
-    stack, blocks, paths = [root], [], []
+def read(page: str) -> Page:
+    """One pass over a page; time and memory grow with its length, however it is nested."""
+    out = Page()
+    stack: list[int] = []
+    open_names: dict[str, int] = {}
     text: list[str] = []
 
     def flush() -> None:
         joined = " ".join("".join(text).split())
         text.clear()
         if joined:
-            top = stack[-1]
-            blocks.append((top.path, joined, top.out, top.marked))
-
-    at = 0
-    for m in _TOKEN.finditer(page):
-        if m.start() > at:
-            text.append(entities.unescape(page[at : m.start()]))
-        at = m.end()
-        name = (m[3] or "").lower()
-        if name in SPACES and name not in BLOCKS:
+            top = out.elements[stack[-1]] if stack else None
+            out.blocks.append((joined, bool(top and top.out), bool(top and top.marked)))
+
+    def close() -> None:
+        e = out.elements[stack.pop()]
+        e.last = len(out.blocks)
+        open_names[e.name] -= 1
+
+    for before, name, closes, attributes in markup(page):
+        if before:
+            text.append(entities.unescape(before))
+        if name in SPACES:
             text.append(" ")
-        if name not in BLOCKS and not (name in LEFT_OUT):
+        if name and name not in BLOCKS and name not in LEFT_OUT:
             continue
         flush()
-        if m[2]:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].name == name:
-                    del stack[k:]
-                    break
+        if not name:
+            break
+        if closes:
+            if open_names.get(name):
+                while out.elements[stack[-1]].name != name:
+                    close()
+                close()
             continue
         if name in VOID:
             continue
         # a paragraph ends where a block begins, an item where its next one does
-        if stack[-1].name == "p" and name in BLOCKS:
-            stack.pop()
-        if name in ("li", "dd", "dt", "tr") and stack[-1].name in (("dd", "dt") if name[0] == "d" else (name,)):
-            stack.pop()
-        stack.append(_open(name, m[4], stack[-1]))
-        paths.append(stack[-1].path)
-    if at < len(page):
-        text.append(entities.unescape(page[at:]))
-    flush()
-    return blocks, paths
+        if stack and out.elements[stack[-1]].name == "p" and name in BLOCKS:
+            close()
+        if stack and name in ("li", "dd", "dt", "tr") and out.elements[stack[-1]].name in (("dd", "dt") if name[0] == "d" else (name,)):
+            close()
+        above = stack[-1] if stack else -1
+        out.elements.append(_element(name, attributes, out.elements[above] if stack else None, above, len(out.blocks)))
+        stack.append(len(out.elements) - 1)
+        open_names[name] = open_names.get(name, 0) + 1
+    while stack:
+        close()
+    return out
+
+
+def _signed(n: int) -> int:
+    return n - (1 << 64) if n >= 1 << 63 else n
+
+
+def tokens_of(page: Page) -> list[tuple[int, int, int, int, int, int, bool, int]]:
+    """(path, chars, total, said, rank, depth, classed, blocks) of every token of a page. ``said`` tells texts apart, and is
+    taken from sums over the blocks so far, so nested elements cost no more than others."""
+    chars, said, power = [0], [0], [1]
+    for text, out, _ in page.blocks:
+        chars.append(chars[-1] + (0 if out else len(text)))
+        said.append((said[-1] * _BASE + xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"))) % _PRIME)
+        power.append(power[-1] * _BASE % _PRIME)
+    rows = []
+    for path, e in page.once().items():
+        value = (said[e.last] - said[e.first] * power[e.last - e.first]) % _PRIME
+        rows.append((_signed(path), 0 if e.out else chars[e.last] - chars[e.first], chars[-1], value, e.rank, e.depth, e.classed, e.last - e.first))
+    return rows
 
 
 def _host(url: str):
@@ -144,90 +247,93 @@ def _host(url: str):
 
 
 def templates(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html") -> DataFrame:
-    """(host, slot, same): of each host with a template, the path of the article's element, and the paths of elements with one text."""
+    """(host, slots, same): of each host with a template, its elements that may be the article's, and those that say the same on all their pages."""
+    names = ("path", "chars", "total", "said", "rank", "depth", "classed", "blocks")
 
     def make() -> Kernel:
         def kernel(batch: pa.RecordBatch) -> dict:
-            rows: list[list] = [[], [], [], [], [], []]
-            for k, page in enumerate(texts_of(batch, html_column)):
-                blocks, paths = read(page)
-                counts = Counter(paths)
-                texts: dict[str, list[str]] = {p: [] for p in counts}
-                chars = Counter()
-                for path, text, out, _ in blocks:
-                    while path:
-                        texts[path].append(text)
-                        chars[path] += 0 if out else len(text)
-                        path = path.rpartition("/")[0]
-                for path, n in counts.items():
-                    value = xxhash.xxh3_64_intdigest("\n".join(texts[path])) - (1 << 63)
-                    for column, v in zip(rows, (k, path, n, chars[path], value, len(texts[path]))):
-                        column.append(v)
-            at = pa.array(rows[0], pa.int64())
-            return {"host": batch.column("host").take(at), "page": batch.column("page").take(at)} | dict(
-                zip(("path", "n", "chars", "said", "blocks"), rows[1:])
-            )
+            rows = [(k, *token) for k, page in enumerate(texts_of(batch, html_column)) for token in tokens_of(read(page))]
+            columns = list(zip(*rows)) or [()] * (len(names) + 1)
+            at = pa.array(columns[0], pa.int64())
+            return {"host": batch.column("host").take(at), "page": batch.column("page").take(at)} | dict(zip(names, columns[1:]))
 
         return kernel
 
-    source = pages.select(_host(url_column).alias("host"), F.xxhash64(id_column, url_column).alias("page"), html_column)
-    tokens = map_slices(source, make, "host string, page bigint, path string, n bigint, chars bigint, said bigint, blocks bigint")
-    sizes = source.groupBy("host").agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= MIN_PAGES)
-    classes = (
+    source = pages.select(_host(url_column).alias("host"), F.xxhash64(id_column, url_column, html_column).alias("page"), html_column)
+    tokens = map_slices(source, make, "host string, page bigint, path bigint, chars bigint, total bigint, said bigint, rank int, depth bigint, classed boolean, blocks bigint")
+    found = (
         tokens.groupBy("host", "path")
         .agg(
-            F.bit_xor(F.xxhash64("page", "n")).alias("vector"),
+            F.bit_xor("page").alias("vector"),
             F.count(F.lit(1)).alias("on"),
-            F.max("n").alias("most"),
             F.sum("chars").alias("chars"),
+            F.sum("total").alias("total"),
             (F.min("said") == F.max("said")).alias("same"),
+            F.max("rank").alias("rank"),
+            F.max("depth").alias("depth"),
+            F.max("classed").alias("classed"),
             F.sum("blocks").alias("blocks"),
         )
-        .join(sizes, "host")
-        .where((F.col("on") >= F.col("pages") * SUPPORT) & (F.col("most") == 1))
+        .where(F.col("on") >= MIN_PAGES)
     )
-    # the class of the most pages is the template's skeleton; a class that is no more than its own text's variant has one token
-    host = Window.partitionBy("host")
-    classes = classes.withColumn("differing", F.when(F.col("same"), 0).otherwise(F.col("chars"))).withColumn("all", F.max("differing").over(host))
-    last = F.element_at(F.split("path", "/"), -1)
-    name = F.regexp_extract(last, r"^([a-z0-9]+)", 1)
-    worded = F.exists(F.split(F.regexp_extract(last, r"^[a-z0-9]+[.](.*)$", 1), "[^a-z]+"), lambda w: w.isin(*sorted(MARKED_WORDS)))
-    rank = F.when(name.isin(*sorted(MARKED)), 2).when(worded, 1).otherwise(0)
-    fit = (F.col("differing") > 0) & (F.col("differing") >= F.col("all") * MOST_TEXT)
-    best = F.max(F.when(fit, F.struct(rank.alias("r"), F.length("path").alias("l"), "path")))
-    return classes.groupBy("host").agg(
-        best.getField("path").alias("slot"),
-        F.collect_set(F.when(F.col("same") & (F.col("blocks") > 0) & last.contains("."), F.col("path"))).alias("same"),
-    ).where("slot is not null")
-
-
-def within(path: str, slot: str) -> bool:
-    return path == slot or path.startswith(slot + "/")
-
-
-def article(page: str, slot: str | None, same: list[str]) -> str:
-    """The main text of a page, by its host's template if it has the slot, else by marks."""
-    blocks, _ = read(page)
-    inside = [b for b in blocks if slot and within(b[0], slot)]
-    if inside:
-        kept = [b for b in inside if not b[2] and not any(within(b[0], s) for s in same)]
-    else:
-        kept = [b for b in blocks if not b[2]]
-        if any(b[3] for b in kept):
-            kept = [b for b in kept if b[3]]
-    return "\n\n".join(b[1] for b in kept)
+    # the tokens of one vector are a class; of those with about the same share of the text the deepest is enough
+    share = F.when(F.col("same"), 0.0).otherwise(F.col("chars") / F.col("total"))
+    parts = found.withColumn("share", F.coalesce(share, F.lit(0.0))).groupBy("host", "vector", "on", "rank", F.floor(F.col("share") * 20).alias("twentieths")).agg(
+        F.count(F.lit(1)).alias("size"),
+        F.max(F.when(F.col("share") > 0, F.struct("depth", "share", "path"))).alias("slot"),
+        F.collect_list(F.when(F.col("same") & F.col("classed") & (F.col("blocks") > 0), F.col("path"))).alias("same"),
+    )
+    classes = parts.groupBy("host", "vector", "on").agg(
+        F.sum("size").alias("size"),
+        F.collect_list(F.when(F.col("slot").isNotNull(), F.struct("rank", "slot.share", "slot.depth", "slot.path"))).alias("slots"),
+        F.flatten(F.collect_list("same")).alias("same"),
+    )
+    return (
+        classes.where(F.col("size") >= SIZE)
+        .groupBy("host")
+        .agg(F.flatten(F.collect_list("slots")).alias("slots"), F.flatten(F.collect_list("same")).alias("same"))
+        .where(F.size("slots") > 0)
+    )
+
+
+def article(html: str, slots: list[dict], same: list[int]) -> str:
+    """The main text of a page: from its host's slots that it has, or by marks and names alone."""
+    page = read(html)
+    blocks = page.blocks
+    first, last, gone = 0, len(blocks), []
+    if slots:
+        mine = {_signed(path): e for path, e in page.once().items()}
+        able = [(s["rank"], s["share"], s["depth"], s["path"]) for s in slots if s["path"] in mine]
+        if able:
+            best = max(s[0] for s in able)
+            able = [s for s in able if s[0] == best]
+            most = max(s[1] for s in able)
+            chosen = mine[max((s[2], s[1], s[3]) for s in able if s[1] >= MOST_TEXT * most)[2]]
+            first, last = chosen.first, chosen.last
+            inner = [mine[p] for p in same if p in mine and mine[p] is not chosen]
+            gone = [(e.first, e.last) for e in inner if first <= e.first and e.last <= last and (e.first, e.last) != (first, last)]
+    kept = [k for k in range(first, last) if not blocks[k][1]]
+    if any(blocks[k][2] for k in kept):
+        kept = [k for k in kept if blocks[k][2]]
+    drop = {k for a, b in gone for k in range(a, b)} if gone else set()
+    rest = [k for k in kept if k not in drop]
+    if 2 * sum(len(blocks[k][0]) for k in rest) > sum(len(blocks[k][0]) for k in kept):
+        kept = rest
+    return "\n\n".join(blocks[k][0] for k in kept)
 
 
 def extract(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html") -> DataFrame:
     """(id, url, text, n_chars) of every page.
 
     Null and empty pages have an empty text; pages without a host form one host;
-    repeated rows give repeated rows and count as pages; an empty table gives an
-    empty result; other columns are not read.
+    repeated rows give repeated rows, and a pair of them adds nothing to an
+    occurrence vector but counts as two pages; an empty table gives an empty
+    result; other columns are not read.
     """
     found = checkpointed(templates(pages, id_column, url_column, html_column))
     rows = pages.select(F.col(id_column).alias("_id"), F.col(url_column).alias("_url"), F.col(html_column).alias("_html"), _host(url_column).alias("host"))
-    if found.limit(BROADCAST_HOSTS + 1).count() <= BROADCAST_HOSTS:
+    size = found.agg(F.sum(F.size("slots") + F.size("same"))).first()[0] or 0
+    if size <= BROADCAST_SLOTS:
         joined = rows.join(F.broadcast(found), "host", "left")
     else:
         parts = found.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
@@ -235,12 +341,12 @@ def extract(pages: DataFrame, id_column: str = "page_id", url_column: str = "url
 
     def make() -> Kernel:
         def kernel(batch: pa.RecordBatch) -> dict:
-            slots, same = batch.column("slot").to_pylist(), batch.column("same").to_pylist()
-            texts = [article(p, s, c or []) for p, s, c in zip(texts_of(batch, "_html"), slots, same)]
+            slots, same = batch.column("slots").to_pylist(), batch.column("same").to_pylist()
+            texts = [article(p, s or [], c or []) for p, s, c in zip(texts_of(batch, "_html"), slots, same)]
             return {id_column: batch.column("_id"), url_column: batch.column("_url"), "text": texts, "n_chars": [len(t) for t in texts]}
 
         return kernel
 
     kinds = dict(pages.dtypes)
     ddl = f"{id_column} {kinds[id_column]}, {url_column} string, text string, n_chars bigint"
-    return map_slices(joined.select("_id", "_url", "_html", "slot", "same"), make, ddl)
+    return map_slices(joined.select("_id", "_url", "_html", "slots", "same"), make, ddl)

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sluice.llm import components, html_extract, near_vectors, topk
+from sluice.llm import components, near_vectors, topk
 
 
 def test_components_of_any_shape(spark):
@@ -59,26 +59,3 @@ def test_topk(spark, vectors, monkeypatch):
         assert {(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got} == expected
     assert topk.search(df.where("vec_id < 3"), df.where("vec_id = 0"), 5).count() == 2
     assert topk.search(df.limit(0), df.limit(0), 5).count() == 0
-
-
-def page(body, side=""):
-    return (
-        "<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a='</p>';</script></head><body>"
-        f"<nav><ul><li><a href='/'>Home</a></ul></nav><div class='cookie-notice'>We use cookies</div>{side}{body}<footer>(c)</footer></body></html>"
-    )
-
-
-def test_html(spark):
-    article = "<article><h1>Head &amp; {0}</h1><p>One <b>bold</b>\n text{0}.<p>Two&nbsp;&lt;3<br>more<aside>see also</aside><form>mail</form><section id='comments'><p>First!</p></section></article>"
-    rows = [(i, f"https://user@Site.org:80/{i}", page(article.format(i), "<div class=ad>Buy</div>")) for i in range(5)]
-    plain = "<div class='box9'><div class='text'><p>Para {0} {0}</p><p>More {0}</p></div><div class='foot0'>always this</div></div>"
-    rows += [(10 + i, f"http://other.net/{i}", page(plain.format(f"x{i} " * 30))) for i in range(4)]
-    rows += [(20, None, None), (21, "x", ""), (22, "http://one.org/", "<p>alone &amp"), (0, rows[0][1], rows[0][2])]
-    df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("x")).withColumn("host", F.lit(1))
-    found = html_extract.extract(df).collect()
-    got = {r["page_id"]: r for r in found}
-    assert len(found) == len(rows)
-    assert got[3]["text"] == "Head & 3\n\nOne bold text3.\n\nTwo <3 more"
-    assert got[12]["text"] == f"Para {'x2 ' * 30}".strip() + " " + ("x2 " * 30).strip() + "\n\n" + f"More {('x2 ' * 30).strip()}"
-    assert got[20]["text"] == got[21]["text"] == "" and got[22]["text"] == "alone &" and got[22]["n_chars"] == 7
-    assert html_extract.extract(df.limit(0)).count() == 0
