@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -47,6 +48,26 @@ def map_slices(df: DataFrame, make: Callable[[], Kernel], ddl: str, rows: int =
     return df.mapInArrow(run, ddl)
 
 
+def joined_ids(split: pa.Array, ids_of: Callable[[list[str]], list[bytes]]) -> list[bytes]:
+    """The packed ids (little-endian unsigned 32-bit) of texts that are given as lists of parts.
+
+    Parts repeat: they are told apart in Arrow, and ``ids_of`` gets the distinct ones.
+    """
+    coded = split.values.dictionary_encode()
+    found, code = ids_of(coded.dictionary.to_pylist()), coded.indices.to_numpy()
+    sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+    every = np.frombuffer(b"".join(found), "<u4")
+    firsts, size = (np.cumsum(sizes) - sizes)[code], sizes[code]
+    ends = np.cumsum(size)
+    ids = every[np.repeat(firsts - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)]
+    cuts = np.concatenate([[0], ends])[split.offsets.to_numpy()].tolist()
+    return [ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+
+
+def code_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+
+
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """The texts of a slice; null is the empty text."""
     return [t or "" for t in batch.column(column).to_pylist()]

@@ -12,60 +12,71 @@ pieces then find their places by their rank within their length.
 from __future__ import annotations
 
 import json
-import re
+import sys
 import unicodedata
 import zlib
 
 import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from sluice.llm.batches import Kernel, map_slices, texts_of
+from sluice.llm.batches import Kernel, code_points, joined_ids, map_slices, texts_of
 from sluice.session import checkpointed
 
 WINDOW = 2048
-#: Chunks a task keeps before it starts afresh; bounds memory, not results.
-MAX_CHUNKS = 400_000
+#: Pieces a task keeps before it starts afresh; bounds memory, not results.
+MAX_PIECES = 250_000
+#: Texts encoded at once.
+SLICE = 1_024
 #: Rows that one task ranks at most, on average.
 RANKED_ROWS = 20_000
 
 
-class ChunkEncoder:
+class PieceEncoder:
     """Ids of whole texts by a tokenizer that composes, lower-cases, and splits at white space and PIECE.
 
-    Such a tokenizer's ids of a text are those of its white-space-separated
-    chunks in turn, and a chunk's those of its pieces; both repeat. Pieces not
-    met lately are encoded together, a thousand in one call, and told apart by
-    the tokens that end a word. Texts with characters on which the two sides'
-    ideas of white space or lower case may differ are encoded whole.
+    Such a tokenizer's ids of a text are those of its pieces in turn, and
+    pieces repeat. They are cut and told apart in Arrow, so each distinct one
+    is looked up once in a call; those not met lately are encoded together, a
+    thousand at once, and told apart by the tokens that end a word. Texts with
+    the tokenizer's own marks, or with characters on which the two sides' ideas
+    of white space, letters or lower case may differ, are encoded whole.
     """
 
-    #: Fixed value: the tokenizer's own split.
-    PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-    DISPUTED = re.compile("[\x1c-\x1f\x85\u0130\u03a3]")
+    #: Fixed value: the tokenizer's own split, white space spelt out.
+    PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\t\n\v\f\r \p{Z}\p{L}\p{N}]+"
+    DISPUTED = "\x1c\x1d\x1e\x1f\x85\u0130\u03a3"
     TOGETHER = 1_000
 
     def __init__(self, definition: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True
-        model = json.loads(definition)["model"]
+        given = json.loads(definition)
+        self.marks = [a["content"] for a in given.get("added_tokens", [])]
+        #: Of every code point whether it is disputed, or unknown to this Python's tables and so perhaps a letter in others.
+        self.disputed = np.array([unicodedata.category(chr(c)) == "Cn" for c in range(sys.maxunicode + 1)])
+        self.disputed[list(map(ord, self.DISPUTED))] = True
+        model = given["model"]
         suffix = model["end_of_word_suffix"]
         self.ends = np.zeros(max(model["vocab"].values()) + 1, bool)
         self.ends[[i for t, i in model["vocab"].items() if t.endswith(suffix)]] = True
+        #: Pieces met lately, and those before them.
         self.known: dict[str, bytes] = {}
         self.former: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+
+    def odd(self, text: str) -> bool:
+        return bool(self.disputed[code_points(text)].any()) or any(m in text for m in self.marks)
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn_pieces(self, pieces: list[str]) -> None:
+    def learn(self, pieces: list[str]) -> None:
+        known = self.known
         parts = [pieces[i : i + self.TOGETHER] for i in range(0, len(pieces), self.TOGETHER)]
         for part, e in zip(parts, self.tokenizer.encode_batch_fast([" ".join(p) for p in parts], add_special_tokens=False)):
             ids = np.array(e.ids, "<u4")
@@ -73,51 +84,44 @@ class ChunkEncoder:
             if len(cuts) == len(part):
                 packed, at = ids.tobytes(), 0
                 for piece, cut in zip(part, cuts.tolist()):
-                    self.pieces[piece] = packed[at:cut]
+                    known[piece] = packed[at:cut]
                     at = cut
             else:
-                self.pieces.update(zip(part, self.whole(part)))
+                known.update(zip(part, self.whole(part)))
 
-    def learn(self, texts: list[list[str]]) -> None:
+    def ids_of(self, pieces: list[str]) -> list[bytes]:
         known, former = self.known, self.former
-        if len(known) > MAX_CHUNKS:
-            former = self.former = dict(known)
-            known.clear()
-        if len(self.pieces) > MAX_CHUNKS:
-            self.pieces.clear()
-        ask = []
-        for c in {c for chunks in texts for c in chunks if c not in known}:
-            ids = former.get(c)
-            if ids is None:
-                ask.append((c, self.PIECE.findall(c)))
-            else:
-                known[c] = ids
-        pieces = self.pieces
-        self.learn_pieces(list({p for _, ps in ask for p in ps if p not in pieces}))
-        for c, ps in ask:
-            known[c] = b"".join([pieces[p] for p in ps])
+        known[""] = b""  # white space at a text's ends leaves empty pieces
+        found = list(map(known.get, pieces))
+        if None in found:
+            new = [p for p, ids in zip(pieces, found) if ids is None]
+            known.update((p, former[p]) for p in new if p in former)
+            self.learn([p for p in new if p not in known])
+            found = list(map(known.__getitem__, pieces))
+        return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        texts = [unicodedata.normalize("NFC", t) for t in texts]
-        odd = {i for i, t in enumerate(texts) if self.DISPUTED.search(t)}
-        chunks = [[] if i in odd else t.lower().split() for i, t in enumerate(texts)]
-        self.learn(chunks)
-        known = self.known
-        out = [b"".join(map(known.__getitem__, c)) for c in chunks]
-        for i, ids in zip(sorted(odd), self.whole([texts[i] for i in sorted(odd)])):
-            out[i] = ids
+        """The packed ids of each text."""
+        if len(self.known) > MAX_PIECES:
+            self.former, self.known = self.known, {}
+        odd = {i for i, t in enumerate(texts) if self.odd(t)}
+        plain = pa.array(["" if i in odd else unicodedata.normalize("NFC", t).lower() for i, t in enumerate(texts)], pa.large_string())
+        split = pc.utf8_split_whitespace(pc.replace_substring_regex(plain, self.PIECE, r"\0 "))
+        out = joined_ids(split, self.ids_of)
+        for i, whole in zip(sorted(odd), self.whole([texts[i] for i in sorted(odd)])):
+            out[i] = whole
         return out
 
 
-_MADE: dict[int, ChunkEncoder] = {}
+_MADE: dict[int, PieceEncoder] = {}
 
 
-def _encoder(definition: str) -> ChunkEncoder:
+def _encoder(definition: str) -> PieceEncoder:
     """Made once in each Python worker."""
     key = hash(definition)
     if key not in _MADE:
         _MADE.clear()
-        _MADE[key] = ChunkEncoder(definition)
+        _MADE[key] = PieceEncoder(definition)
     return _MADE[key]
 
 
@@ -145,7 +149,7 @@ def pieces(df: DataFrame, tokenizer_path: str, end_id: int, window: int = WINDOW
 
     kind = dict(df.dtypes)[id_column]
     ddl = f"{id_column} {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
-    return map_slices(df.select(id_column, text_column), make, ddl, 256)
+    return map_slices(df.select(id_column, text_column), make, ddl, SLICE)
 
 
 def combinations(window: int, lengths: np.ndarray, weight: np.ndarray, depth: int = 3, most: int = 4096) -> list[tuple[int, ...]]:
