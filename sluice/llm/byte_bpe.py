@@ -18,24 +18,29 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import re
 import struct
+import sys
+import unicodedata
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
-from sluice.llm.batches import Kernel, map_slices, texts_of
+from sluice.llm.batches import Kernel, code_points, joined_ids, map_slices, texts_of
 
-#: Arcs and chunks a task keeps before it starts afresh; bounds memory, not results.
+#: Arcs and pieces a task keeps before it starts afresh; bounds memory, not results.
 MAX_ARCS = 500_000
-MAX_CHUNKS = 400_000
+MAX_PIECES = 250_000
+#: Texts encoded at once.
+SLICE = 1_024
 #: Later than every merge.
 NO_RANK = 1 << 40
 #: Ids decoded at once.
 DECODE_IDS = 8192
+_BYTES = [bytes((b,)) for b in range(256)]
 
 
 def parse_ranks(data: bytes) -> dict[bytes, int]:
@@ -43,48 +48,82 @@ def parse_ranks(data: bytes) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in map(bytes.split, data.splitlines()) if a}
 
 
-class BpeTransducer:
-    """Bytes of one pre-token in, ids (little-endian unsigned 32-bit) out.
+class State(dict):
+    """From the next byte to (next state, emitted ids); arcs are made on first use, and so is what is emitted under ENDING at the end."""
 
-    A state is a dict from the next byte to (next state, emitted ids); under
-    INFO it keeps what it stands for, under ENDING what is emitted at the end.
-    """
+    __slots__ = ("before", "machine", "pending", "places", "starts", "tokens")
+    ENDING = -1
+
+    def __init__(self, machine: BpeTransducer, before: int, pending: bytes, starts: tuple, tokens: tuple, places: tuple):
+        #: The last emitted token, the bytes since, start and token of the last token of each prefix of those, places where a longer token is open, with its node.
+        self.machine, self.before, self.pending, self.starts, self.tokens, self.places = machine, before, pending, starts, tokens, places
+
+    def __missing__(self, byte: int):
+        return self.machine.ending(self) if byte == self.ENDING else self.machine.arc(self, byte)
 
-    INFO, ENDING = -1, -2
+
+class BpeTransducer:
+    """Bytes of one pre-token in, ids (little-endian unsigned 32-bit) out."""
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.token = {i: t for t, i in ranks.items()}
         self.packed = {i: struct.pack("<I", i) for i in self.token}
-        #: Every start of a token: its id or -1, and whether a longer token starts so.
-        self.starts: dict[bytes, tuple[int, bool]] = {t: (i, False) for t, i in ranks.items()}
-        for t in ranks:
-            for k in range(1, len(t)):
-                self.starts[t[:k]] = (self.ranks.get(t[:k], -1), True)
-        self.spines: tuple[dict, dict] = ({}, {})
+        #: A trie of all tokens: (node << 8 | byte) to the next node; of each node its token or -1, and whether a longer token goes on from it.
+        self.trie: dict[int, int] = {}
+        self.node_token, self.node_open = [-1], [True]
+        for token, i in ranks.items():
+            node = 0
+            for byte in token:
+                key = node << 8 | byte
+                self.node_open[node] = True
+                node = self.trie.get(key)
+                if node is None:
+                    node = self.trie[key] = len(self.node_token)
+                    self.node_token.append(-1)
+                    self.node_open.append(False)
+            self.node_token[node] = i
+        self.lefts: dict[int, list[tuple[int, int]]] = {}
+        self.rights: dict[int, dict[int, int]] = {}
         self.split: dict[bytes, tuple[bytes, bytes]] = {}
         self.reset()
 
     def reset(self) -> None:
-        #: Last emitted token, pending bytes, start and token of the last token of each prefix of those, places where a longer token is open.
-        self.root: dict = {self.INFO: (-1, b"", (), (), ()), self.ENDING: b""}
-        self.states: dict[tuple[int, bytes], dict] = {(-1, b""): self.root}
+        self.root = State(self, -1, b"", (), (), ())
+        self.states: dict[tuple[int, bytes], State] = {(-1, b""): self.root}
         self.arcs = 0
         self.allowed: dict[int, bool] = {}
 
-    def spine(self, token: int, side: int) -> list[tuple[bytes, int]]:
+    def spine(self, token: int, side: int) -> Iterator[tuple[bytes, int]]:
         """The parts of a token that touch its end (side 1) or start (side 0), the whole first, each with the
         rank of the merge that consumes it: found by undoing the merges that formed it."""
-        found = self.spines[side].get(token)
+        part, until = self.token[token], NO_RANK
+        while True:
+            yield part, until
+            if len(part) == 1:
+                return
+            until = self.ranks[part]
+            part = self.halves(part)[side]
+
+    def left(self, token: int) -> list[tuple[int, int]]:
+        """Of the parts at a token's end from which a longer token goes on: node and rank."""
+        found = self.lefts.get(token)
         if found is None:
-            found, part, until = [], self.token[token], NO_RANK
-            while True:
-                found.append((part, until))
-                if len(part) == 1:
-                    break
-                until = self.ranks[part]
-                part = self.halves(part)[side]
-            self.spines[side][token] = found
+            found = []
+            for part, until in self.spine(token, 1):
+                node = 0
+                for byte in part:
+                    node = self.trie[node << 8 | byte]
+                if self.node_open[node]:
+                    found.append((node, until))
+            self.lefts[token] = found
+        return found
+
+    def right(self, token: int) -> dict[int, int]:
+        """Of the parts at a token's start: length to rank."""
+        found = self.rights.get(token)
+        if found is None:
+            found = self.rights[token] = {len(part): until for part, until in self.spine(token, 0)}
         return found
 
     def halves(self, part: bytes) -> tuple[bytes, bytes]:
@@ -107,25 +146,46 @@ class BpeTransducer:
         form a token whose rank comes before the merges that consume the two.
         Of equal ranks the left merge comes first.
         """
-        ranks = self.ranks
-        right = self.spine(b, 0)
-        for left, left_until in self.spine(a, 1):
-            for part, until in right:
-                rank = ranks.get(left + part)
-                if rank is not None and rank < left_until and rank <= until:
-                    return False
+        trie, right, token = self.trie, None, self.token[b]
+        for node, left_until in self.left(a):
+            for length, byte in enumerate(token, 1):
+                node = trie.get(node << 8 | byte)
+                if node is None:
+                    break
+                rank = self.node_token[node]
+                if 0 <= rank < left_until:
+                    right = right or self.right(b)
+                    if rank <= right.get(length, -1):
+                        return False
         return True
 
-    def arc(self, state: dict, byte: int) -> tuple[dict, bytes]:
+    def touches(self, before: int, pending: bytes) -> bool:
+        """Whether the merges may yet join the end of a token with what follows it: some part at its end and some bytes from ``pending`` on are or begin a token."""
+        trie = self.trie
+        for node, _ in self.left(before):
+            for byte in pending:
+                node = trie.get(node << 8 | byte)
+                if node is None:
+                    break
+                if self.node_token[node] >= 0:
+                    return True
+            else:
+                return True
+        return False
+
+    def arc(self, state: State, byte: int) -> tuple[State, bytes]:
         """The arc for a byte, made on first use."""
-        before, pending, starts, tokens, places = state[self.INFO]
-        n = len(pending) + 1
-        pending += bytes((byte,))
-        known, allowed, still, last = self.starts, self.allowed, [], -1
-        for start in (*places, n - 1):
-            token, longer = known.get(pending[start:], (-1, False))
-            if longer:
-                still.append(start)
+        before, starts, tokens = state.before, state.starts, state.tokens
+        pending = state.pending + _BYTES[byte]
+        n = len(pending)
+        trie, node_token, node_open, allowed, still, last = self.trie, self.node_token, self.node_open, self.allowed, [], -1
+        for start, node in (*state.places, (n - 1, 0)):
+            node = trie.get(node << 8 | byte)
+            if node is None:
+                continue
+            if node_open[node]:
+                still.append((start, node))
+            token = node_token[node]
             if token >= 0 and last < 0:
                 left = tokens[start - 1] if start else before
                 if left >= 0:
@@ -140,7 +200,7 @@ class BpeTransducer:
             raise ValueError("the vocabulary has no token for a byte")
         # the last boundary on the way to every place from which the future can go on: the end, and where a longer token is open
         cut = n
-        for at in still:
+        for at, _ in still:
             while at != cut:
                 if at > cut:
                     at = starts[at - 1]
@@ -155,22 +215,24 @@ class BpeTransducer:
             emitted = b"".join(reversed(out))
             before, pending, tokens = tokens[cut - 1], pending[cut:], tokens[cut:]
             starts = tuple([s - cut for s in starts[cut:]])
-            still = [s - cut for s in still]
+            still = [(s - cut, node) for s, node in still]
+        # the last emitted token only matters to a token that is open right after it
+        if before >= 0 and still and (still[0][0] or not self.touches(before, pending)):
+            before = -1
         found = self.states.get((before, pending))
         if found is None:
-            found = self.states[before, pending] = {self.INFO: (before, pending, starts, tokens, tuple(still))}
+            found = self.states[before, pending] = State(self, before, pending, starts, tokens, tuple(still))
         self.arcs += 1
         made = state[byte] = (found, emitted)
         return made
 
-    def ending(self, state: dict) -> bytes:
+    def ending(self, state: State) -> bytes:
         """What is emitted where the pre-token ends."""
-        _, pending, starts, tokens, _ = state[self.INFO]
-        out, at = [], len(pending)
+        out, at = [], len(state.pending)
         while at:
-            out.append(self.packed[tokens[at - 1]])
-            at = starts[at - 1]
-        state[self.ENDING] = found = b"".join(reversed(out))
+            out.append(self.packed[state.tokens[at - 1]])
+            at = state.starts[at - 1]
+        state[state.ENDING] = found = b"".join(reversed(out))
         return found
 
     def encode(self, piece: bytes) -> bytes:
@@ -180,33 +242,41 @@ class BpeTransducer:
             return self.packed[whole]
         if self.arcs > MAX_ARCS:
             self.reset()
-        state, out = self.root, []
+        state, out = self.root, b""
         for byte in piece:
-            arc = state.get(byte) or self.arc(state, byte)
-            state = arc[0]
-            if arc[1]:
-                out.append(arc[1])
-        end = state.get(self.ENDING)
-        out.append(self.ending(state) if end is None else end)
-        return b"".join(out)
+            state, emitted = state[byte]
+            if emitted:
+                out += emitted
+        return out + state[State.ENDING]
 
 
 class Encoder:
-    """Whole texts to packed ids, by a pattern that splits them into pre-tokens.
+    """Whole texts to packed ids, by the pattern of byte-level vocabularies, which splits them into pre-tokens.
 
-    Texts whose only white space is spaces and newlines are cut before each run
-    of those: no pre-token reaches from other characters into white space, so
-    the ids of a text are the ids of its chunks, and chunks repeat.
+    Pre-tokens repeat. Where the only white space is spaces and newlines they
+    are cut and told apart in Arrow: its expressions can't look ahead, so the
+    last of several white-space characters is set off first. Other texts, and
+    those of another pattern, are cut one by one.
     """
 
-    CHUNK = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
-    OTHER_SPACE = regex.compile(r"[^\S \n]")
-    OTHER_CONTROL = re.compile(r"[\x1c-\x1f\x85]")
+    #: Fixed value: the pattern that CUTS stands for.
+    USUAL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+    CUTS = (
+        (r"([ \n]+)([ \n])", "\\1\0\\2"),
+        (r"\x00([ \n])\z", r"\1"),
+        (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\x00 \n\p{L}\p{N}]+|[ \n]+", "\\0\0"),
+    )
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.pieces = regex.compile(pattern).findall
         self.transducer = BpeTransducer(ranks)
-        #: Chunks and pieces met lately, and those before them.
+        #: Of every code point whether a text with it is cut by itself: other white space, the mark between pieces, and what
+        #: this Python's tables don't know yet and others' may.
+        self.other = np.array([chr(c).isspace() or unicodedata.category(chr(c)) == "Cn" for c in range(sys.maxunicode + 1)])
+        self.other[[ord(" "), ord("\n")]] = False
+        self.other[0] = True
+        self.usual = pattern == self.USUAL
+        #: Pieces met lately, and those before them.
         self.known: dict[str, bytes] = {}
         self.former: dict[str, bytes] = {}
 
@@ -214,32 +284,30 @@ class Encoder:
         encode = self.transducer.encode
         return b"".join([encode(p.encode()) for p in self.pieces(text)])
 
-    def met(self, chunk: str) -> bytes:
-        """The ids of a chunk that is not among the latest."""
-        known = self.known
-        if len(known) >= MAX_CHUNKS:
-            self.former = dict(known)
-            known.clear()
-        ids = self.former.get(chunk)
-        if ids is None:
-            out = []
-            for piece in self.pieces(chunk):
-                part = known.get(piece)
-                if part is None:
-                    part = self.transducer.encode(piece.encode())
-                    if len(piece) < 48:
-                        known[piece] = part
-                out.append(part)
-            ids = b"".join(out)
-        if len(chunk) < 48:
-            known[chunk] = ids
-        return ids
-
-    def encode(self, text: str) -> bytes:
-        if self.OTHER_SPACE.search(text) or self.OTHER_CONTROL.search(text):
-            return self.of(text)
-        get, met = self.known.get, self.met
-        return b"".join([get(chunk) or met(chunk) for chunk in self.CHUNK.findall(text)])
+    def ids_of(self, pieces: list[str]) -> list[bytes]:
+        if len(self.known) >= MAX_PIECES:
+            self.former, self.known = self.known, {}
+        known, recall, encode = self.known, self.former.get, self.transducer.encode
+        known[""] = b""
+        found = list(map(known.get, pieces))
+        for i, ids in enumerate(found):
+            if ids is None:
+                piece = pieces[i]
+                found[i] = ids = recall(piece) or encode(piece.encode())
+                if len(piece) < 48:
+                    known[piece] = ids
+        return found
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The packed ids of each text."""
+        odd = {i for i, t in enumerate(texts) if not self.usual or self.other[code_points(t)].any()}
+        cut = pa.array(["" if i in odd else t for i, t in enumerate(texts)], pa.large_string())
+        for pattern, marked in self.CUTS:
+            cut = pc.replace_substring_regex(cut, pattern, marked)
+        out = joined_ids(pc.split_pattern(cut, "\0"), self.ids_of)
+        for i in odd:
+            out[i] = self.of(texts[i])
+        return out
 
 
 class Utf8Machine:
@@ -334,7 +402,7 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, id_column: str = "doc_i
         encoder, _ = _coders(data, pattern)
 
         def kernel(batch: pa.RecordBatch) -> dict:
-            ids = [np.frombuffer(encoder.encode(t), "<u4").astype(np.int64) for t in texts_of(batch, text_column)]
+            ids = [np.frombuffer(p, "<u4").astype(np.int64) for p in encoder.encode(texts_of(batch, text_column))]
             return {id_column: batch.column(id_column), "ids": ids}
 
         return kernel
@@ -375,20 +443,19 @@ def round_trip(df: DataFrame, ranks_path: str, pattern: str, id_column: str = "d
 
         def kernel(batch: pa.RecordBatch) -> dict:
             out: dict = {id_column: batch.column(id_column), "n_tokens": [], "ids_sha256": [], "decoded_sha256": [], "n_decoded_chars": []}
-            for text in texts_of(batch, text_column):
-                ids = encoder.encode(text)
-                machine, digest, chars = Utf8Machine(), hashlib.sha256(), 0
-                for part in decoder.chunks(ids):
-                    digest.update(part)
-                    chars += len(machine.feed(part))
+            for ids in encoder.encode(texts_of(batch, text_column)):
+                digest, chars = hashlib.sha256(), 0
+                for said in decoder.stream(decoder.chunks(ids)):
+                    digest.update(said.encode())
+                    chars += len(said)
                 out["n_tokens"].append(len(ids) // 4)
                 out["ids_sha256"].append(hashlib.sha256(ids).hexdigest())
                 out["decoded_sha256"].append(digest.hexdigest())
-                out["n_decoded_chars"].append(chars + len(machine.close()))
+                out["n_decoded_chars"].append(chars)
             return out
 
         return kernel
 
     kind = dict(df.dtypes)[id_column]
     ddl = f"{id_column} {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string, n_decoded_chars bigint"
-    return map_slices(df.select(id_column, text_column), make, ddl)
+    return map_slices(df.select(id_column, text_column), make, ddl, SLICE)
