@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from sluice.session import checkpointed
 
@@ -19,6 +20,8 @@ from sluice.session import checkpointed
 RATIO, MIN_PAGES, MIN_COUNT = 0.1, 5, 3
 #: So many boilerplate lines are sent to every task; more are joined by their page.
 BROADCAST_LINES = 200_000
+#: Hashes that a line is compared with, on average.
+BUCKET = 8
 
 
 def _hash(line):
@@ -42,6 +45,15 @@ def boilerplate(docs: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGE
     )
 
 
+def bucketed(lines: DataFrame) -> DataFrame:
+    """(_site, _hashes): the hashes of each site in as many buckets as let one hold BUCKET of them, so that looking a line up takes the same time on every site."""
+    sized = lines.withColumn("buckets", F.ceil(F.count(F.lit(1)).over(Window.partitionBy("site")) / BUCKET))
+    own = sized.select("site", F.pmod("line_hash", F.col("buckets")).alias("bucket"), "line_hash")
+    every = sized.select("site", "buckets").distinct().select("site", F.explode(F.sequence(F.lit(0).cast("long"), F.col("buckets") - 1)).alias("bucket"), F.lit(None).cast("long").alias("line_hash"))
+    filled = own.union(every).groupBy("site", "bucket").agg(F.collect_list("line_hash").alias("hashes"))
+    return filled.groupBy(F.col("site").alias("_site")).agg(F.transform(F.array_sort(F.collect_list(F.struct("bucket", "hashes"))), lambda b: b["hashes"]).alias("_hashes"))
+
+
 def dedup_lines(docs: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES, min_count: int = MIN_COUNT, site: str = "source", text_column: str = "text", id_column: str = "doc_id", dropped: str | None = "n_dropped", length_column: str | None = "n_chars", spare_copies: bool = False) -> DataFrame:
     """The documents with boilerplate lines taken out of their texts; all rows and columns stay.
 
@@ -54,10 +66,9 @@ def dedup_lines(docs: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGE
     """
     lines = checkpointed(boilerplate(docs, ratio, min_pages, min_count, site, text_column))
     several = lines.limit(BROADCAST_LINES + 1).count()
-    # all of a site's hashes in one array: small enough to be everywhere, or else joined by site and hash and gathered by page
+    # a site's hashes in buckets of a few: small enough to be everywhere, or else joined by site and hash and gathered by page
     if several <= BROADCAST_LINES:
-        sites = F.broadcast(lines.groupBy(F.col("site").alias("_site")).agg(F.collect_set("line_hash").alias("_hashes")))
-        found = docs.join(sites, F.col(site).eqNullSafe(F.col("_site")), "left").drop("_site")
+        found = docs.join(F.broadcast(bucketed(lines)), F.col(site).eqNullSafe(F.col("_site")), "left").drop("_site")
     else:
         key = "_row"
         rows = checkpointed(docs.withColumn(key, F.monotonically_increasing_id()))
@@ -65,11 +76,12 @@ def dedup_lines(docs: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGE
         hits = (
             mine.join(lines, F.col("_site").eqNullSafe(F.col("site")) & (F.col("_hash") == F.col("line_hash")))
             .groupBy(key)
-            .agg(F.collect_set("_hash").alias("_hashes"))
+            .agg(F.array(F.collect_set("_hash")).alias("_hashes"))
         )
         found = rows.join(hits, key, "left").drop(key)
     split = F.split(F.col(text_column), "\n", -1)
-    kept = F.filter(split, lambda x: ~F.array_contains(F.col("_hashes"), _hash(x)))
+    bucket = lambda h: F.get("_hashes", F.pmod(h, F.size("_hashes")).cast("int"))
+    kept = F.filter(split, lambda x: ~F.array_contains(bucket(_hash(x)), _hash(x)))
     hit = F.col("_hashes").isNotNull() & (F.size(kept) < F.size(split))
     if spare_copies:
         hit &= F.exists(kept, lambda x: F.trim(x) != "")

@@ -14,7 +14,13 @@ from sluice.llm import byte_bpe, line_dedup, packing, secrets, shingle_join, sub
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 LONG = "alpha beta gamma delta. " * 6000
-ODD = [None, "", " ", "\n\n", "a", "İſ Σ é \x1c\x85 日本 🙂", "don't  stop\tit's", LONG, "same text", "same text"]
+ODD = [None, "", " ", "\n\n", "a", "İſ Σ é \x1c\x85 日本 🙂", "don't  stop\tit's", LONG, "same text", "same text", "a <|endoftext|> b<|startoftext|>\x00  \n c  "]
+SIGNS = [*"abcXYZ012'’ .,!?-_\n\n  \t\r\v\f\\|<>", "\u00a0", "\u3000", "\u200b", "\u2028", "é", "e\u0301", "ß", "İ", "Σ", "ς", "日", "ж", "١", "½", "🙂", "'s", "'RE", " the", "<|endoftext|>", "<|ENDOFTEXT|>", "\ufeff", "\x00", "\x1c", "\x85", "ﬁ", "ǅ", "א", "क्", "\u1c89", "\ua7cb"]
+
+
+def fuzz(seed, n):
+    rnd = np.random.default_rng(seed)
+    return ["".join(SIGNS[k] for k in rnd.integers(0, len(SIGNS), rnd.integers(0, 40))) for _ in range(n)]
 
 
 @pytest.fixture(scope="module")
@@ -38,6 +44,29 @@ def test_byte_bpe_is_tiktoken(spark, odd):
     assert byte_bpe.round_trip(odd.limit(0), RANKS, public_tokenizers.PATTERN).count() == 0
 
 
+def test_encoders_are_the_libraries():
+    ranks = byte_bpe.parse_ranks(open(RANKS, "rb").read())
+    own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rnd = np.random.default_rng(9)
+    parts = [t for t in ranks if not t.strip(b"abcdefghijklmnopqrstuvwxyzABC ")]
+    texts = fuzz(1, 3000) + ["".join(map(chr, rnd.integers(97, 101, 30))) for _ in range(1000)]
+    texts += [b"".join(parts[k] for k in rnd.integers(len(parts), size=6)).decode() for _ in range(3000)]
+    encoder = byte_bpe.Encoder(ranks, public_tokenizers.PATTERN)
+    assert encoder.usual
+    assert [np.frombuffer(p, "<u4").tolist() for p in encoder.encode(texts)] == own.encode_ordinary_batch(texts)
+    byte_bpe.MAX_ARCS, kept = 1000, byte_bpe.MAX_ARCS  # states are made afresh
+    try:
+        assert encoder.encode(texts[::-1])[::-1] == encoder.encode(texts)
+    finally:
+        byte_bpe.MAX_ARCS = kept
+    words = packing.PieceEncoder(open(WORDS, encoding="utf-8").read())
+    expected = Tokenizer.from_file(WORDS).encode_batch(texts, add_special_tokens=False)
+    for _ in range(2):
+        assert [np.frombuffer(p, "<u4").tolist() for p in words.encode(texts)] == [e.ids for e in expected]
+        words.known, words.former = {}, words.known
+    assert np.frombuffer(words.encode(["a <|endoftext|> b"])[0], "<u4").tolist() == [320, 49407, 321]
+
+
 def test_utf8_machine_holds_back_open_characters():
     machine = byte_bpe.Utf8Machine()
     data = "a🙂é".encode() + b"\xe2\x82" + b"A\xff"
@@ -70,7 +99,6 @@ def test_secrets(spark, odd):
 
 def packed(rows, texts):
     reference = Tokenizer.from_file(WORDS)
-    reference.encode_special_tokens = True
     ids = {i: [*reference.encode(t or "", add_special_tokens=False).ids, 1] for i, t in texts.items()}
     by_doc, by_sequence = {}, {}
     for r in rows:
@@ -97,7 +125,7 @@ def test_packing(spark, odd):
     tokens = sum(r["length"] for r in rows)
     assert len(sequences) <= -(-tokens // packing.WINDOW) + 2
     assert packing.pack(df.limit(0), WORDS, 1).count() == 0
-    repeated = packing.pack(odd.where("doc_id >= 8"), WORDS, 1).collect()
+    repeated = packing.pack(odd.where("doc_id in (8, 9)"), WORDS, 1).collect()
     assert len(repeated) == 3 and len({(r["sequence_id"], r["offset"]) for r in repeated}) == 3
 
 
@@ -124,8 +152,9 @@ def test_line_dedup(spark, monkeypatch):
     rows = [(i, "a" if i < 30 else None if i < 36 else "c", f"own {i}\n menu \nfoot\n\nlast{i % 3}") for i in range(40)] + [(90, "a", None), (91, "a", ""), (92, "c", "menu")]
     df = spark.createDataFrame(rows, "doc_id long, source string, text string").withColumn("site", F.lit(1)).withColumn("n_chars", F.lit(-1).cast("long"))
     expected = brute_lines(rows, 0.4, 5, 3)
-    for most in (line_dedup.BROADCAST_LINES, 0):  # both ways of joining
+    for most, bucket in ((line_dedup.BROADCAST_LINES, line_dedup.BUCKET), (line_dedup.BROADCAST_LINES, 1), (0, 8)):  # both ways of joining
         monkeypatch.setattr(line_dedup, "BROADCAST_LINES", most)
+        monkeypatch.setattr(line_dedup, "BUCKET", bucket)
         found = line_dedup.dedup_lines(df, ratio=0.4)
         assert found.columns == [*df.columns, "n_dropped"]
         got = found.collect()
