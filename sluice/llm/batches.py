@@ -27,7 +27,9 @@ def map_slices(df: DataFrame, make: Callable[[], Kernel], ddl: str, rows: int =
 
     ``make`` runs once in each task and returns the kernel, which turns a slice
     into columns by name. State that outlives a slice belongs to the kernel and
-    must be bounded. Rows without any output are fine.
+    must be bounded; a kernel may have a function ``release`` for what would
+    outlive the task in a worker that is used again. Rows without any output
+    are fine.
     """
     ship(df.sparkSession)
     schema = schema_of(ddl)
@@ -44,6 +46,7 @@ def map_slices(df: DataFrame, make: Callable[[], Kernel], ddl: str, rows: int =
                     for n in names
                 ]
                 yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
+        getattr(kernel, "release", lambda: None)()
 
     return df.mapInArrow(run, ddl)
 

@@ -69,6 +69,9 @@ class PieceEncoder:
         self.known: dict[str, bytes] = {}
         self.former: dict[str, bytes] = {}
 
+    def forget(self) -> None:
+        self.known, self.former = {}, {}
+
     def odd(self, text: str) -> bool:
         return bool(self.disputed[code_points(text)].any()) or any(m in text for m in self.marks)
 
@@ -145,6 +148,7 @@ def pieces(df: DataFrame, tokenizer_path: str, end_id: int, window: int = WINDOW
             names = ("start", "length", "ids_crc32", "doc_tokens")
             return {id_column: batch.column(id_column).take(pa.array(rows[0], pa.int64()))} | dict(zip(names, rows[1:]))
 
+        kernel.release = encoder.forget
         return kernel
 
     kind = dict(df.dtypes)[id_column]

@@ -158,7 +158,7 @@ def _hinge(x: np.ndarray, rows: np.ndarray, y: np.ndarray, weight: np.ndarray, r
 
 
 def fit_machine(docs: list[list[str]], labels: np.ndarray, rounds: int = 3, witnesses: int = 10) -> Machine | None:
-    """From documents' distinct words and their labels; None unless both labels occur."""
+    """From documents' distinct words, none longer than a window, and their labels; None unless both labels occur."""
     toxic = int(labels.sum())
     if toxic in (0, len(labels)):
         return None
@@ -181,16 +181,16 @@ def fit_machine(docs: list[list[str]], labels: np.ndarray, rounds: int = 3, witn
     chosen = dict.fromkeys(int(i) for i in np.argsort(-told, kind="stable")[: LANDMARKS // 2])
     chosen |= dict.fromkeys(int(i) for i in np.argsort(-n.sum(1), kind="stable")[: LANDMARKS // 2])
     landmarks = [vocabulary[i] for i in chosen]
-    values, (present, table) = _kernel([w[:WINDOW] for w in vocabulary], [w[:WINDOW] for w in landmarks])
+    values, (present, table) = _kernel(vocabulary, landmarks)
     # what bears the label also does so with a letter put in: as many copies as places, in all a quarter of the word's own weight
-    disguised = [(i, w[:k] + c + w[k:]) for i in np.argsort(-told, kind="stable")[:64] if bearing[i] for w in [vocabulary[i]] for k in range(1, len(w)) for c in "xeo"]
+    disguised = [(i, w[:k] + c + w[k:]) for i in np.argsort(-told, kind="stable")[:64] if bearing[i] and len(vocabulary[i]) < WINDOW for w in [vocabulary[i]] for k in range(1, len(w)) for c in "xeo"]
     parents = np.array([i for i, _ in disguised], np.int64)
     share = 0.25 / np.maximum(np.bincount(parents, minlength=len(vocabulary)), 1)
     own = values[list(chosen)].astype(float)
     spectrum, basis = np.linalg.eigh((own + own.T) / 2)
     sound = spectrum > 1e-4 * spectrum[-1]
     whiten = basis[:, sound] / np.sqrt(spectrum[sound])
-    masked = _kernel([w[:WINDOW] for _, w in disguised], [w[:WINDOW] for w in landmarks])[0]
+    masked = _kernel([w for _, w in disguised], landmarks)[0]
     x = np.ones((len(vocabulary) + len(disguised), int(sound.sum()) + 1), np.float32)
     x[: len(vocabulary), :-1] = values @ whiten.astype(np.float32)
     x[len(vocabulary) :, :-1] = masked @ whiten.astype(np.float32)
@@ -247,10 +247,15 @@ def words_of(text: str) -> list[str]:
     return list(dict.fromkeys(found))
 
 
-def fit(sample: list[tuple[str, int]]) -> Model:
-    """From labelled texts. Without both labels nothing is toxic: every score is 0."""
+def windows_of(text: str) -> list[str]:
+    """What a text is learned from: its distinct words in windows, folded."""
+    return sorted({w for c in words_of(text) if (f := fold(c)) for w in windows(f)})
+
+
+def fit(sample: list[tuple[list[str], int]]) -> Model:
+    """From the windows of labelled texts. Without both labels nothing is toxic: every score is 0."""
     labels = np.array([y for _, y in sample], int)
-    docs = [sorted({f for c in words_of(t or "") if (f := fold(c))}) for t, _ in sample]
+    docs = [w for w, _ in sample]
     half = np.zeros(len(docs), int)
     for y in (0, 1):
         half[labels == y] = np.arange((labels == y).sum()) % 2
@@ -270,23 +275,27 @@ def fit(sample: list[tuple[str, int]]) -> Model:
     return Model(fit_machine(docs, labels), c)
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_column: str = "doc_id", text_column: str = "text", most: int = SAMPLE_DOCS) -> list[tuple[str, int]]:
-    """At most ``most`` labelled texts, picked by hash of their ids; a document's label is the largest it has."""
-    given = (
-        labels.where(F.col(id_column).isNotNull() & F.col(label).isNotNull())
-        .groupBy(id_column)
-        .agg(F.max(label).alias("label"))
-        .orderBy(F.xxhash64(id_column), id_column)
-        .limit(most)
-    )
-    rows = (
-        docs.select(id_column, text_column)
-        .join(F.broadcast(given), id_column)
-        .groupBy(id_column)
-        .agg(F.first("label").alias("label"), F.min(text_column).alias("text"))
-        .collect()
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_column: str = "doc_id", text_column: str = "text", most: int = SAMPLE_DOCS) -> list[tuple[list[str], int]]:
+    """The windows and the label of at most ``most`` documents, picked by hash among those with a label; a document's label
+    is the largest it has, its text the least. Only distinct words come to the driver."""
+    known = labels.where(F.col(id_column).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(id_column).alias("id")).agg(F.max(label).alias("label"))
+    given = known.join(docs.select(F.col(id_column).alias("id")), "id", "left_semi").orderBy(F.xxhash64("id"), "id").limit(most)
+    texts = (
+        docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+        .join(F.broadcast(given), "id")
+        .groupBy("id")
+        .agg(F.first("label").alias("label"), F.min("text").alias("text"))
     )
-    return [(r["text"] or "", int(r["label"] == 1)) for r in sorted(rows, key=lambda r: r[id_column])]
+
+    def make() -> Kernel:
+        def kernel(batch: pa.RecordBatch) -> dict:
+            return {"id": batch.column("id"), "label": batch.column("label"), "words": [windows_of(t) for t in texts_of(batch)]}
+
+        return kernel
+
+    kinds = dict(texts.dtypes)
+    rows = map_slices(texts, make, f"id {kinds['id']}, label {kinds['label']}, words array<string>").collect()
+    return [(r["words"], int(r["label"] == 1)) for r in sorted(rows, key=lambda r: r["id"])]
 
 
 def score(df: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -337,7 +346,11 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, i
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The documents that score below the threshold, with all their columns."""
+    """The documents that score below the threshold, with all their columns.
+
+    Null and empty texts score as texts without words and stay unless such
+    score above; repeated rows stay or go together; an empty table stays empty.
+    """
     model = fit(labelled_sample(docs, labels.where(~held_out(id_column)), id_column=id_column, text_column=text_column))
     named = docs.columns
     hidden = "score"

@@ -314,6 +314,29 @@ def test_toxicity_sample_is_as_large_as_it_was():
     assert toxicity.SAMPLE_DOCS == 4_000
 
 
+def test_long_words_are_learned_in_windows():
+    long = "a" * 30 + "scumbag" + "b" * 30
+    assert any("scumbag" in w for w in toxicity.windows_of(f"x {long}")) and max(map(len, toxicity.windows_of(long))) <= toxicity.WINDOW
+    rows = [(["plain", "words", *(["scumbag"] if k % 3 == 0 else [])] + [f"w{k % 7}"], int(k % 3 == 0)) for k in range(90)]
+    model = toxicity.fit(rows)
+    assert model.machine.scores([long])[0] > model.machine.scores(["a" * 30 + "window" + "b" * 30])[0]
+
+
+def test_toxicity_of_labels_that_were_held_out(spark):
+    data = "/root/testdata/sf0.1"
+    found = toxicity.classify(spark.read.parquet(f"{data}/documents.parquet"), spark.read.parquet(f"{data}/labels.parquet"))
+    told = found.where("held_out").join(spark.read.parquet(f"{data}/labels.parquet"), "doc_id").groupBy("toxic").agg(F.avg("predicted").alias("share"), F.count(F.lit(1)).alias("n"))
+    share = {r["toxic"]: (r["share"], r["n"]) for r in told.collect()}
+    assert share[1][1] > 100 and share[1][0] > 0.83 and share[0][0] < 0.01
+
+
+def test_labels_without_a_document_take_no_place_in_the_sample(spark):
+    docs = spark.createDataFrame([(k, f"word{k}") for k in range(50)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(1000)] + [(None, 1), (3, None)], "doc_id long, toxic int")
+    sample = toxicity.labelled_sample(docs, labels, most=50)
+    assert len(sample) == 50 and sum(y for _, y in sample) == 25 and all(len(w) == 1 for w, _ in sample)
+
+
 def test_toxicity(spark, odd):
     rnd = np.random.default_rng(4)
     plain = ["the", "house", "green", "walks", "over", "river", "slowly", "and", "bread", "window", "paper", "stone"]
@@ -332,7 +355,7 @@ def test_toxicity(spark, odd):
     assert all(got[i]["predicted"] == y for i, _, y in rows)
     kept = toxicity.drop_toxic(docs, labels)
     assert kept.columns == docs.columns and kept.count() == 300 and kept.first()["score"] == "own"
-    model = toxicity.fit([r[1:] for r in rows])
+    model = toxicity.fit([(toxicity.windows_of(r[1]), r[2]) for r in rows])
     hidden = spark.createDataFrame(enumerate(["green river i d i o t walks idiot", "an idi.ot and a sc*umbag", "green river walks"]), "doc_id long, text string")
     scores = [r["score"] for r in toxicity.score(hidden, model).orderBy("doc_id").collect()]
     assert min(scores[:2]) > scores[2]
