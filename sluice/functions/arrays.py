@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -56,21 +58,23 @@ def softmax(values: Column | str) -> Column:
 
 
 def laplacian_variance(values: Column | str, side: int) -> Column:
-    """Population variance of the four-neighbour Laplacian of a square picture given row by row; borders mirror without repeating the edge."""
-    values = _col(values)
-
-    def mirrored(i: int) -> int:
-        return -i if i < 0 else 2 * side - 2 - i if i >= side else i
-
-    near = [
-        [mirrored(r - 1) * side + c, mirrored(r + 1) * side + c, r * side + mirrored(c - 1), r * side + mirrored(c + 1)]
-        for r in range(side)
-        for c in range(side)
-    ]
-    index = F.array(*(F.array(*(F.lit(k) for k in row)) for row in near))
-    edges = F.transform(index, lambda row, i: total(F.transform(row, lambda k: F.get(values, k))) - 4 * F.get(values, i).cast("double"))
-    mean = total(edges) / F.size(edges)
-    return total(F.transform(edges, lambda e: (e - mean) * (e - mean))) / F.size(edges)
+    """Population variance of the four-neighbour Laplacian of a square picture given row by row; borders mirror without repeating the edge.
+
+    A kernel over Arrow batches: as nested array functions it is evaluated cell
+    by cell. Null for null arrays, missing values and other sizes.
+    """
+
+    @F.pandas_udf("double")
+    def kernel(rows: pd.Series) -> pd.Series:
+        whole = [r is not None and len(r) == side * side for r in rows]
+        out = np.full(len(rows), np.nan)
+        if any(whole):
+            grid = np.stack([r for r, fine in zip(rows, whole) if fine]).astype(float).reshape(-1, side, side)
+            p = np.pad(grid, ((0, 0), (1, 1), (1, 1)), mode="reflect" if side > 1 else "edge")
+            out[whole] = (p[:, :-2, 1:-1] + p[:, 2:, 1:-1] + p[:, 1:-1, :-2] + p[:, 1:-1, 2:] - 4 * grid).var(axis=(1, 2))
+        return pd.Series(out).where(np.isfinite(out), None).astype("Float64")
+
+    return kernel(_col(values))
 
 
 def aspect_ratio(width: Column | str, height: Column | str) -> Column:

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from sluice.session import checkpointed
+
 #: Name, place in the registry, needs a key, priority, requests an hour, results a page.
 SOURCES = (
     ("unsplash", 0, True, 1, 50, 30),
@@ -78,7 +80,7 @@ def allocate(hits: DataFrame, sources: DataFrame, most: int, keyword: str = "key
             )
         first = F.row_number().over(Window.partitionBy(keyword, url).orderBy("pos"))
         mine = mine.withColumn("_first", first).where("_first = 1").drop("_first", "_rank").withColumn("_order", F.lit(order))
-        taken = mine if taken is None else taken.unionByName(mine)
+        taken = checkpointed(mine if taken is None else taken.unionByName(mine))  # it is read three times in the next step
     if taken is None:
         return hits.limit(0).withColumn("taken_pos", F.lit(0).cast("long"))
     place = F.row_number().over(Window.partitionBy(keyword).orderBy("_order", "pos")) - 1

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
+from sluice.operators.order import ranked
 from sluice.session import checkpointed
 
 
@@ -36,23 +38,33 @@ def ordered_union_distinct(frames: list[DataFrame], key: str, order: str = "pos"
     return first_rows(union, key, "_place").drop("_place", "_frame")
 
 
+def band_masks(rows: int, threshold: int, bits: int, most: int = 4) -> list[int]:
+    """The bits that pairs within a threshold may be joined on: every choice of g among threshold + g bands, as signed longs."""
+    best = None
+    for g in range(1, most + 1):
+        bands = threshold + g
+        cuts = [bits * k // bands for k in range(bands + 1)]
+        parts = [((1 << (hi - lo)) - 1) << lo for lo, hi in zip(cuts, cuts[1:])]
+        masks = [sum(choice) for choice in combinations(parts, g)]
+        cost = rows * len(masks) + sum(rows * rows / 2 ** (1 + m.bit_count()) for m in masks)
+        if best is None or cost < best[0]:
+            best = cost, masks
+    return sorted({m - (1 << 64) if m >> 63 else m for m in best[1]})
+
+
 def hamming_pairs(df: DataFrame, threshold: int, id_column: str = "id", hash_column: str = "h", bits: int = 64) -> DataFrame:
     """(a, b, distance) of every pair a < b within a threshold, exactly.
 
-    A pair within t bits agrees on one of t + 1 bands at least, so the pairs are
-    an equi-join on bands; with bands of under a few bits that joins nearly all
-    rows with all, as any exact method would. Equal hashes should be collapsed
-    first, as ``near_dup_greedy`` does.
+    A pair within t bits agrees on g of t + g bands at least, so the pairs are
+    an equi-join on choices of g bands: more keys for each row as g grows, but
+    longer ones, that fewer rows share by chance. g is what makes the number of
+    rows and expected meetings least. Equal hashes should be collapsed first, as
+    ``near_dup_greedy`` does.
     """
-    bands = threshold + 1
-    cuts = [bits * k // bands for k in range(bands + 1)]
-    base = df.where(F.col(hash_column).isNotNull()).select(F.col(id_column).alias("id"), F.col(hash_column).cast("long").alias("h"))
-    parts = [
-        F.struct(F.lit(k).alias("band"), F.shiftrightunsigned("h", lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1 if hi - lo < 64 else -1)).alias("bits"))
-        for k, (lo, hi) in enumerate(zip(cuts, cuts[1:]))
-        if hi > lo
-    ]
-    banded = base.select("id", "h", F.inline(F.array(*parts)))
+    base = checkpointed(df.where(F.col(hash_column).isNotNull()).select(F.col(id_column).alias("id"), F.col(hash_column).cast("long").alias("h")))
+    masks = band_masks(base.count(), threshold, bits)
+    keys = F.transform(F.array(*(F.lit(m) for m in masks)), lambda m, k: F.struct(k.alias("band"), F.col("h").bitwiseAND(m).alias("bits")))
+    banded = base.select("id", "h", F.inline(keys))
     left = banded.select(F.col("id").alias("a"), F.col("h").alias("ha"), "band", "bits")
     right = banded.select(F.col("id").alias("b"), F.col("h").alias("hb"), "band", "bits")
     distance = F.bit_count(F.col("ha").bitwiseXOR(F.col("hb")))
@@ -107,4 +119,4 @@ def content_key(df: DataFrame, content: str, algorithm: str = "md5") -> DataFram
 
 def numbered_firsts(df: DataFrame, key: str, order: str) -> DataFrame:
     """Every row with its number among those of its key, from 1, in ``occurrence``."""
-    return df.withColumn("occurrence", F.row_number().over(Window.partitionBy(key).orderBy(order)))
+    return ranked(df, [key], [order], "occurrence").withColumn("occurrence", F.col("occurrence") + 1)

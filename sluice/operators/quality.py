@@ -15,6 +15,8 @@ MIN_WIDTH, MIN_HEIGHT = 480, 360
 MAX_WIDTH, MAX_HEIGHT = 1920, 1080
 SHARPNESS = 100.0
 SIMILARITY = 0.25
+#: Prompts that one call compares with at most: what is sent to every task.
+PROMPTS = 10_000
 ANCHORS = ("flood", "disaster", "water damage", "emergency")
 
 
@@ -103,7 +105,11 @@ def similarity_logits(assets: DataFrame, prompts: DataFrame, asset_vector: str =
 
     The prompts (a query's keywords and anchors) are packed into one row of one
     array, whose size is the number of prompts, so the assets aren't multiplied.
+    Every asset's logits have that size as well: more than PROMPTS prompts are
+    an error.
     """
+    if prompts.limit(PROMPTS + 1).count() > PROMPTS:
+        raise ValueError(f"more than {PROMPTS} prompts for one set of logits")
     packed = prompts.agg(F.transform(F.array_sort(F.collect_list(F.struct(prompt_order, prompt_vector))), lambda p: p[prompt_vector]).alias("_prompts"))
     product = F.transform(
         "_prompts", lambda p: F.aggregate(F.zip_with(p, F.col(asset_vector), lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda a, x: a + x) * scale

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from collections import deque
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sluice.operators.order import ranked, running_max
+
 WINDOW_SECONDS = 3600
 
 
@@ -16,10 +14,16 @@ def window_counts(events: DataFrame, key: str = "source", ts: str = "ts", second
     """Events with ``in_window``: the events of their key less than so many seconds old, themselves included.
 
     The frame is half-open: an event just that old is out. Rows at one time see
-    each other.
+    each other, and so do those without a time. Events are dealt by key and
+    stretch of time, each also as the past of the next stretch, so no task gets
+    all of a key.
     """
-    frame = f"count(*) over (partition by {key} order by {ts} range between interval '{seconds - 1}.999999' second preceding and current row)"
-    return events.select("*", F.expr(frame).alias("in_window"))
+    since = F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(ts).cast("timestamp_ntz"))
+    own = F.floor(since / seconds)
+    dealt = events.withColumn("_own", own).withColumn("_in", F.explode(F.when(own.isNull(), F.array(F.lit(None).cast("long"))).otherwise(F.array(own, own + 1))))
+    frame = f"count(*) over (partition by {key}, _in order by {ts} range between interval '{seconds - 1}.999999' second preceding and current row)"
+    counted = dealt.withColumn("in_window", F.expr(frame))
+    return counted.where(F.col("_own").eqNullSafe(F.col("_in"))).drop("_own", "_in")
 
 
 def remaining(events: DataFrame, limits: DataFrame, now, key: str = "source", ts: str = "ts", seconds: int = WINDOW_SECONDS) -> DataFrame:
@@ -38,28 +42,17 @@ def oldest_in_window(events: DataFrame, now, key: str = "source", ts: str = "ts"
 def admissions(events: DataFrame, limit: int, key: str = "source", ts: str = "ts", event: str = "event_id", seconds: int = WINDOW_SECONDS) -> DataFrame:
     """(key, event, ts, admitted_us, waited_us): when each event may go if at most ``limit`` go in any window.
 
-    admitted_n = max(arrival_n, admitted_{n-limit} + window), a recurrence over
-    the arrivals of a key that no built-in expresses. It needs only the last
-    ``limit`` admissions, so rows sorted by (key, arrival) stream through and a
-    key of any length is never gathered. A limit of 0 admits all at once.
+    admitted_n = max(arrival_n, admitted_{n-limit} + window). So the arrivals of
+    a key are ``limit`` chains of every limit-th one, and in a chain what is
+    admitted k-th, less k windows, is the running maximum of what arrived, less
+    as many windows each: a rank and a running maximum, both cut into parts, so
+    a key of any length spans many tasks. A limit of 0 admits all at once.
     """
-    kinds = dict(events.dtypes)
     base = events.where(F.col(ts).isNotNull()).select(F.col(key), F.col(event), F.unix_micros(F.col(ts).cast("timestamp")).alias("us"))
     if limit == 0:
         return base.select(key, event, F.col("us").alias("arrived_us"), F.col("us").alias("admitted_us"), F.lit(0).cast("long").alias("waited_us"))
-    window = seconds * 1_000_000
-
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last, now = deque(maxlen=limit), object()
-        for part in parts:
-            admitted = []
-            for k, us in zip(part[key], part["us"]):
-                if k != now:
-                    last, now = deque(maxlen=limit), k
-                at = us if len(last) < limit else max(us, last[0] + window)
-                last.append(at)
-                admitted.append(at)
-            yield pd.DataFrame({key: part[key], event: part[event], "arrived_us": part["us"], "admitted_us": admitted, "waited_us": [a - u for a, u in zip(admitted, part["us"])]})
-
-    ddl = f"{key} {kinds[key]}, {event} {kinds[event]}, arrived_us bigint, admitted_us bigint, waited_us bigint"
-    return base.repartition(key).sortWithinPartitions(key, "us", event).mapInPandas(run, ddl)
+    window, rows = seconds * 1_000_000, base.count()
+    placed = ranked(base, [key], ["us", event], "_n", rows).withColumn("_chain", F.col("_n") % limit).withColumn("_k", F.floor(F.col("_n") / limit))
+    early = placed.withColumn("_early", F.col("us") - F.col("_k") * window)
+    admitted = running_max(early, [key, "_chain"], "_k", "_early", "_most", rows).withColumn("admitted_us", F.col("_most") + F.col("_k") * window)
+    return admitted.select(key, event, F.col("us").alias("arrived_us"), "admitted_us", (F.col("admitted_us") - F.col("us")).alias("waited_us"))

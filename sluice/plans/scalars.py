@@ -14,10 +14,10 @@ from sluice.sources.web import links
 
 @query(
     "keyword_dir",
-    r"""select doc_id, replace(regexp_replace(regexp_replace(left(text, 60), '[<>:"/\\|?*]', '', 'g'), '^[\s]+|[\s]+$', '', 'g'), ' ', '_') as dir from documents""",
+    r"""select doc_id, replace(regexp_replace(regexp_replace(text, '[<>:"/\\|?*]', '', 'g'), '^[\s]+|[\s]+$', '', 'g'), ' ', '_') as dir from documents""",
 )
 def keyword_dir(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", T.keyword_dir(F.left("text", F.lit(60))).alias("dir"))
+    return table(spark, sf_dir, "documents").select("doc_id", T.keyword_dir("text").alias("dir"))
 
 
 _URLS = "(select page_id, case page_id % 5 when 0 then url || '.JPG' when 1 then url || '_th.png?x=1' when 2 then url || '_med.webp' when 3 then url || '/flickr/a.gif' else url end as url from pages)"

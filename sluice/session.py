@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import contextlib
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -50,21 +51,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a private one where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or a private one where that is unset and all is one process."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder and not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     return folder or os.path.join(tempfile.gettempdir(), f"sluice-checkpoints-{os.getpid()}")
 
 
 def stored(df: DataFrame) -> DataFrame:
     """Cut the lineage with a Parquet table in the shared folder, which is smaller than a checkpoint of wide rows.
 
-    The table is deleted when the application ends; copies of it in memory hold no rows.
+    The table is deleted by ``free``, or else when the application ends; copies of it in memory hold no rows.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/sluice-{uuid.uuid4().hex}"
     df.write.parquet(path)
     atexit.register(_delete, spark, path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out._sluice_path = path
+    return out
+
+
+def free(df: DataFrame) -> None:
+    """Delete the table behind a result of ``stored`` that nothing will read any more; other DataFrames are left alone."""
+    path = getattr(df, "_sluice_path", None)
+    if path:
+        _delete(df.sparkSession, path)
 
 
 def _delete(spark: SparkSession, path: str) -> None:

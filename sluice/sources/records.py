@@ -65,7 +65,6 @@ def _meta(key: str):
 
 
 def specs() -> dict[str, SourceSpec]:
-    none = F.lit(None).cast("string")
     return {
         "unsplash": SourceSpec(
             "unsplash",
@@ -127,7 +126,6 @@ def specs() -> dict[str, SourceSpec]:
             },
             lambda b: F.when(b.getField("continue").isNotNull(), 999).otherwise(1),
         ),
-        "none": SourceSpec("none", "x string", lambda b: F.array(), {"url": lambda: none}, lambda b: F.lit(0)),
     }
 
 

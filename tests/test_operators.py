@@ -6,8 +6,8 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from sluice.operators import acquire, rate, report
-from sluice.operators.dedup import hamming_pairs, near_dup_greedy, ordered_union_distinct
+from sluice.operators import acquire, dedup, order, rate, report
+from sluice.operators.dedup import band_masks, hamming_pairs, near_dup_greedy, numbered_firsts, ordered_union_distinct
 from sluice.operators.quality import Thresholds, compose, heuristics, large_enough, normalized_size, sharp, similarity
 from sluice.operators.scenes import frame_names, scene_keyframes
 
@@ -125,16 +125,61 @@ def test_rate_window_is_half_open(spark):
     assert left == {"s": 3, "t": 2, "u": None}
 
 
-def test_admission_matches_a_loop(spark):
+@pytest.mark.parametrize("part", [order.RANKED_ROWS, 7])
+def test_admission_matches_a_loop(spark, part, monkeypatch):
+    monkeypatch.setattr(order, "RANKED_ROWS", part)  # one task, and a key over many
     rnd = random.Random(3)
     rows = [(s, i, datetime.datetime(2024, 1, 1) + datetime.timedelta(seconds=rnd.randrange(20000))) for s in "ab" for i in range(40)]
-    found = rate.admissions(spark.createDataFrame(rows, "source string, event_id int, ts timestamp_ntz"), 3).collect()
-    for s in "ab":
-        mine = sorted((r["arrived_us"], r["event_id"], r["admitted_us"]) for r in found if r["source"] == s)
-        out = []
-        for us, _, _ in mine:
-            out.append(us if len(out) < 3 else max(us, out[-3] + 3_600_000_000))
-        assert [a for _, _, a in mine] == out
+    events = spark.createDataFrame(rows, "source string, event_id int, ts timestamp_ntz")
+    for limit in (1, 3):
+        found = rate.admissions(events, limit).collect()
+        for s in "ab":
+            mine = sorted((r["arrived_us"], r["event_id"], r["admitted_us"]) for r in found if r["source"] == s)
+            out = []
+            for us, _, _ in mine:
+                out.append(us if len(out) < limit else max(us, out[-limit] + 3_600_000_000))
+            assert [a for _, _, a in mine] == out
+    assert rate.admissions(events, 0).where("waited_us <> 0").count() == 0
+
+
+def test_window_counts_match_a_loop(spark):
+    rnd = random.Random(5)
+    start = datetime.datetime(1969, 12, 31, 20)
+    rows = [(rnd.choice("ab"), i, start + datetime.timedelta(seconds=rnd.randrange(30000), microseconds=rnd.randrange(3))) for i in range(200)] + [("a", 900, None), ("a", 901, None)]
+    found = rate.window_counts(spark.createDataFrame(rows, "source string, event_id int, ts timestamp_ntz")).collect()
+    assert len(found) == 202 and found[0].asDict().keys() == {"source", "event_id", "ts", "in_window"}
+    for r in found:
+        same = [t for s, _, t in rows if s == r["source"] and t is not None]
+        near = [t for t in same if r["ts"] is not None and datetime.timedelta(0) <= r["ts"] - t < datetime.timedelta(hours=1)]
+        assert r["in_window"] == (len(near) if r["ts"] is not None else 2)
+
+
+@pytest.mark.parametrize("part", [order.RANKED_ROWS, 11])
+def test_numbers_within_a_key(spark, part, monkeypatch):
+    monkeypatch.setattr(order, "RANKED_ROWS", part)
+    rnd = random.Random(6)
+    rows = [(rnd.choice(["x", "x", "x", "y", None]), k) for k in rnd.sample(range(1000), 120)]
+    found = numbered_firsts(spark.createDataFrame(rows, "key string, at int"), "key", "at").collect()
+    assert {(r["key"], r["at"]): r["occurrence"] for r in found} == {(k, a): sum(1 for j, b in rows if j == k and b <= a) for k, a in rows}
+
+
+@pytest.mark.parametrize("rows, threshold, bits", [(10, 8, 60), (10**4, 8, 60), (10**9, 8, 60), (10**5, 3, 64), (500, 18, 64)])
+def test_bands_meet_for_every_near_pair(rows, threshold, bits):
+    masks = band_masks(rows, threshold, bits)
+    rnd = random.Random(rows)
+    for _ in range(300):
+        wrong = sum(1 << k for k in rnd.sample(range(bits), threshold))
+        assert any(not wrong & m for m in masks)
+
+
+def test_hamming_pairs_match_brute_force(spark, monkeypatch):
+    rnd = random.Random(8)
+    rows = [(i, (h := rnd.getrandbits(64) & rnd.choice([(1 << 64) - 1, 0xFF00FF])) - (1 << 64 if h >> 63 else 0)) for i in range(150)]
+    expected = {(a, b, d) for a, x in rows for b, y in rows if a < b and (d := bin((x ^ y) & (1 << 64) - 1).count("1")) <= 6}
+    df = spark.createDataFrame(rows, "id long, h long")
+    assert {tuple(r) for r in hamming_pairs(df, 6).collect()} == expected
+    monkeypatch.setattr(dedup, "band_masks", lambda *a: band_masks(10**7, *a[1:]))
+    assert {tuple(r) for r in hamming_pairs(df, 6).collect()} == expected
 
 
 def test_reports(spark):
