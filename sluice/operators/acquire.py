@@ -92,6 +92,11 @@ def per_group_limit(df: DataFrame, key: str, order: list[str], most: int) -> Dat
     return df.withColumn("_rank", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where(F.col("_rank") <= most).drop("_rank")
 
 
+def first_of(df: DataFrame, order: list[str], most: int) -> DataFrame:
+    """The first rows in an order: each task keeps that many, the last one merges them."""
+    return df.orderBy(*order).limit(most)
+
+
 def page_plan(totals: DataFrame, page_size: int, most: int, key: str = "keyword", total: str = "total") -> DataFrame:
     """(key, page, page_rows): the pages to ask for; an unknown total of 0 means as many as ``most`` may need."""
     size = min(page_size, most)
