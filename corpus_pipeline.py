@@ -16,14 +16,14 @@ from sluice.llm.packing import pack
 from sluice.llm.secrets import mask_secrets
 from sluice.llm.shingle_join import jaccard_groups
 from sluice.llm.toxicity import drop_toxic
-from sluice.session import stored, table
+from sluice.session import free, stored, table
 
 #: Near duplicates share this percentage of their shingles of so many words.
 WORDS, PERCENT = 5, 80
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go; the others stay as they are."""
+    """Documents that the classifier rejects go; the others, null and empty texts among them, stay as they are."""
     return drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
@@ -40,12 +40,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are masked by their kind; all documents stay."""
+    """Secrets are masked by their kind; all documents stay, null texts as they are, repeated rows each by itself."""
     return mask_secrets(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document's pieces with their sequences and offsets."""
+    """Every document's pieces with their sequences and offsets. Null texts count as empty: a piece of the end id alone; repeated rows are packed as often as they occur."""
     return pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
 
 
@@ -62,7 +62,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages in turn over ``documents``. What a stage has read is deleted when its result is written; an empty table
+    gives an empty result, columns beyond those of ``documents`` pass through all stages but the last."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir))
+        kept = stored(stage(spark, docs, sf_dir))
+        free(docs)
+        docs = kept
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -42,6 +42,12 @@ def resized(plane: np.ndarray, height: int, width: int, lobes: int = 3) -> np.nd
     return weights(plane.shape[0], height) @ plane @ weights(plane.shape[1], width).T
 
 
+def resized_picture(picture: np.ndarray, height: int, width: int) -> np.ndarray:
+    """A picture of three channels resampled to a size, whatever its shape was."""
+    planes = [resized(picture[..., c].astype(float), height, width) for c in range(3)]
+    return np.clip(np.rint(np.stack(planes, 2)), 0, 255).astype(np.uint8)
+
+
 def perceptual_hash(picture: np.ndarray, side: int = 8, factor: int = 4) -> int:
     """64 bits, as a signed long: which of the lowest cosine coefficients of the reduced picture exceed their median."""
     n = side * factor

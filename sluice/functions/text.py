@@ -105,6 +105,11 @@ def search_url(engine: str, keyword: Column | str) -> Column:
     return F.concat(F.lit("https://www.google.com/search?q="), _col(keyword), F.lit("&tbm=isch&ijn=0"))
 
 
+def video_search(platform: str, most: int, keyword: Column | str) -> Column:
+    """What a video search is asked: a platform's name, how many results, the keyword."""
+    return F.concat(F.lit(f"{'yt' if platform == 'youtube' else platform}search{most}:"), _col(keyword))
+
+
 def first_filled(*columns: Column | str) -> Column:
     """The first that is neither null nor empty."""
     return F.coalesce(*(F.nullif(_col(c), F.lit("")) for c in columns))

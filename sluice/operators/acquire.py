@@ -142,6 +142,18 @@ def available_proxies(proxies: DataFrame, failed: DataFrame, url: str = "proxy")
     return rest.unionByName(proxies.join(F.broadcast(none.where("_none")), how="cross").drop("_none"))
 
 
+def pick_proxy(proxies: DataFrame, failed: DataFrame, seed: int, url: str = "proxy") -> DataFrame:
+    """One of the available proxies, by chance: the least by a hash with the seed, so a task that runs again picks the same."""
+    return available_proxies(proxies, failed, url).orderBy(F.xxhash64(F.lit(seed), F.col(url)), url).limit(1)
+
+
+def mark_failed(failed: DataFrame, proxies: DataFrame, marked: DataFrame, url: str = "proxy") -> DataFrame:
+    """The failed proxies with those that are marked now; none once all have failed, which starts them over."""
+    every = failed.select(url).union(marked.select(url)).distinct().join(proxies.select(url), url, "left_semi")
+    left = proxies.select(url).distinct().join(every, url, "left_anti").limit(1).count()
+    return every if left else every.limit(0)
+
+
 def backoff(spark: SparkSession, attempts: int, delay: float, jitter: float = 0.0, seed: int = 0) -> DataFrame:
     """(attempt, wait) before each retry: doubling, with a random part; no wait after the last attempt."""
     wait = F.lit(float(delay)) * F.pow(F.lit(2.0), F.col("attempt")) + F.rand(seed) * jitter

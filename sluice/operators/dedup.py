@@ -11,13 +11,13 @@ from sluice.operators.order import ranked
 from sluice.session import checkpointed
 
 
-def first_by_key(df: DataFrame, key: str, order: str) -> DataFrame:
-    """One row (key, order) per key: the smallest order value wins.
+def first_by_key(df: DataFrame, key: str, order: str, copies: str | None = None) -> DataFrame:
+    """One row (key, order) per key: the smallest order value wins; ``copies`` names a column with the number of the key's rows.
 
     A plain aggregate, so copies are combined before the shuffle and a key that
     holds a third of all rows sends one row per task. Null keys form one group.
     """
-    return df.groupBy(key).agg(F.min(order).alias(order))
+    return df.groupBy(key).agg(F.min(order).alias(order), *([F.count(F.lit(1)).alias(copies)] if copies else []))
 
 
 def first_rows(df: DataFrame, key: str, order: str) -> DataFrame:

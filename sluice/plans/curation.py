@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from sluice.functions.arrays import laplacian_variance, percent, sign_hash
 from sluice.functions.signatures import text_signatures
 from sluice.operators import report
-from sluice.operators.dedup import first_by_key, hamming_pairs, near_dup_greedy, ordered_union_distinct
-from sluice.operators.quality import Thresholds, cascade, compose, heuristics, sharp, similarity
+from sluice.operators.dedup import content_key, first_by_key, hamming_pairs, near_dup_greedy, ordered_union_distinct
+from sluice.operators.quality import Thresholds, cascade, compose, heuristics, large_enough, sharp, similarity
 from sluice.plans.registry import query
 from sluice.session import checkpointed, table
 
@@ -62,8 +62,8 @@ def signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     "select min(doc_id) as doc_id, md5(text) as digest, count(*) as copies from documents group by md5(text)",
 )
 def exact_dedup_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.md5("text").alias("digest"))
-    return docs.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"))
+    docs = content_key(table(spark, sf_dir, "documents").select("doc_id", "text"), "text")
+    return first_by_key(docs, "digest", "doc_id", "copies")
 
 
 @query("block_sign_hash", f"with {_SIGN_HASH} select vec_id, h::bigint as h from hashed")
@@ -193,7 +193,7 @@ def similarity_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def composite_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
-    found = profiles(spark, sf_dir).select("doc_id", ((F.col("width") >= 200) & (F.col("height") >= 2)).alias("large"))
+    found = profiles(spark, sf_dir).select("doc_id", large_enough("width", "height", 200, 2).alias("large"))
     joined = found.join(labels, "doc_id", "left").withColumn("good", F.col("quality") == 1)
     rate = report.pass_rate(compose(joined, [("size", "large"), ("quality", "good")]))
     return rate.select("valid", "invalid", "total", F.round("rate", 6).alias("rate"))
@@ -214,7 +214,7 @@ def fates(spark: SparkSession, sf_dir: str) -> DataFrame:
     firsts = first_by_key(docs.select("doc_id", "digest"), "digest", "doc_id").withColumnRenamed("doc_id", "first_id")
     joined = docs.join(firsts, "digest").join(labels, "doc_id", "left")
     checks = [
-        ("low_res", F.col("n_chars") >= MIN_CHARS, {}),
+        ("low_res", large_enough("n_chars", "n_chars", MIN_CHARS, MIN_CHARS), {}),
         ("invalid", F.coalesce(F.col("quality") != 0, F.lit(True)), {}),
         ("duplicate", F.col("doc_id") == F.col("first_id"), {}),
     ]

@@ -31,9 +31,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
 _SHIPPED: set[str] = set()
 
 
+#: Rows that go to a Python worker at once: texts are long, and two copies of a batch are held.
+BATCH_ROWS = "2000"
+_BATCHES = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def ship(spark: SparkSession) -> None:
-    """Let executors import this package wherever the driver found it: once for each application, by the driver's file server."""
+    """Let executors import this package wherever the driver found it: once for each application, by the driver's file server.
+
+    Batches to Python workers become smaller unless the session has a size of its own.
+    """
     sc = spark.sparkContext
+    if spark.conf.get(_BATCHES) == "10000" and not sc.getConf().contains(_BATCHES):
+        spark.conf.set(_BATCHES, BATCH_ROWS)
     if sc.applicationId in _SHIPPED:
         return
     here = Path(__file__).resolve().parent

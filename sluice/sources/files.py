@@ -64,8 +64,7 @@ def image_features(images: DataFrame, max_width: int = 1920, max_height: int = 1
                     continue
                 p = picture(data, int(w), int(h), int(c))
                 if w > max_width or h > max_height:
-                    p = np.stack([pixels.resized(p[..., k].astype(float), max_height, max_width) for k in range(3)], 2)
-                    p = np.clip(np.rint(p), 0, 255).astype(np.uint8)
+                    p = pixels.resized_picture(p, max_height, max_width)
                 g = pixels.gray(p)
                 rows.append((path, int(w), int(h), pixels.laplacian_variance(g), pixels.perceptual_hash(p), pixels.blue_share(p), pixels.edge_share(g)))
             out = pd.DataFrame(rows, columns=["path", "width", "height", "lap_var", "phash", "blue", "edges"], dtype=object)

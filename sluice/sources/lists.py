@@ -73,9 +73,17 @@ def write_report(row: DataFrame, path: str) -> None:
     row.coalesce(1).write.mode("overwrite").json(path)
 
 
+def _yaml():
+    try:
+        import yaml
+    except ImportError as error:
+        raise RuntimeError("settings in YAML need the yaml module; use JSON without it") from error
+    return yaml
+
+
 @dataclass
 class Settings:
-    """Settings with their defaults; environment variables win over the file where they aren't empty."""
+    """Settings with their defaults, from JSON or YAML; environment variables win over the file where they aren't empty."""
 
     sharpness: float = 100.0
     scene_change: float = 30.0
@@ -93,7 +101,7 @@ class Settings:
         given = {}
         if path and os.path.exists(path):
             with open(path, encoding="utf-8") as f:
-                given = json.load(f)
+                given = _yaml().safe_load(f) or {} if path.endswith((".yaml", ".yml")) else json.load(f)
         unknown = set(given) - set(cls.__dataclass_fields__)
         if unknown:
             raise ValueError(f"unknown settings: {', '.join(sorted(unknown))}")
@@ -105,5 +113,9 @@ class Settings:
         return made
 
     def save(self, path: str) -> None:
+        given = asdict(self) | {"min_size": list(self.min_size), "max_size": list(self.max_size)}
         with open(path, "w", encoding="utf-8") as f:
-            json.dump(asdict(self), f, indent=2)
+            if path.endswith((".yaml", ".yml")):
+                _yaml().safe_dump(given, f, allow_unicode=True, sort_keys=False)
+            else:
+                json.dump(given, f, indent=2)

@@ -1,8 +1,10 @@
-"""Paged search APIs as a data source: one partition for each (keyword, page)."""
+"""Paged searches as a data source: one partition for each page, or for each keyword where a page says which one is next."""
 
 from __future__ import annotations
 
 import json
+import random
+import re
 import time
 import urllib.error
 import urllib.parse
@@ -12,6 +14,8 @@ from collections.abc import Callable, Iterator
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 RETRY_STATUS, RETRIES, RETRY_AFTER = 429, 3, 60
+#: Addresses that a full page lists, and the mark of a page that has a next one.
+FULL_PAGE, NEXT_MARK = 10, "pg="
 
 
 def with_retry(call: Callable[[], object], retries: int = 3, delay: float = 1.0, jitter: Callable[[], float] = lambda: 0.0, sleep: Callable[[float], None] = time.sleep):
@@ -26,51 +30,119 @@ def with_retry(call: Callable[[], object], retries: int = 3, delay: float = 1.0,
     return None
 
 
-def fetch(url: str, timeout: float = 30, sleep: Callable[[float], None] = time.sleep) -> str | None:
-    """A page's body; waits as told when the quota is used up; None after too many such waits or on other errors."""
+class Gate:
+    """At most so many requests in any window of a process: waits before each until one may go. A limit of 0 lets all go."""
+
+    def __init__(self, limit: int, seconds: float = 3600, clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep):
+        self.limit, self.seconds, self.clock, self.sleep = limit, seconds, clock, sleep
+        self.went: list[float] = []
+
+    def wait(self) -> None:
+        if not self.limit:
+            return
+        if len(self.went) >= self.limit:
+            left = self.went[-self.limit] + self.seconds - self.clock()
+            if left > 0:
+                self.sleep(left)
+        self.went = [*self.went[-self.limit + 1 :], self.clock()] if self.limit > 1 else [self.clock()]
+
+
+def _answer(url: str, timeout: float, sleep: Callable[[float], None], headers: dict[str, str], gate: Gate | None) -> tuple[bytes | None, str, int | None]:
+    """Body, MIME type and, where there is no body, the status or 0 for no answer. Waits as told when the quota is used up."""
     for _ in range(RETRIES + 1):
+        if gate:
+            gate.wait()
         try:
-            with urllib.request.urlopen(url, timeout=timeout) as answer:
-                return answer.read().decode("utf-8", "replace")
+            with urllib.request.urlopen(urllib.request.Request(url, headers=headers), timeout=timeout) as answer:
+                return answer.read(), answer.headers.get_content_type(), None
         except urllib.error.HTTPError as error:
             if error.code != RETRY_STATUS:
-                return None
+                return None, "", error.code
             sleep(float(error.headers.get("Retry-After") or RETRY_AFTER))
         except (urllib.error.URLError, OSError):
-            return None
-    return None
+            return None, "", 0
+    return None, "", RETRY_STATUS
+
 
+def fetch(url: str, timeout: float = 30, sleep: Callable[[float], None] = time.sleep, headers: dict[str, str] | None = None, gate: Gate | None = None) -> tuple[str | None, int | None]:
+    """A page's body, or None and why: the status, 0 for no answer."""
+    body, _, status = _answer(url, timeout, sleep, headers or {}, gate)
+    return (None, status) if body is None else (body.decode("utf-8", "replace"), None)
 
-class Page(InputPartition):
-    def __init__(self, keyword: str, page: int):
-        super().__init__((keyword, page))
-        self.keyword, self.page = keyword, page
+
+def fetch_bytes(url: str, timeout: float = 30) -> tuple[bytes, str] | None:
+    """A file's bytes and MIME type; None if it can't be had."""
+    body, mime, _ = _answer(url, timeout, time.sleep, {}, None)
+    return None if body is None else (body, mime)
+
+
+class Pages(InputPartition):
+    """A keyword's pages from first up to last, read one after the other."""
+
+    def __init__(self, keyword: str, first: int, last: int):
+        super().__init__((keyword, first, last))
+        self.keyword, self.first, self.last = keyword, first, last
 
 
 class SearchReader(DataSourceReader):
     def __init__(self, options: dict):
         self.options = options
 
-    def partitions(self) -> list[Page]:
-        words = json.loads(self.options["keywords"])
-        return [Page(w, p) for w in words for p in range(1, int(self.options.get("pages", 1)) + 1)]
+    def partitions(self) -> list[Pages]:
+        words, last = json.loads(self.options["keywords"]), int(self.options.get("pages", 1))
+        if self.options.get("paging", "numbered") == "numbered":
+            return [Pages(w, p, p) for w in words for p in range(1, last + 1)]
+        return [Pages(w, 1, last) for w in words]
+
+    def read(self, part: Pages) -> Iterator[tuple]:
+        how = self.options.get("paging", "numbered")
+        agents = json.loads(self.options.get("agents", "[]"))
+        headers = json.loads(self.options.get("headers", "{}"))
+        gate = Gate(int(self.options.get("limit", 0)), float(self.options.get("seconds", 3600)))
+        token = ""
+        for page in range(part.first, part.last + 1):
+            if agents:
+                headers["User-Agent"] = random.Random(f"{part.keyword} {page}").choice(agents)
+            url = self.options["template"].format(keyword=urllib.parse.quote(part.keyword), page=page, token=urllib.parse.quote(token))
+            body, status = fetch(url, headers=headers, gate=gate)
+            yield part.keyword, page, body, status
+            if body is None or how == "until_short" and not self.goes_on(body):
+                return
+            if how == "cursor":
+                token = self.next_token(body)
+                if not token:
+                    return
+
+    def next_token(self, body: str) -> str:
+        """What the body says to ask for next, by the option ``cursor``: keys from the outside in, as in continue.gsroffset."""
+        try:
+            found = json.loads(body)
+        except ValueError:
+            return ""
+        for key in self.options.get("cursor", "continue").split("."):
+            found = found.get(key) if isinstance(found, dict) else None
+        return "" if found is None else str(found)
 
-    def read(self, part: Page) -> Iterator[tuple]:
-        url = self.options["template"].format(keyword=urllib.parse.quote(part.keyword), page=part.page)
-        body = fetch(url)
-        if body is not None:
-            yield part.keyword, part.page, body
+    def goes_on(self, body: str) -> bool:
+        """Whether a result page is full and has a next one."""
+        return NEXT_MARK in body and len(re.findall(self.options.get("listed", r"<a\b[^>]*\bhref="), body)) >= FULL_PAGE
 
 
 class SearchSource(DataSource):
-    """Options: template (an address with {keyword} and {page}; file: addresses are fixtures), keywords (a JSON list), pages."""
+    """Pages of searches: (keyword, page, body, status), status being why there is no body.
+
+    Options: template (an address with {keyword}, {page} and {token}; file: addresses are fixtures), keywords (a JSON list; categories
+    are keywords of another template), pages (the most of a keyword), paging (numbered: all at once; cursor: as each page says, by
+    ``cursor``; until_short: until a page isn't full or links no next one, by ``listed``, what marks an address; all: every page in
+    turn), limit and seconds (requests in any window of a partition), headers (a JSON object, for keys), agents (a JSON list).
+    """
 
     @classmethod
     def name(cls) -> str:
         return "search_api"
 
     def schema(self) -> str:
-        return "keyword string, page int, body string"
+        return "keyword string, page int, body string, status int"
 
     def reader(self, schema) -> SearchReader:
         return SearchReader(self.options)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.functions.text import absolute_url, is_decoration, large_variant
+from sluice.functions.text import absolute_url, is_decoration, large_variant, video_url
+from sluice.operators.acquire import per_group_limit
 from sluice.operators.dedup import first_rows
 
 #: Fixed values.
@@ -86,6 +87,21 @@ def search_images(pages: DataFrame, articles: DataFrame, base: str, key: str = "
     return first_rows(keyed, "_key", "place").select(key, "place", "url")
 
 
+def snapshot_urls(snapshots: DataFrame, most: int, key: str = "keyword", order: str = "scroll", html: str = "html") -> DataFrame:
+    """(key, place, url): what the snapshots of a page that is scrolled list between them, first seen first, at most so many of each key.
+
+    Every snapshot is the whole page as it was, so most addresses occur in all later ones.
+    """
+    seen = listed_urls(snapshots.withColumn("_at", F.struct(key, order)), "_at", html)
+    keyed = seen.select(F.col(f"_at.{key}").alias(key), F.struct(F.col(f"_at.{order}").alias("scroll"), "pos").alias("place"), "url").withColumn("_key", F.struct(key, "url"))
+    return per_group_limit(first_rows(keyed, "_key", "place").select(key, "place", "url"), key, ["place"], most)
+
+
+def video_hits(entries: DataFrame, prefix: str, key: str = "keyword", order: str = "pos") -> DataFrame:
+    """(key, pos, url) of the entries (key, pos, id, url) of a video search; those with neither address nor id go."""
+    return entries.select(key, order, video_url("url", "id", prefix).alias("url")).where("url is not null")
+
+
 def is_last_page(html: str = "html", n_urls: str = "n_urls") -> Column:
     """Whether paging ends: nothing found, no further page linked, or a short page."""
     return (F.col(n_urls) == 0) | ~F.col(html).contains("pg=") | (F.col(n_urls) < PAGE_URLS)

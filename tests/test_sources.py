@@ -6,8 +6,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sluice.sources import files, lists, records, web
-from sluice.sources.search_api import SearchSource, with_retry
+from sluice.functions import pixels
+from sluice.operators import acquire
+from sluice.sources import files, lists, pictures, records, web
+from sluice.sources.search_api import Gate, SearchSource, with_retry
 from sluice.streaming import live
 
 
@@ -136,3 +138,101 @@ def test_streams(spark, tmp_path):
     run = counts.writeStream.outputMode("complete").format("memory").queryName("counts").trigger(availableNow=True).start()
     run.awaitTermination(60)
     assert {r["k"]: r["n"] for r in spark.sql("select * from counts").collect()} == {"a": 2, "b": 1}
+
+
+def paged(spark, tmp_path, **options):
+    spark.dataSource.register(SearchSource)
+    return spark.read.format("search_api").options(keywords='["k"]', pages=9, **options).load().orderBy("page").collect()
+
+
+def test_pages_that_name_the_next_one(spark, tmp_path):
+    for name, body in (("", {"continue": {"gsroffset": 50}}), ("50", {"continue": {"gsroffset": 100}}), ("100", {"query": {}})):
+        (tmp_path / f"k-{name}.json").write_text(json.dumps(body))
+    rows = paged(spark, tmp_path, template=f"file://{tmp_path}/{{keyword}}-{{token}}.json", paging="cursor", cursor="continue.gsroffset")
+    assert [r["page"] for r in rows] == [1, 2, 3] and "query" in rows[-1]["body"]
+
+
+def test_pages_until_one_is_short(spark, tmp_path):
+    full = '<a href="/x">' * 10 + '<a href="?pg=2">'
+    for page, body in ((1, full), (2, full), (3, '<a href="/x"> pg='), (4, full)):
+        (tmp_path / f"k{page}.html").write_text(body)
+    rows = paged(spark, tmp_path, template=f"file://{tmp_path}/{{keyword}}{{page}}.html", paging="until_short")
+    assert [r["page"] for r in rows] == [1, 2, 3]
+    # a category's pages are read in turn whatever they hold, up to one that isn't there, which says so
+    rows = paged(spark, tmp_path, template=f"file://{tmp_path}/{{keyword}}{{page}}.html", paging="all")
+    assert [(r["page"], r["body"] is None, r["status"]) for r in rows] == [(1, False, None), (2, False, None), (3, False, None), (4, False, None), (5, True, 0)]
+
+
+def test_the_gate_lets_so_many_go_in_any_window():
+    now, went = [0.0], []
+
+    def sleep(seconds):
+        now[0] += seconds
+
+    gate = Gate(3, 60, lambda: now[0], sleep)
+    for step in (0, 1, 1, 1, 100, 0, 0, 0):
+        now[0] += step
+        gate.wait()
+        went.append(now[0])
+    assert all(b - a >= 60 for a, b in zip(went, went[3:])) and went[:3] == [0, 1, 2] and went[4:7] == [160, 160, 160]
+
+
+def test_pictures_are_written_resized_and_read_again(spark, tmp_path):
+    (tmp_path / "in" / "a").mkdir(parents=True)
+    rnd = np.random.default_rng(0)
+    small, large = rnd.integers(0, 255, (20, 30, 3), np.uint8), rnd.integers(0, 255, (40, 2000, 3), np.uint8)
+    (tmp_path / "in" / "a" / "s.png").write_bytes(pictures.png(small))
+    (tmp_path / "in" / "a" / "l.png").write_bytes(pictures.png(large))
+    (tmp_path / "in" / "a" / "bad.png").write_bytes(b"no picture")
+    images = files.read_images(spark, str(tmp_path / "in"))
+    out = str(tmp_path / "out")
+    pictures.write_files(pictures.encoded_images(images), out)
+    found = {r["path"].rsplit("/", 1)[1]: r for r in files.read_images(spark, out).collect()}
+    assert found.keys() == {"a_s.png", "a_l.png"} and (found["a_l.png"]["width"], found["a_l.png"]["height"]) == (1920, 1080)
+    assert (files.picture(found["a_s.png"]["data"], 30, 20, 3) == small).all()
+    frames = images.where("height = 20").selectExpr("'v_frame_00003.jpg' as name", "width", "height", "channels", "data")
+    frame = pictures.encoded_frames(frames).collect()
+    assert [r["name"] for r in frame] == ["v_frame_00003.png"] and struct.unpack(">II", bytes(frame[0]["content"])[16:24]) == (1920, 1080)
+    assert pixels.resized_picture(small, 20, 30).shape == (20, 30, 3) and not list((tmp_path / "out").glob("_unfinished*"))
+
+
+def test_downloads_resume_and_are_verified(spark, tmp_path):
+    (tmp_path / "web").mkdir()
+    (tmp_path / "web" / "a.png").write_bytes(pictures.png(np.zeros((2, 2, 3), np.uint8)))
+    (tmp_path / "web" / "note.txt").write_text("x")
+    urls = [f"file://{tmp_path}/web/{n}" for n in ("a.png", "gone.png", "note.txt", "done.png")]
+    done = lists.Checkpoint(spark, str(tmp_path / "done"))
+    done.add("t", spark.createDataFrame([(urls[3],)], "item_id string"))
+    todo = acquire.resume(spark.createDataFrame([(u, f"n{k}.png") for k, u in enumerate(urls)] + [(None, "n9")], "item_id string, name string"), done.load("t"))
+    got = {r["name"]: r for r in pictures.downloads(todo, "item_id").collect()}
+    assert got.keys() == {"n0.png", "n1.png", "n2.png", "n9"} and got["n0.png"]["extension"] == ".png"
+    assert [n for n, r in got.items() if r["content"] is not None] == ["n0.png"]
+    pictures.write_files(spark.createDataFrame([(r["name"], r["content"]) for r in got.values()], "name string, content binary"), str(tmp_path / "got"))
+    assert files.read_images(spark, str(tmp_path / "got"), drop_invalid=True).count() == 1
+
+
+def test_snapshots_and_video_hits(spark):
+    page = lambda *names: " ".join(f'mediaurl=http://x/{n}.jpg"' for n in names)
+    rows = [("k", 0, page("a", "b")), ("k", 1, page("a", "b", "c")), ("k", 2, page("d", "a")), ("j", 0, page("a"))]
+    found = web.snapshot_urls(spark.createDataFrame(rows, "keyword string, scroll int, html string"), 3).orderBy("keyword", "place").collect()
+    assert [(r["keyword"], r["url"][-5]) for r in found] == [("j", "a"), ("k", "a"), ("k", "b"), ("k", "c")]
+    entries = spark.createDataFrame([("k", 0, "i", "u"), ("k", 1, "i", ""), ("k", 2, None, None)], "keyword string, pos int, id string, url string")
+    assert [r["url"] for r in web.video_hits(entries, "https://v/").orderBy("pos").collect()] == ["u", "https://v/i"]
+
+
+def test_proxies_are_picked_marked_and_started_over(spark):
+    proxies = spark.createDataFrame([(p,) for p in "abc"], "proxy string")
+    none = proxies.limit(0)
+    picked = {acquire.pick_proxy(proxies, none, seed).first()["proxy"] for seed in range(12)}
+    assert picked == set("abc") and len({acquire.pick_proxy(proxies, none, 1).first()["proxy"] for _ in range(3)}) == 1
+    failed = acquire.mark_failed(none, proxies, proxies.where("proxy <> 'c'"))
+    assert acquire.pick_proxy(proxies, failed, 5).first()["proxy"] == "c"
+    assert acquire.mark_failed(failed, proxies, proxies.where("proxy = 'c'")).count() == 0
+
+
+def test_settings_in_yaml(tmp_path):
+    pytest.importorskip("yaml")
+    path = str(tmp_path / "s.yaml")
+    lists.Settings(sharpness=50.0, keys={"pexels": "k"}).save(path)
+    made = lists.Settings.load(path, {"PEXELS_API_KEY": "", "FLICKR_API_KEY": "f"})
+    assert made.sharpness == 50.0 and made.min_size == (480, 360) and made.keys == {"pexels": "k", "flickr": "f"}
