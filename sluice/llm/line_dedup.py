@@ -64,37 +64,41 @@ def dedup_lines(docs: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGE
     near-duplicate stage to say. Null texts stay null and empty ones empty; repeated rows
     stay and count as pages; an empty table stays empty.
     """
-    lines = checkpointed(boilerplate(docs, ratio, min_pages, min_count, site, text_column))
+    # whatever the columns are called, within they go by number
+    names, kinds = docs.columns, [kind for _, kind in docs.dtypes]
+    places = {n: f"c{names.index(n)}" for n in (site, text_column)}
+    docs = docs.toDF(*(f"c{k}" for k in range(len(names))))
+    site, text = places[site], places[text_column]
+    lines = checkpointed(boilerplate(docs, ratio, min_pages, min_count, site, text))
     several = lines.limit(BROADCAST_LINES + 1).count()
+    split = F.split(F.col(text), "\n", -1)
     # a site's hashes in buckets of a few: small enough to be everywhere, or else joined by site and hash and gathered by page
     if several <= BROADCAST_LINES:
-        found = docs.join(F.broadcast(bucketed(lines)), F.col(site).eqNullSafe(F.col("_site")), "left").drop("_site")
+        found = docs.join(F.broadcast(bucketed(lines)), F.col(site).eqNullSafe(F.col("_site")), "left")
     else:
-        key = "_row"
-        rows = checkpointed(docs.withColumn(key, F.monotonically_increasing_id()))
-        mine = rows.select(key, F.col(site).alias("_site"), F.explode(F.array_distinct(F.transform(F.split(F.col(text_column), "\n", -1), _hash))).alias("_hash"))
+        rows = checkpointed(docs.withColumn("_row", F.monotonically_increasing_id()))
+        mine = rows.select("_row", F.col(site).alias("_site"), F.explode(F.array_distinct(F.transform(split, _hash))).alias("_hash"))
         hits = (
             mine.join(lines, F.col("_site").eqNullSafe(F.col("site")) & (F.col("_hash") == F.col("line_hash")))
-            .groupBy(key)
+            .groupBy("_row")
             .agg(F.array(F.collect_set("_hash")).alias("_hashes"))
         )
-        found = rows.join(hits, key, "left").drop(key)
-    split = F.split(F.col(text_column), "\n", -1)
+        found = rows.join(hits, "_row", "left")
     bucket = lambda h: F.get("_hashes", F.pmod(h, F.size("_hashes")).cast("int"))
     kept = F.filter(split, lambda x: ~F.array_contains(bucket(_hash(x)), _hash(x)))
     hit = F.col("_hashes").isNotNull() & (F.size(kept) < F.size(split))
     if spare_copies:
         hit &= F.exists(kept, lambda x: F.trim(x) != "")
     hit = F.coalesce(hit, F.lit(False))
-    cleaned = F.when(hit, F.array_join(kept, "\n")).otherwise(F.col(text_column))
+    cleaned = F.when(hit, F.array_join(kept, "\n")).otherwise(F.col(text))
     out = []
-    for name in docs.columns:
+    for k, (name, kind) in enumerate(zip(names, kinds)):
+        value = F.col(f"c{k}")
         if name == text_column:
-            out.append(cleaned.alias(name))
+            value = cleaned
         elif name == length_column:
-            out.append(F.when(hit, F.char_length(cleaned).cast(dict(docs.dtypes)[name])).otherwise(F.col(name)).alias(name))
-        else:
-            out.append(F.col(f"`{name}`"))
+            value = F.when(hit, F.char_length(cleaned).cast(kind)).otherwise(value)
+        out.append(value.alias(name))
     if dropped:
         out.append(F.when(hit, F.size(split) - F.size(kept)).otherwise(0).cast("long").alias(dropped))
     return found.select(*out)
