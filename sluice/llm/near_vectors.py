@@ -1,18 +1,18 @@
 """Near-duplicate embeddings by spherical-cap filters.
 
 A filter is a direction, and a vector passes it when its inner product reaches
-the vector's threshold: the score of its ``passes``-th best direction.
-Directions come from random product codes: two short codes, one for each half
-of the turned dimensions, and every choice of a word from each is a direction.
-A vector is list-decoded to the directions it passes: of two sorted lists of
-scores only pairs whose ranks multiply to at most ``passes`` can be among the
-best. Vectors that share a direction meet, and their cosine is computed in
-double precision.
-
-A threshold of its own keeps a vector from passing no direction at all, which
-a common one did for a fifth of pairs at the least cosine. With three codes and
-24 directions passed no pair at a cosine of 0.95 was missed among 5,000 random
-ones; the directions grow with the root of the table.
+a threshold. Directions come from random product codes: two short codes, one
+for each half of the turned dimensions, and every choice of a word from each is
+a direction. A vector is list-decoded to all directions it passes: from two
+sorted lists of scores, sums are taken while they reach the threshold. Vectors
+that share a direction meet, and their cosine is computed in double precision.
+
+The threshold is the one that a random unit vector reaches for PASSES
+directions on average. That alone leaves a vector far from all directions with
+none, and so a fifth of pairs at the least cosine without a shared one: the
+FLOOR best directions of a vector count as passed whatever their scores. How
+many pairs that finds is measured in the tests; the directions grow with the
+root of the table.
 """
 
 from __future__ import annotations
@@ -30,18 +30,22 @@ from sluice.llm.vectors import matrix
 from sluice.session import checkpointed
 
 CODES = 3
-PASSES = 24
+#: Directions that a random vector passes on average, and those that any vector passes at least.
+PASSES, FLOOR = 24, 16
+#: Random vectors from which the threshold is taken, and the largest product of ranks looked at for it.
+SAMPLE, RANKS = 256, 256
 #: Words of a code for up to 50,000 rows.
 WORDS = 20
 #: Rows of a bucket that one task compares with as many others.
 CELL_ROWS = 2_000
+#: Parts of a group of equal vectors.
+COPY_BINS = 64
 
 
 class ProductCodes:
-    def __init__(self, width: int, rows: int, passes: int = PASSES, seed: int = 7):
+    def __init__(self, width: int, rows: int, passes: int = PASSES, floor: int = FLOOR, seed: int = 7):
         random = np.random.default_rng(seed)
         self.width = max(width, 1)
-        self.passes = passes
         self.words = math.ceil(WORDS * max(1.0, rows / 50_000) ** 0.25)
         self.cut = (self.width + 1) // 2
         self.turns, self.codes = [], []
@@ -52,23 +56,49 @@ class ProductCodes:
                 code = random.normal(size=(self.words, size))
                 pair.append(code / np.maximum(np.linalg.norm(code, axis=1, keepdims=True), 1e-300) * math.sqrt(size))
             self.codes.append(pair)
-        #: Ranks in the two sorted lists that can make one of the best pairs.
-        self.ranks = [(i, j) for i in range(self.words) for j in range(self.words) if (i + 1) * (j + 1) <= passes]
+        self.floor = floor
+        sample = random.normal(size=(SAMPLE, self.width))
+        best = np.sort(self.best(self.lists(sample / np.linalg.norm(sample, axis=1, keepdims=True)), RANKS).ravel())
+        self.threshold = best[-min(len(best), SAMPLE * passes)]
+
+    def lists(self, unit: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Of every code the scores of both halves' words, best first, and which words they are."""
+        out = []
+        for turn, (front, back) in zip(self.turns, self.codes):
+            turned = unit @ turn
+            halves = turned[:, : self.cut] @ front.T, turned[:, self.cut :] @ back.T
+            order = [np.argsort(-h, axis=1, kind="stable") for h in halves]
+            out.append((*(np.take_along_axis(h, o, 1) for h, o in zip(halves, order)), *order))
+        return out
+
+    def best(self, lists: list, ranks: int) -> np.ndarray:
+        """The best scores of each row: of two sorted lists only pairs whose ranks multiply to at most ``ranks`` are among the best of so many."""
+        pairs = [(i, j) for i in range(self.words) for j in range(self.words) if (i + 1) * (j + 1) <= ranks]
+        i, j = (np.array(r) for r in zip(*pairs))
+        return np.concatenate([a[:, i] + b[:, j] for a, b, _, _ in lists], 1)
 
     def decode(self, unit: np.ndarray) -> list[np.ndarray]:
         """The directions that each row passes, sorted."""
-        i, j = (np.array(r) for r in zip(*self.ranks))
-        scores, directions = [], []
-        for c, (turn, (front, back)) in enumerate(zip(self.turns, self.codes)):
-            turned = unit @ turn
-            halves = turned[:, : self.cut] @ front.T, turned[:, self.cut :] @ back.T
-            first, second = (np.argsort(-h, axis=1, kind="stable") for h in halves)
-            scores.append(np.take_along_axis(halves[0], first, 1)[:, i] + np.take_along_axis(halves[1], second, 1)[:, j])
-            directions.append((c * self.words + first[:, i]) * self.words + second[:, j])
-        score, direction = np.concatenate(scores, 1), np.concatenate(directions, 1)
-        k = min(self.passes, score.shape[1])
-        least = np.partition(score, -k, axis=1)[:, -k, None]
-        return [np.sort(d[m]).astype("<i4") for d, m in zip(direction, score >= least)]
+        lists = self.lists(unit)
+        score = self.best(lists, self.floor)
+        k = min(self.floor, score.shape[1])
+        least = np.minimum(np.partition(score, -k, axis=1)[:, -k], self.threshold)
+        rows, directions = [], []
+        for c, (a, b, first, second) in enumerate(lists):
+            for i in range(self.words):
+                live = np.flatnonzero(a[:, i] + b[:, 0] >= least)
+                if not len(live):
+                    break
+                for j in range(self.words):
+                    live = live[a[live, i] + b[live, j] >= least[live]]
+                    if not len(live):
+                        break
+                    rows.append(live)
+                    directions.append((c * self.words + first[live, i]) * self.words + second[live, j])
+        row = np.concatenate(rows) if rows else np.zeros(0, np.int64)
+        direction = np.concatenate(directions).astype("<i4") if rows else np.zeros(0, "<i4")
+        order = np.lexsort((direction, row))
+        return np.split(direction[order], np.searchsorted(row[order], np.arange(1, len(unit)))) if len(unit) else []
 
 
 def first_shared(mine: list[np.ndarray], theirs: list[np.ndarray], direction: int) -> np.ndarray:
@@ -110,22 +140,30 @@ def forest(linked: np.ndarray, mine: np.ndarray, theirs: np.ndarray, same: bool)
     return out
 
 
-def near_vectors(df: DataFrame, cosine: float = 0.95, passes: int = PASSES, id_column: str = "vec_id", vector_column: str = "embedding") -> DataFrame:
+def near_vectors(df: DataFrame, cosine: float = 0.95, passes: int = PASSES, floor: int = FLOOR, id_column: str = "vec_id", vector_column: str = "embedding") -> DataFrame:
     """(id, n_links, component_id, kept) of every row.
 
     n_links counts the other rows linked directly (found with a cosine of at
     least ``cosine``); component_id is the smallest id reachable by links, the
     own one included. Null, zero, and non-finite vectors link with nothing.
-    Equal vectors are compared once and share their links; rows with one id
-    are one vertex; rows with a null id are dropped. A bucket larger than
-    CELL_ROWS is split into blocks, and pairs of blocks are the tasks: no pair
-    is left out, none is sent on, only counts and spanning edges are.
+    Equal vectors, told by 128 bits of a hash, are compared once and share
+    their links; rows with one id are one vertex; rows with a null id link with
+    nothing and have no component. A bucket larger than CELL_ROWS is split into
+    blocks, and pairs of blocks are the tasks: no pair is left out, none is sent
+    on, only counts and spanning edges are.
     """
     rows = df.count()
-    once = df.where(F.col(id_column).isNotNull()).groupBy(id_column).agg(F.min(vector_column).alias(vector_column))
-    same = once.groupBy(vector_column).agg(F.min(id_column).alias("id"), F.count(F.lit(1)).alias("copies"))
+    named = df.where(F.col(id_column).isNotNull()).groupBy(F.col(id_column).alias("id")).agg(F.min(vector_column).alias("vector"))
+    # vectors that can't link are alone; the others are dealt into bins, so no task gathers all copies of one
+    usable = F.col("vector").isNotNull() & ~F.exists("vector", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists("vector", lambda x: x != 0)
+    key = ["high", "low"]
+    once = checkpointed(named.withColumn("usable", F.coalesce(usable, F.lit(False))).withColumn("high", F.xxhash64("vector", F.lit(1))).withColumn("low", F.xxhash64("vector", F.lit(2))))
+    dealt = once.where("usable").select("id", *key, F.pmod(F.xxhash64("id"), F.lit(COPY_BINS)).alias("bin"))
+    bins = dealt.groupBy(*key, "bin").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n"))
+    firsts = checkpointed(bins.groupBy(*key).agg(F.min("least").alias("first"), F.sum("n").alias("copies")))
+    same = once.where("usable").join(firsts.select(F.col("first").alias("id"), "copies"), "id").select("id", "copies", F.col("vector").alias(vector_column))
     first = df.select(F.max(F.size(vector_column)).alias("n")).first()["n"] or 0
-    code = ProductCodes(int(first), rows, passes)
+    code = ProductCodes(int(first), rows, passes, floor)
     packed_as = "<f4" if "float" in dict(df.dtypes)[vector_column] else "<f8"
 
     def make() -> Kernel:
@@ -190,22 +228,16 @@ def near_vectors(df: DataFrame, cosine: float = 0.95, passes: int = PASSES, id_c
     found = checkpointed(cells.groupBy("direction", "low", "high").applyInArrow(compare, "a bigint, b bigint, n bigint"))
     links = found.where("a = b").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("links"))
     groups = components(found.where("a <> b"))
-    # a copy has its first one's links and the other copies; vectors that can't link are alone
-    usable = F.col(vector_column).isNotNull() & ~F.exists(vector_column, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists(vector_column, lambda x: x != 0)
+    # a copy has its first one's links and the other copies
     own = (
-        same.join(links, "id", "left")
+        firsts.withColumnRenamed("first", "id")
+        .join(links, "id", "left")
         .join(groups, "id", "left")
-        .select(
-            vector_column,
-            F.when(usable, F.coalesce("links", F.lit(0)) + F.col("copies") - 1).otherwise(0).alias("n_links"),
-            F.when(usable, F.coalesce("component_id", "id")).alias("component_id"),
-        )
+        .select(*key, (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component_id", "id").alias("component"))
     )
-    joined = once.alias("o").join(own.alias("g"), F.col(f"o.{vector_column}").eqNullSafe(F.col(f"g.{vector_column}")))
-    component = F.coalesce(F.col("g.component_id"), F.col(f"o.{id_column}"))
-    return joined.select(
-        F.col(f"o.{id_column}").alias(id_column),
-        F.col("g.n_links").cast("long").alias("n_links"),
-        component.alias("component_id"),
-        (F.col(f"o.{id_column}") == component).alias("kept"),
+    linked = dealt.join(bins.select(*key, "bin").join(own, key), [*key, "bin"]).select("id", "n_links", "component")
+    alone = once.where("not usable").select("id", F.lit(0).alias("n_links"), F.col("id").alias("component"))
+    nameless = df.where(F.col(id_column).isNull()).select(F.col(id_column).alias("id"), F.lit(0).alias("n_links"), F.col(id_column).alias("component"))
+    return linked.union(alone).union(nameless).select(
+        F.col("id").alias(id_column), F.col("n_links").cast("long").alias("n_links"), F.col("component").alias("component_id"), (F.col("id") == F.col("component")).alias("kept")
     )

@@ -37,6 +37,8 @@ LANDMARKS = 256
 #: At most so many labelled documents are used to fit the machine.
 SAMPLE_DOCS = 4_000
 THRESHOLD = 0.7
+#: Words whose kernel values are computed at once.
+BLOCK = 500
 #: Words whose scores a task keeps before it starts afresh; bounds memory, not results.
 MAX_WORDS = 150_000
 
@@ -118,24 +120,32 @@ class Machine:
         return out
 
 
-def _kernel(words: list[str], landmarks: list[str]) -> tuple[np.ndarray, tuple]:
-    """Kernel values of words to landmarks, and the landmarks' triples."""
-    owner, triple, weight = triples(landmarks)
-    present, at = np.unique(triple, return_inverse=True)
-    table = np.zeros((len(present), len(landmarks)), np.float32)
-    table[at, owner] = weight
-    index = np.full(_CODES, -1, np.int32)
-    index[present] = np.arange(len(present))
-    out = np.zeros((len(words), len(landmarks)), np.float32)
-    for start in range(0, len(words), 500):
-        part = words[start : start + 500]
-        word, found, value = triples(part)
-        hit = index[found] >= 0
-        word, found, value = word[hit], index[found[hit]], value[hit]
+class Landmarks:
+    """Kernel values of words to landmark words."""
+
+    def __init__(self, words: list[str]):
+        owner, triple, weight = triples(words)
+        self.present, at = np.unique(triple, return_inverse=True)
+        self.table = np.zeros((len(self.present), len(words)), np.float32)
+        self.table[at, owner] = weight
+        self.index = np.full(_CODES, -1, np.int32)
+        self.index[self.present] = np.arange(len(self.present))
+
+    def values(self, words: list[str]) -> np.ndarray:
+        out = np.zeros((len(words), self.table.shape[1]), np.float32)
+        word, found, value = triples(words)
+        hit = self.index[found] >= 0
+        word, found, value = word[hit], self.index[found[hit]], value[hit]
         if len(word):
             first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
-            out[start + word[first]] = np.add.reduceat(table[found] * value[:, None], first, axis=0)
-    return out, (present, table)
+            out[word[first]] = np.add.reduceat(self.table[found] * value[:, None], first, axis=0)
+        return out
+
+    def features(self, words: list[str], whiten: np.ndarray, out: np.ndarray) -> None:
+        """Whitened values into the rows of ``out``, some hundred words at a time."""
+        for start in range(0, len(words), BLOCK):
+            part = words[start : start + BLOCK]
+            out[start : start + len(part)] = self.values(part) @ whiten
 
 
 def _hinge(x: np.ndarray, rows: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3, rounds: int = 6) -> np.ndarray:
@@ -171,6 +181,7 @@ def fit_machine(docs: list[list[str]], labels: np.ndarray, rounds: int = 3, witn
     if not vocabulary:
         return None
     n = np.array([counts[w] for w in vocabulary], float)
+    del counts
     clean = len(labels) - toxic
     rates = (n + 0.5) / (np.array([clean, toxic]) + 1)
     told = n[:, 1] / toxic * np.log(rates[:, 1] / rates[:, 0])
@@ -181,20 +192,17 @@ def fit_machine(docs: list[list[str]], labels: np.ndarray, rounds: int = 3, witn
     chosen = dict.fromkeys(int(i) for i in np.argsort(-told, kind="stable")[: LANDMARKS // 2])
     chosen |= dict.fromkeys(int(i) for i in np.argsort(-n.sum(1), kind="stable")[: LANDMARKS // 2])
     landmarks = [vocabulary[i] for i in chosen]
-    values, (present, table) = _kernel(vocabulary, landmarks)
+    kernel = Landmarks(landmarks)
     # what bears the label also does so with a letter put in: as many copies as places, in all a quarter of the word's own weight
     disguised = [(i, w[:k] + c + w[k:]) for i in np.argsort(-told, kind="stable")[:64] if bearing[i] and len(vocabulary[i]) < WINDOW for w in [vocabulary[i]] for k in range(1, len(w)) for c in "xeo"]
     parents = np.array([i for i, _ in disguised], np.int64)
     share = 0.25 / np.maximum(np.bincount(parents, minlength=len(vocabulary)), 1)
-    own = values[list(chosen)].astype(float)
+    own = kernel.values(landmarks).astype(float)
     spectrum, basis = np.linalg.eigh((own + own.T) / 2)
     sound = spectrum > 1e-4 * spectrum[-1]
     whiten = basis[:, sound] / np.sqrt(spectrum[sound])
-    masked = _kernel([w for _, w in disguised], landmarks)[0]
     x = np.ones((len(vocabulary) + len(disguised), int(sound.sum()) + 1), np.float32)
-    x[: len(vocabulary), :-1] = values @ whiten.astype(np.float32)
-    x[len(vocabulary) :, :-1] = masked @ whiten.astype(np.float32)
-    del values
+    kernel.features([*vocabulary, *(w for _, w in disguised)], whiten.astype(np.float32), x[:, :-1])
     index = {w: i for i, w in enumerate(vocabulary)}
     negative = n[:, 0] / clean
     v = np.zeros(x.shape[1])
@@ -204,7 +212,7 @@ def fit_machine(docs: list[list[str]], labels: np.ndarray, rounds: int = 3, witn
             break
         keep_p, keep_n = positive > 0, negative > 0
         extra = positive[parents] * share[parents]
-        rows = np.concatenate([np.flatnonzero(keep_p), len(vocabulary) + np.arange(len(masked)), np.flatnonzero(keep_n)])
+        rows = np.concatenate([np.flatnonzero(keep_p), len(vocabulary) + np.arange(len(disguised)), np.flatnonzero(keep_n)])
         y = np.concatenate([np.ones(keep_p.sum() + len(extra), np.float32), -np.ones(keep_n.sum(), np.float32)])
         weight = np.concatenate([positive[keep_p] / positive.sum(), extra / positive.sum(), 4 * negative[keep_n] / negative.sum()]) * len(y) / 100
         weight = weight.astype(np.float32)
@@ -217,7 +225,7 @@ def fit_machine(docs: list[list[str]], labels: np.ndarray, rounds: int = 3, witn
                 positive[best] += 1 / toxic
         positive = np.where(bearing, positive, 0)
     compiled = np.zeros(_CODES, np.float64)
-    compiled[present] = table.astype(float) @ (whiten @ v[:-1])
+    compiled[kernel.present] = kernel.table.astype(float) @ (whiten @ v[:-1])
     return Machine(compiled, float(v[-1]))
 
 
@@ -295,7 +303,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str = "toxic", id
 
     kinds = dict(texts.dtypes)
     rows = map_slices(texts, make, f"id {kinds['id']}, label {kinds['label']}, words array<string>").collect()
-    return [(r["words"], int(r["label"] == 1)) for r in sorted(rows, key=lambda r: r["id"])]
+    once: dict[str, str] = {}
+    return [([once.setdefault(w, w) for w in r["words"]], int(r["label"] == 1)) for r in sorted(rows, key=lambda r: r["id"])]
 
 
 def score(df: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text", keep: list[str] | None = None) -> DataFrame:

@@ -43,6 +43,24 @@ def test_near_vectors(spark, vectors, monkeypatch):
             assert got[i]["component_id"] == ids[int(np.argmax(reach[k]))] and got[i]["kept"] == (got[i]["component_id"] == i)
         assert all(got[i]["n_links"] == 0 and got[i]["kept"] for i in (400, 401, 402, 403, 404))
     assert near_vectors.near_vectors(df.limit(0)).count() == 0
+    nameless = near_vectors.near_vectors(df.limit(60).withColumn("vec_id", F.expr("nullif(vec_id, 0)"))).where("vec_id is null").collect()
+    assert [(r["n_links"], r["component_id"], r["kept"]) for r in nameless] == [(0, None, None)]
+
+
+@pytest.mark.parametrize("rows", [10**4, 10**7])
+def test_pairs_at_the_least_cosine_share_a_direction(rows):
+    rnd = np.random.default_rng(rows)
+    x, y = rnd.normal(size=(2, 2000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y -= (x * y).sum(1, keepdims=True) * x
+    y = 0.95 * x + math.sqrt(1 - 0.95**2) * y / np.linalg.norm(y, axis=1, keepdims=True)
+    code = near_vectors.ProductCodes(64, rows)
+    mine, theirs = code.decode(x), code.decode(y)
+    assert np.mean([bool(np.intersect1d(a, b).size) for a, b in zip(mine, theirs)]) >= 0.995
+    # all that exceed the threshold, and no fewer than the floor
+    scores = np.concatenate([((x @ t)[:, : code.cut] @ f.T)[:, :, None] + ((x @ t)[:, code.cut :] @ b.T)[:, None, :] for t, (f, b) in zip(code.turns, code.codes)], 1).reshape(len(x), -1)
+    assert [len(m) for m in mine] == np.maximum((scores >= code.threshold).sum(1), near_vectors.FLOOR).tolist()
+    assert 20 < np.mean([len(m) for m in mine]) < 30
 
 
 def test_topk(spark, vectors, monkeypatch):
@@ -52,10 +70,17 @@ def test_topk(spark, vectors, monkeypatch):
     for q in (i for i in fine if i % 50 == 0):
         best = sorted(((-sum(a * b for a, b in zip(fine[q], v)), i) for i, v in fine.items() if i != q))[:5]
         expected |= {(q, k + 1, i, -s) for k, (s, i) in enumerate(best)}
-    for shard, seed in ((topk.SHARD_ROWS, topk.SEED_ROWS), (40, 7)):
+    for shard, seed, block in ((topk.SHARD_ROWS, topk.SEED_ROWS, topk.QUERY_ROWS), (40, 7, 2)):
         monkeypatch.setattr(topk, "SHARD_ROWS", shard)
         monkeypatch.setattr(topk, "SEED_ROWS", seed)
+        monkeypatch.setattr(topk, "QUERY_ROWS", block)
         got = topk.search(df, df.where("vec_id % 50 = 0"), 5).collect()
         assert {(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got} == expected
     assert topk.search(df.where("vec_id < 3"), df.where("vec_id = 0"), 5).count() == 2
     assert topk.search(df.limit(0), df.limit(0), 5).count() == 0
+    # copies of a row count once, wherever they are, and rows of one id by the best of them
+    more = df.union(df).union(df.where("vec_id = 7").withColumn("embedding", F.transform("embedding", lambda x: x * 5)))
+    for part in (more.repartition(1), more.repartition(9)):
+        got = topk.search(part, df.where("vec_id % 50 = 0"), 5).collect()
+        assert {(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got if 7 not in {x["vec_id"] for x in got if x["query_id"] == r["query_id"]}} <= expected
+        assert all(len({r["vec_id"] for r in got if r["query_id"] == q}) == 5 for q in {r["query_id"] for r in got})
