@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -22,6 +24,13 @@ def schema_of(ddl: str) -> StructType:
     return _parse_datatype_string(ddl)
 
 
+def give_back() -> None:
+    """Return what a task has freed to the system: workers live on, and allocators keep it for themselves."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only where the C library can
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def map_slices(df: DataFrame, make: Callable[[], Kernel], ddl: str, rows: int = SLICE_ROWS) -> DataFrame:
     """Apply a kernel to every slice of every partition.
 
@@ -47,6 +56,8 @@ def map_slices(df: DataFrame, make: Callable[[], Kernel], ddl: str, rows: int =
                 ]
                 yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
         getattr(kernel, "release", lambda: None)()
+        kernel = batch = out = arrays = None
+        give_back()
 
     return df.mapInArrow(run, ddl)
 

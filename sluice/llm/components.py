@@ -8,6 +8,27 @@ from pyspark.sql import functions as F
 from sluice.session import checkpointed
 
 
+#: A vertex with more edges than this, and than leaves room for BROADCAST_HUBS of them, is a hub.
+HOT, BROADCAST_HUBS = 20_000, 100_000
+
+
+def _with_least(edges: DataFrame, most: int, own: bool) -> DataFrame:
+    """The edges (a, b) with m, the least of a's b, and of a itself if ``own``. Of at most so many edges.
+
+    Hubs are sent to the edges instead of their edges to one task; that there
+    are no more than BROADCAST_HUBS follows from the number of edges.
+    """
+    least = edges.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("degree"))
+    if own:
+        least = least.withColumn("m", F.least("a", "m"))
+    hot = max(HOT, most // BROADCAST_HUBS)
+    if most <= hot:
+        return edges.join(least.drop("degree"), "a")
+    hubs = F.broadcast(least.where(F.col("degree") > hot).drop("degree"))
+    others = edges.join(hubs.select("a"), "a", "left_anti").join(least.where(F.col("degree") <= hot).drop("degree"), "a")
+    return others.union(edges.join(hubs, "a"))
+
+
 def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first())
 
@@ -30,12 +51,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     while was[0]:
         # large star: of each vertex, the larger neighbours go to its least neighbour or itself
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = _with_least(both, 2 * was[0], True).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         # small star: of each vertex, the smaller neighbours and itself go to the least of them
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (
-            large.join(least, "a")
+            _with_least(large, was[0], False)
             .select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e"))
             .select("e.a", "e.b")
             .where("a <> b")

@@ -12,6 +12,7 @@ pieces then find their places by their rank within their length.
 from __future__ import annotations
 
 import json
+import os
 import sys
 import unicodedata
 import zlib
@@ -31,7 +32,7 @@ WINDOW = 2048
 #: Pieces a task keeps before it starts afresh; bounds memory, not results.
 MAX_PIECES = 250_000
 #: Texts encoded at once.
-SLICE = 1_024
+SLICE = 512
 #: Rows that one task ranks at most, on average.
 RANKED_ROWS = 20_000
 
@@ -53,6 +54,8 @@ class PieceEncoder:
     TOGETHER = 1_000
 
     def __init__(self, definition: str):
+        # a worker has one core, and every further thread keeps memory of its own
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)

@@ -65,8 +65,8 @@ BROADCAST_IDS = 500_000
 PROBE = 0.01
 #: Short lists of more entries than this together are merged by counting.
 HEAP_ENTRIES = 3_000
-#: Hash buckets in which shingles are counted, and the parts in which tasks send their counts.
-BUCKETS, PARTS = 1 << 20, 1 << 8
+#: Hash buckets in which shingles are counted, the parts in which tasks send their counts, and the tasks that first add up a part.
+BUCKETS, PARTS, BINS = 1 << 20, 1 << 8, 16
 #: Parts of a group of equal sets.
 COPY_BINS = 64
 
@@ -111,9 +111,9 @@ def shingle_hashes(words: np.ndarray, width: int) -> np.ndarray:
 def shingle_counts(docs: DataFrame, width: int, text_column: str) -> np.ndarray:
     """How many shingles of all documents fall in each of BUCKETS hash buckets.
 
-    A task counts in a table of that size and sends it in PARTS parts, which
-    are added up in two steps, so that no step gathers more than the root of
-    the number of tasks. Only the sums come to the driver.
+    A task counts in a table of that size and sends it in PARTS parts. These
+    are added up as they stream by, in two steps, the first of which deals a
+    part's tables over BINS tasks. Only the sums come to the driver.
     """
     ship(docs.sparkSession)
     step = BUCKETS // PARTS
@@ -129,18 +129,22 @@ def shingle_counts(docs: DataFrame, width: int, text_column: str) -> np.ndarray:
         if some:
             yield pa.RecordBatch.from_pydict({"part": pa.array(range(PARTS), pa.int32()), "counts": [part.tobytes() for part in counts.reshape(PARTS, step).astype("<u4")]})
 
-    def add(table: pa.Table) -> pa.Table:
-        total = np.zeros(step, np.int64)
-        for packed in table.column("counts").to_pylist():
-            total += np.frombuffer(packed, "<u4")
-        return pa.table({"part": table.column("part")[:1], "counts": [np.minimum(total, (1 << 32) - 1).astype("<u4").tobytes()]})
+    def add(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in source:
+            for part, packed in zip(batch.column("part").to_pylist(), batch.column("counts")):
+                total.setdefault(part, np.zeros(step, np.int64))
+                total[part] += np.frombuffer(packed.as_buffer(), "<u4")
+        if total:
+            packed = [np.minimum(t, (1 << 32) - 1).astype("<u4").tobytes() for t in total.values()]
+            yield pa.RecordBatch.from_pydict({"part": pa.array(total, pa.int32()), "counts": packed})
 
     ddl = "part int, counts binary"
-    sent = docs.select(text_column).mapInArrow(run, ddl).withColumn("bin", F.pmod(F.spark_partition_id(), F.lit(max(1, math.isqrt(docs.rdd.getNumPartitions())))))
-    sums = sent.groupBy("part", "bin").applyInArrow(add, ddl).groupBy("part").applyInArrow(add, ddl)
+    sent = docs.select(text_column).mapInArrow(run, ddl).withColumn("bin", F.spark_partition_id() % BINS)
+    sums = sent.repartition("part", "bin").select("part", "counts").mapInArrow(add, ddl).repartition("part").mapInArrow(add, ddl)
     table = np.zeros((PARTS, step), np.int64)
     for r in sums.collect():
-        table[r["part"]] = np.frombuffer(r["counts"], "<u4")
+        table[r["part"]] += np.frombuffer(r["counts"], "<u4")
     return table.reshape(-1)
 
 

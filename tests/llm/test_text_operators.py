@@ -185,6 +185,34 @@ def test_substring_dedup(spark, odd, monkeypatch):
     assert substring_dedup.dedup_substrings(odd.limit(0)).count() == 0
 
 
+def brute_substrings(rows, run=2, words=20):
+    """Of (id, text) rows with their own ids: the words that are left, by comparing all spans word by word."""
+    units = {i: substring_dedup.sentences(t or "") for i, t in rows}
+    seen = {}
+    for i, own in units.items():
+        spans = set()
+        for a in range(len(own)):
+            spans.add(next(((a, b) for b in range(a + run - 1, len(own)) if sum(map(len, own[a : b + 1])) >= words), None))
+        for b in range(len(own)):
+            spans.add(next(((a, b) for a in range(b - run + 1, -1, -1) if sum(map(len, own[a : b + 1])) >= words), None))
+        for a, b in spans - {None}:
+            seen.setdefault(tuple(w for u in own[a : b + 1] for w in u), []).append((i, a, b))
+    gone = {(i, k) for places in seen.values() for i, a, b in sorted(places)[1:] for k in range(a, b + 1)}
+    return {i: ([w for k, u in enumerate(own) if (i, k) not in gone for w in u], sum(j == i for j, _ in gone)) for i, own in units.items()}
+
+
+def test_substring_dedup_is_what_brute_force_finds(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    expected = brute_substrings([tuple(r) for r in df.select("doc_id", "text").collect()])
+    found = {r["doc_id"]: r for r in substring_dedup.dedup_substrings(df).collect()}
+    assert {i: ((r["text"] or "").split(), r["n_removed"]) for i, r in found.items()} == expected
+    assert sum(n for _, n in expected.values()) > 1000
+    for r in df.where("doc_id < 300").collect():  # what went is what the stretches say
+        cut = [tuple(map(int, x.split(":"))) for x in found[r["doc_id"]]["removed"].split(",") if x]
+        left = "".join(c for k, c in enumerate(r["text"] or "") if not any(a <= k < b for a, b in cut))
+        assert left.split() == expected[r["doc_id"]][0]
+
+
 def test_long_sentences_are_cut_alike_at_any_offset(spark):
     rnd = np.random.default_rng(5)
     draw = lambda n: " ".join(f"w{k}" for k in rnd.integers(0, 10**6, n))

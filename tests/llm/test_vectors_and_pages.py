@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 from sluice.llm import components, near_vectors, topk
 
 
-def test_components_of_any_shape(spark):
-    edges = [(i, i + 1) for i in range(30)] + [(100, 103), (101, 103), (102, 103), (7, 7), (None, 3)]
-    found = {r["id"]: r["component_id"] for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
-    assert found == {i: 0 for i in range(31)} | {i: 100 for i in range(100, 104)}
+def test_components_of_any_shape(spark, monkeypatch):
+    edges = [(i, i + 1) for i in range(30)] + [(100, 103), (101, 103), (102, 103), (7, 7), (None, 3)] + [(200, 210 + k) for k in range(20)] + [(250, 251 + k) for k in range(20)] + [(229, 270)]
+    for hot in (components.HOT, 3):  # all by joins, and hubs apart
+        monkeypatch.setattr(components, "HOT", hot)
+        found = {r["id"]: r["component_id"] for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+        assert found == {i: 0 for i in range(31)} | {i: 100 for i in range(100, 104)} | {i: 200 for i in (*range(200, 201), *range(210, 230), *range(250, 271))}
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
