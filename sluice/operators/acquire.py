@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from sluice.session import checkpointed
-
 #: Name, place in the registry, needs a key, priority, requests an hour, results a page.
 SOURCES = (
     ("unsplash", 0, True, 1, 50, 30),
@@ -56,35 +55,28 @@ def allocate(hits: DataFrame, sources: DataFrame, most: int, keyword: str = "key
 
     Sources take in order of priority what their quota and the rest of ``most``
     allow; URLs that came before are dropped after that cut and leave their
-    places to later sources only. The fold runs over the sources, a handful;
-    each step is native: a rank cut, an anti-join and a count by keyword.
+    places to later sources only. A source's hits of a keyword are cut to its
+    quota before anything is gathered, so what is folded for a keyword, in one
+    array by one expression, has no more entries than all quotas together.
     """
-    plan = quotas(sources, most).orderBy("priority", "registry_pos").collect()
-    taken = None
-    for order, source in enumerate(plan):
-        mine = hits.where(F.col("source") == source["name"])
-        rank = F.row_number().over(Window.partitionBy(keyword).orderBy("pos"))
-        if taken is None:
-            allowed = F.lit(min(source["quota"], most))
-            mine = mine.withColumn("_rank", rank).where(F.col("_rank") <= allowed)
-        else:
-            counts = taken.groupBy(F.col(keyword).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
-            rest = F.lit(most) - F.coalesce("_n", F.lit(0))
-            mine = (
-                mine.withColumn("_rank", rank)
-                .where(F.col("_rank") <= source["quota"])
-                .join(counts, F.col(keyword).eqNullSafe(F.col("_k")), "left")
-                .where(F.col("_rank") <= rest)
-                .drop("_k", "_n")
-                .join(taken.select(keyword, url), [keyword, url], "left_anti")
-            )
-        first = F.row_number().over(Window.partitionBy(keyword, url).orderBy("pos"))
-        mine = mine.withColumn("_first", first).where("_first = 1").drop("_first", "_rank").withColumn("_order", F.lit(order))
-        taken = checkpointed(mine if taken is None else taken.unionByName(mine))  # it is read three times in the next step
-    if taken is None:
+    plan = {r["name"]: (k, min(r["quota"], most)) for k, r in enumerate(quotas(sources, most).orderBy("priority", "registry_pos").collect())}
+    if not plan:
         return hits.limit(0).withColumn("taken_pos", F.lit(0).cast("long"))
-    place = F.row_number().over(Window.partitionBy(keyword).orderBy("_order", "pos")) - 1
-    return taken.withColumn("taken_pos", place.cast("long")).drop("_order")
+    of_source = lambda at: F.try_element_at(F.create_map(*(F.lit(x) for name, found in plan.items() for x in (name, found[at]))), F.col("source"))
+    rank = F.row_number().over(Window.partitionBy(keyword, "source").orderBy("pos"))
+    cut = hits.withColumn("_order", of_source(0)).where("_order is not null").withColumn("_rank", rank).where(F.col("_rank") <= of_source(1))
+    rest = [c for c in hits.columns if c != keyword]
+    listed = cut.groupBy(keyword).agg(F.array_sort(F.collect_list(F.struct("_order", "_rank", *rest))).alias("_hits"))
+    element = cut.select(F.struct("_order", "_rank", *rest).alias("x")).schema["x"].dataType
+    start = F.struct(F.array().cast(T.ArrayType(element)).alias("taken"), F.lit(-1).alias("order"), F.lit(0).alias("before"))
+
+    def step(state, hit):
+        before = F.when(state["order"] == hit["_order"], state["before"]).otherwise(F.size(state["taken"]))
+        fits = (hit["_rank"] <= most - before) & ~F.coalesce(F.exists(state["taken"], lambda t: t[url] == hit[url]), F.lit(False))
+        return F.struct(F.when(fits, F.concat(state["taken"], F.array(hit))).otherwise(state["taken"]).alias("taken"), hit["_order"].alias("order"), before.alias("before"))
+
+    folded = listed.select(keyword, F.posexplode(F.aggregate("_hits", start, step, lambda state: state["taken"])).alias("taken_pos", "_hit"))
+    return folded.select(*(F.col(keyword) if c == keyword else F.col("_hit")[c].alias(c) for c in hits.columns), F.col("taken_pos").cast("long").alias("taken_pos"))
 
 
 def per_group_limit(df: DataFrame, key: str, order: list[str], most: int) -> DataFrame:

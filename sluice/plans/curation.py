@@ -100,13 +100,13 @@ def near_dup_greedy_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """with u as (
       select md5(text) as digest, 0 as part, doc_id from documents where source = 'src3' union all
       select md5(text), 1, doc_id from documents where source = 'src1' union all
-      select md5(text), 2, doc_id from documents where source not in ('src1', 'src3')),
+      select md5(text), 2, doc_id from documents where source is null or source not in ('src1', 'src3')),
     f as (select *, row_number() over (partition by digest order by part, doc_id) as n from u)
     select digest, doc_id from f where n = 1""",
 )
 def ordered_union_distinct_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(F.md5("text").alias("digest"), "doc_id", "source")
-    parts = [docs.where("source = 'src3'"), docs.where("source = 'src1'"), docs.where("source not in ('src1', 'src3')")]
+    parts = [docs.where("source = 'src3'"), docs.where("source = 'src1'"), docs.where("source is null or source not in ('src1', 'src3')")]
     return ordered_union_distinct([p.select("digest", "doc_id") for p in parts], "digest", "doc_id").select("digest", "doc_id")
 
 

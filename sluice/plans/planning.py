@@ -12,8 +12,8 @@ from sluice.plans.registry import query
 from sluice.session import table
 
 MOST = 100
-#: Sources of documents stand for those of pictures, in the registry's order.
-STANDS_FOR = {"src0": "unsplash", "src1": "pexels", "src2": "flickr", "src3": "wikimedia", "src4": "nasa"}
+#: Every source of documents stands for one of pictures: by its number, in the registry's order.
+NAMES = [s[0] for s in acquire.SOURCES]
 
 
 @query(
@@ -30,15 +30,14 @@ def source_quotas(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _HITS = """
     hits as (
-      select lang as keyword, map {'src0': 'unsplash', 'src1': 'pexels', 'src2': 'flickr', 'src3': 'wikimedia', 'src4': 'nasa'}[source] as source,
-        doc_id as pos, md5(text) as url from documents where source in ('src0', 'src1', 'src2', 'src3', 'src4')),
+      select lang as keyword, ['unsplash', 'pexels', 'flickr', 'wikimedia', 'nasa'][substr(source, 4)::int % 5 + 1] as source, doc_id as pos, md5(text) as url from documents),
     ranked as (select *, row_number() over (partition by keyword, source order by pos) as rank from hits)"""
 
 
 def hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = F.create_map(*(F.lit(x) for pair in STANDS_FOR.items() for x in pair))
-    docs = table(spark, sf_dir, "documents").where(F.col("source").isin(*STANDS_FOR))
-    return docs.select(F.col("lang").alias("keyword"), F.try_element_at(names, F.col("source")).alias("source"), F.col("doc_id").alias("pos"), F.md5("text").alias("url"))
+    name = F.get(F.array(*(F.lit(n) for n in NAMES)), F.substring("source", 4, 9).cast("int") % len(NAMES))
+    docs = table(spark, sf_dir, "documents")
+    return docs.select(F.col("lang").alias("keyword"), name.alias("source"), F.col("doc_id").alias("pos"), F.md5("text").alias("url"))
 
 
 def _allocation(order: list[tuple[str, int]], most: int) -> str:

@@ -113,12 +113,11 @@ def json_props(spark: SparkSession, sf_dir: str) -> DataFrame:
     "prompt_batch",
     r"""with l as (select conv_id, turn, unnest(list_filter(list_transform(string_split_regex(text, '\r\n|\r|\n'), lambda s: regexp_replace(s, '^[\s]+|[\s]+$', '', 'g')), lambda s: s <> '')) as line,
         generate_subscripts(list_filter(list_transform(string_split_regex(text, '\r\n|\r|\n'), lambda s: regexp_replace(s, '^[\s]+|[\s]+$', '', 'g')), lambda s: s <> ''), 1) - 1 as idx
-      from conversations where role = 'user')
+      from conversations)
     select conv_id, turn, idx::int as idx, line || ', photorealistic, 1080p, high quality, detailed' as prompt, printf('synthetic_%05d.png', idx) as name from l""",
 )
 def prompt_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    user = table(spark, sf_dir, "conversations").where("role = 'user'")
-    lines = user.select("conv_id", "turn", F.posexplode(T.prompt_lines("text")).alias("idx", "line"))
+    lines = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.posexplode(T.prompt_lines("text")).alias("idx", "line"))
     return lines.select("conv_id", "turn", "idx", T.enhanced_prompt("line").alias("prompt"), T.numbered_name(F.lit("synthetic"), "idx", ".png").alias("name"))
 
 
