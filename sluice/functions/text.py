@@ -18,6 +18,9 @@ SOURCE_MARKS = (
 )
 THUMBNAIL_MARKS, LARGE_MARK = ("_th.", "_thumb.", "_med.", "_small."), "_lrg."
 PROMPT_SUFFIX = ", photorealistic, 1080p, high quality, detailed"
+#: Styles of log levels, in order of severity; days that logs and error logs are kept.
+LEVEL_STYLES = {"DEBUG": "dim", "INFO": "cyan", "SUCCESS": "green", "WARNING": "yellow", "ERROR": "red", "CRITICAL": "bold red"}
+LOG_DAYS, ERROR_DAYS = 7, 30
 BOT_MARKS = ("Sign in to confirm", "bot", "captcha")
 _SPACE = r"[\s ]+"
 
@@ -161,3 +164,29 @@ def is_decoration(src: Column | str) -> Column:
 def blocked_as_bot(message: Column | str, marks: tuple[str, ...] = BOT_MARKS) -> Column:
     """Whether an error message hints that the other side took us for a robot."""
     return F.exists(F.array(*(F.lit(m) for m in marks)), lambda m: F.contains(_col(message), m))
+
+
+def log_line(time: Column | str, level: Column | str, message: Column | str) -> Column:
+    """A log record as one line, in its level's style; unknown levels have none."""
+    level = _col(level)
+    text = F.rtrim(F.concat_ws(" | ", F.date_format(_col(time), "HH:mm:ss"), F.rpad(level, F.greatest(F.lit(8), F.char_length(level)), " "), _col(message)))
+    style = F.try_element_at(F.create_map(*(F.lit(x) for pair in LEVEL_STYLES.items() for x in pair)), level)
+    return F.coalesce(F.concat(F.lit("["), style, F.lit("]"), text, F.lit("[/"), style, F.lit("]")), text)
+
+
+def logged(time: Column | str, level: Column | str, now: Column, errors: bool = False) -> Column:
+    """Whether a record belongs in the log, or in the log of errors, as they are kept for so many days."""
+    kept = _col(time) >= now - F.make_dt_interval(F.lit(ERROR_DAYS if errors else LOG_DAYS))
+    severe = [name for name in LEVEL_STYLES if not errors or name in ("ERROR", "CRITICAL")]
+    return kept & _col(level).isin(*severe)
+
+
+def translated(strings: dict[str, dict[str, str]], language: Column | str, key: Column | str, **cells: Column | str) -> Column:
+    """A key's text in a language, with ``{name}`` replaced by the named columns; English for languages that aren't there, the key itself for keys that aren't."""
+    language, key = _col(language), _col(key)
+    own = F.when(language.isin(*strings), language).otherwise("en")
+    table = [F.lit(x) for name, texts in strings.items() for k, text in texts.items() for x in (f"{name}\x1f{k}", text)]
+    text = F.coalesce(F.try_element_at(F.create_map(*table), F.concat(own, F.lit("\x1f"), key)), key) if table else key
+    for name, cell in cells.items():
+        text = F.replace(text, F.lit(f"{{{name}}}"), _col(cell).cast("string"))
+    return text

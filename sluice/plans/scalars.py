@@ -148,3 +148,38 @@ def first_filled_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 def photo_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     server = F.when(F.col("c_nationkey") % 4 == 0, "").otherwise(F.col("c_nationkey").cast("string"))
     return table(spark, sf_dir, "customer").select("c_custkey", T.photo_url(server, F.col("c_custkey").cast("string"), "c_mktsegment").alias("url"))
+
+
+_LEVELS = {"click": "INFO", "view": "DEBUG", "purchase": "SUCCESS", "signup": "WARNING", "error": "ERROR"}
+_LEVEL_CASE = "case event_type " + " ".join(f"when '{k}' then '{v}'" for k, v in _LEVELS.items()) + " else 'TRACE' end"
+
+
+@query(
+    "log_lines",
+    f"""with l as (select event_id, ts, {_LEVEL_CASE} as level from events), n as (select max(ts) as now from events),
+    t as (select *, strftime(ts, '%H:%M:%S') || ' | ' || rpad(level, 8, ' ') || ' | event ' || event_id as line,
+      case level when 'INFO' then 'cyan' when 'DEBUG' then 'dim' when 'SUCCESS' then 'green' when 'WARNING' then 'yellow' when 'ERROR' then 'red' end as style from l)
+    select event_id, case when style is null then line else '[' || style || ']' || line || '[/' || style || ']' end as line,
+      ts >= now - interval '7 days' and level <> 'TRACE' as in_log, ts >= now - interval '30 days' and level = 'ERROR' as in_errors from t, n""",
+)
+def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as log records of a level for each kind."""
+    levels = F.create_map(*(F.lit(x) for pair in _LEVELS.items() for x in pair))
+    rows = table(spark, sf_dir, "events").select("event_id", "ts", F.coalesce(F.try_element_at(levels, F.col("event_type")), F.lit("TRACE")).alias("level"))
+    now = F.lit(rows.agg(F.max("ts")).first()[0]).cast("timestamp_ntz")
+    line = T.log_line("ts", "level", F.concat(F.lit("event "), F.col("event_id").cast("string")))
+    return rows.select("event_id", line.alias("line"), T.logged("ts", "level", now).alias("in_log"), T.logged("ts", "level", now, errors=True).alias("in_errors"))
+
+
+_STRINGS = {"en": {"click": "{who} clicked", "view": "{who} looked at {what}"}, "de": {"click": "{who} hat geklickt"}}
+
+
+@query(
+    "translated_events",
+    """select event_id, case when event_id % 3 = 0 and event_type = 'click' then user_id || ' hat geklickt' when event_id % 3 = 0 then event_type
+      when event_type = 'click' then user_id || ' clicked' when event_type = 'view' then user_id || ' looked at ' || props else event_type end as said from events""",
+)
+def translated_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third event in a language that has few texts, the others in one that isn't there."""
+    language = F.when(F.col("event_id") % 3 == 0, "de").otherwise("xx")
+    return table(spark, sf_dir, "events").select("event_id", T.translated(_STRINGS, language, "event_type", who="user_id", what="props").alias("said"))
