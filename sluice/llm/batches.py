@@ -62,19 +62,30 @@ def map_slices(df: DataFrame, make: Callable[[], Kernel], ddl: str, rows: int =
     return df.mapInArrow(run, ddl)
 
 
-def joined_ids(split: pa.Array, ids_of: Callable[[list[str]], list[bytes]]) -> list[bytes]:
-    """The packed ids (little-endian unsigned 32-bit) of texts that are given as lists of parts.
+#: Ids one list after the other, and where each list begins; one more place for the end.
+Lists = tuple[np.ndarray, np.ndarray]
 
-    Parts repeat: they are told apart in Arrow, and ``ids_of`` gets the distinct ones.
-    """
+
+def lists_of(packed: list[bytes]) -> Lists:
+    """Packed ids (little-endian unsigned 32-bit) as lists."""
+    ends = np.cumsum(np.fromiter(map(len, packed), np.int64, len(packed))) // 4
+    return np.frombuffer(b"".join(packed), "<u4"), np.concatenate([[0], ends])
+
+
+def joined_ids(split: pa.Array, ids_of: Callable[[pa.Array], Lists]) -> Lists:
+    """The ids of texts that are given as lists of parts. Parts repeat: they are told apart in Arrow, and ``ids_of`` gets the distinct ones."""
     coded = split.values.dictionary_encode()
-    found, code = ids_of(coded.dictionary.to_pylist()), coded.indices.to_numpy()
-    sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
-    every = np.frombuffer(b"".join(found), "<u4")
-    firsts, size = (np.cumsum(sizes) - sizes)[code], sizes[code]
+    every, firsts = ids_of(coded.dictionary)
+    code = coded.indices.to_numpy()
+    size = np.diff(firsts)[code]
     ends = np.cumsum(size)
-    ids = every[np.repeat(firsts - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)]
-    cuts = np.concatenate([[0], ends])[split.offsets.to_numpy()].tolist()
+    ids = every[np.repeat(firsts[:-1][code] - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)]
+    return ids, np.concatenate([[0], ends])[split.offsets.to_numpy()]
+
+
+def packed_lists(lists: Lists) -> list[bytes]:
+    ids, firsts = lists
+    cuts = firsts.tolist()
     return [ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
 
 

@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
-from sluice.llm.batches import Kernel, code_points, joined_ids, map_slices, texts_of
+from sluice.llm.batches import Kernel, code_points, joined_ids, lists_of, map_slices, packed_lists, texts_of
 
 #: Arcs and pieces a task keeps before it starts afresh; bounds memory, not results.
 MAX_ARCS = 500_000
@@ -304,7 +304,7 @@ class Encoder:
         cut = pa.array(["" if i in odd else t for i, t in enumerate(texts)], pa.large_string())
         for pattern, marked in self.CUTS:
             cut = pc.replace_substring_regex(cut, pattern, marked)
-        out = joined_ids(pc.split_pattern(cut, "\0"), self.ids_of)
+        out = packed_lists(joined_ids(pc.split_pattern(cut, "\0"), lambda distinct: lists_of(self.ids_of(distinct.to_pylist()))))
         for i in odd:
             out[i] = self.of(texts[i])
         return out

@@ -10,6 +10,8 @@ from sluice.session import checkpointed
 
 #: A vertex with more edges than this, and than leaves room for BROADCAST_HUBS of them, is a hub.
 HOT, BROADCAST_HUBS = 20_000, 100_000
+#: Edges that a task writes in each round, on average.
+TASK_EDGES = 5_000
 
 
 def _with_least(edges: DataFrame, most: int, own: bool) -> DataFrame:
@@ -60,7 +62,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             .where("a <> b")
             .distinct()
         )
-        edges = checkpointed(small)
+        # no more edges than before: so many tasks are enough, and as many files
+        edges = checkpointed(small.coalesce(-(-was[0] // TASK_EDGES)))
         now = _state(edges)
         if now == was:
             break

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from sluice.llm.batches import Kernel, code_points, joined_ids, map_slices, texts_of
+from sluice.llm.batches import Kernel, Lists, code_points, joined_ids, lists_of, map_slices, packed_lists, texts_of
 from sluice.session import checkpointed
 
 WINDOW = 2048
@@ -34,15 +34,15 @@ MAX_PIECES = 250_000
 #: Texts encoded at once.
 SLICE = 512
 #: Rows that one task ranks at most, on average.
-RANKED_ROWS = 20_000
+RANKED_ROWS = 5_000
 
 
 class PieceEncoder:
     """Ids of whole texts by a tokenizer that composes, lower-cases, and splits at white space and PIECE.
 
-    Such a tokenizer's ids of a text are those of its pieces in turn, and
-    pieces repeat. They are cut and told apart in Arrow, so each distinct one
-    is looked up once in a call; those not met lately are encoded together, a
+    Such a tokenizer's ids of a text are those of its white-space-separated
+    chunks in turn, a chunk's those of its pieces, and both repeat. They are cut
+    and told apart in Arrow, so each distinct one is looked up once in a call; those not met lately are encoded together, a
     thousand at once, and told apart by the tokens that end a word. Texts with
     the tokenizer's own marks, or with characters on which the two sides' ideas
     of white space, letters or lower case may differ, are encoded whole.
@@ -73,7 +73,7 @@ class PieceEncoder:
         self.former: dict[str, bytes] = {}
 
     def forget(self) -> None:
-        self.known, self.former = {}, {}
+        self.former = {}
 
     def odd(self, text: str) -> bool:
         return bool(self.disputed[code_points(text)].any()) or any(m in text for m in self.marks)
@@ -106,14 +106,17 @@ class PieceEncoder:
             found = list(map(known.__getitem__, pieces))
         return found
 
+    def ids_of_chunks(self, chunks: pa.Array) -> Lists:
+        pieces = pc.utf8_split_whitespace(pc.replace_substring_regex(chunks, self.PIECE, r"\0 "))
+        return joined_ids(pieces, lambda distinct: lists_of(self.ids_of(distinct.to_pylist())))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The packed ids of each text."""
         if len(self.known) > MAX_PIECES:
             self.former, self.known = self.known, {}
         odd = {i for i, t in enumerate(texts) if self.odd(t)}
         plain = pa.array(["" if i in odd else unicodedata.normalize("NFC", t).lower() for i, t in enumerate(texts)], pa.large_string())
-        split = pc.utf8_split_whitespace(pc.replace_substring_regex(plain, self.PIECE, r"\0 "))
-        out = joined_ids(split, self.ids_of)
+        out = packed_lists(joined_ids(pc.utf8_split_whitespace(plain), self.ids_of_chunks))
         for i, whole in zip(sorted(odd), self.whole([texts[i] for i in sorted(odd)])):
             out[i] = whole
         return out
@@ -251,15 +254,15 @@ def plan(histogram: dict[int, int], window: int = WINDOW) -> list[tuple[int, int
     return out
 
 
-def ranked(rows: DataFrame, key: str, order: list[str], total: int) -> DataFrame:
-    """A rank from 0 among the rows of each key, in ``rank``.
+def ranked(rows: DataFrame, key: str, order: list[str], counts: dict[int, int]) -> DataFrame:
+    """A rank from 0 among the rows of each key, in ``rank``; ``counts`` says how many rows each key, a small number, has.
 
-    Rows are dealt into bins by hash of their order, so no task ranks a whole
-    key; a bin's ranks follow those of the bins before it, whose sizes are
-    counted. There are as many bins as the total needs.
+    Rows are dealt into bins by hash of their order, a key with more rows into
+    more of them, so no task ranks a whole key; a bin's ranks follow those of
+    the bins before it, whose sizes are counted.
     """
-    bins = max(1, -(-total // RANKED_ROWS))
-    dealt = rows.withColumn("bin", F.pmod(F.xxhash64(*order), F.lit(bins)).cast("int"))
+    several = F.lit([max(1, -(-counts.get(k, 0) // RANKED_ROWS)) for k in range(max([0, *counts]) + 1)])
+    dealt = rows.withColumn("bin", F.pmod(F.xxhash64(*order), F.get(several, F.col(key).cast("int"))).cast("int"))
     sizes = dealt.groupBy(key, "bin").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy(key).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     firsts = sizes.select(key, "bin", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
@@ -287,7 +290,7 @@ def pack(df: DataFrame, tokenizer_path: str, end_id: int, window: int = WINDOW,
     # one sorted key: length, then first rank
     most = max([1, *histogram.values()]) + 1
     keys = places[:, 0] * most + places[:, 1]
-    rows = ranked(found, "length", [id_column, "start", "ids_crc32"], sum(histogram.values()))
+    rows = ranked(found, "length", [id_column, "start", "ids_crc32"], histogram)
     schema = T.StructType([*found.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
     names = found.columns
 

@@ -238,7 +238,7 @@ def candidates(reps: DataFrame, percent: int) -> DataFrame:
     shared = entries.where("shingle >= 0").withColumn("on", F.count(F.lit(1)).over(Window.partitionBy("shingle"))).where("on > 1")
     shared = checkpointed(shared.select("shingle", "id", F.shiftright("sized", 32).alias("n"), F.col("sized").bitwiseAND(F.lit((1 << 32) - 1)).alias("place"), "on"))
     long = checkpointed(hot.union(shared.where(F.col("on") > LONG_LIST).select("shingle", "id", "n")))
-    longs = long.groupBy("id").agg(F.count(F.lit(1)).alias("longs"), F.first("n").alias("n"))
+    longs = long.groupBy("id").agg(F.count(F.lit(1)).alias("longs"), F.min("n").alias("n"))
     # by shorter lists: pairs with enough in common
     short = shared.where(F.col("on") <= LONG_LIST)
     x, y = short.alias("x"), short.alias("y")
@@ -248,7 +248,7 @@ def candidates(reps: DataFrame, percent: int) -> DataFrame:
     met = (
         x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.id") < F.col("y.id")) & close & (room * (100 + percent) >= sizes * percent))
         .groupBy(F.col("y.id").alias("a"), F.col("x.id").alias("b"))
-        .agg(F.count(F.lit(1)).alias("common"), F.first(F.least("x.n", "y.n")).alias("n"))
+        .agg(F.count(F.lit(1)).alias("common"), F.min(F.least("x.n", "y.n")).alias("n"))
     )
     held = longs.select("id", "longs")
     met = met.join(held.select(F.col("id").alias("a"), F.col("longs").alias("longs_a")), "a", "left").join(held.select(F.col("id").alias("b"), F.col("longs").alias("longs_b")), "b", "left")

@@ -117,7 +117,9 @@ def packed(rows, texts):
     return by_sequence
 
 
-def test_packing(spark, odd):
+@pytest.mark.parametrize("rows", [packing.RANKED_ROWS, 3])
+def test_packing(spark, odd, rows, monkeypatch):
+    monkeypatch.setattr(packing, "RANKED_ROWS", rows)  # lengths in one bin, and in several
     texts = dict(enumerate(ODD)) | {20 + i: "tick tock " * (i * 37 % 700) for i in range(60)}
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").withColumn("length", F.lit(1)).withColumn("rank", F.lit("x"))
     rows = packing.pack(df, WORDS, 1).collect()
