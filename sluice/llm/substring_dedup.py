@@ -15,7 +15,7 @@ taken out.
 from __future__ import annotations
 
 import re
-from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -35,11 +35,6 @@ _END = re.compile(r"[.!?…][\"'”’)\]]*(?=\s|$)|\n")
 _WORD = re.compile(r"\S+")
 
 
-@lru_cache(100_000)
-def _hash(word: str) -> int:
-    return xxhash.xxh3_64_intdigest(word)
-
-
 def sentences(text: str) -> list[list[str]]:
     """The words of every sentence or piece of one."""
     words: list[str] = []
@@ -53,7 +48,7 @@ def sentences(text: str) -> list[list[str]]:
     n, side = len(words), AROUND
     places = starts
     if n > 2 * side:
-        hashes = np.fromiter(map(_hash, words), np.uint64, n)
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, n)
         first = np.array(starts)
         sizes = np.diff(first, append=n)
         inside = np.arange(n) - np.repeat(first, sizes)
@@ -89,28 +84,28 @@ def stretches_of(text: str, units: list[list[str]], gone: list[bool]) -> list[tu
 
 def spans(units: list[list[str]], run: int = RUN, words: int = WORDS) -> list[tuple[int, int]]:
     """(first, last) of every span of sentences, each once."""
-    total = [0]
-    for unit in units:
-        total.append(total[-1] + len(unit))
-    found = set()
+    total = [0, *accumulate(map(len, units))]
     n = len(units)
+    found = []
     last = 0
     for i in range(n):  # the shortest run from i on
         last = max(last, i + run - 1)
-        while last < n and total[last + 1] - total[i] < words:
+        least = total[i] + words
+        while last < n and total[last + 1] < least:
             last += 1
         if last >= n:
             break
-        found.add((i, last))
+        found.append((i, last))
     first = n - 1
     for j in range(n - 1, -1, -1):  # the shortest run back from j
         first = min(first, j - run + 1)
-        while first >= 0 and total[j + 1] - total[first] < words:
+        most = total[j + 1] - words
+        while first >= 0 and total[first] > most:
             first -= 1
         if first < 0:
             break
-        found.add((first, j))
-    return sorted(found)
+        found.append((first, j))
+    return sorted(set(found))
 
 
 def span_hash(said: list[str], first: int, last: int) -> int:
