@@ -114,29 +114,28 @@ def span_hash(said: list[str], first: int, last: int) -> int:
 
 
 def _spans(docs: DataFrame, run: int, words: int, id_column: str, text_column: str) -> DataFrame:
-    """(id, hash, first, last) of every span of every whole text."""
+    """(id, hash, place) of every span of every whole text; a place is first << 32 | last, one number to shuffle for two."""
 
     def make() -> Kernel:
         def kernel(batch: pa.RecordBatch) -> dict:
-            rows: list[list[int]] = [[], [], [], []]
+            rows: list[list[int]] = [[], [], []]
             for k, text in enumerate(texts_of(batch, text_column)):
                 units = sentences(text)
                 said = [" ".join(unit) for unit in units]
                 for first, last in spans(units, run, words):
                     rows[0].append(k)
                     rows[1].append(span_hash(said, first, last))
-                    rows[2].append(first)
-                    rows[3].append(last)
-            return {"id": batch.column(id_column).take(pa.array(rows[0], pa.int64())), "hash": rows[1], "first": rows[2], "last": rows[3]}
+                    rows[2].append(first << 32 | last)
+            return {"id": batch.column(id_column).take(pa.array(rows[0], pa.int64())), "hash": rows[1], "place": rows[2]}
 
         return kernel
 
     kind = dict(docs.dtypes)[id_column]
-    return map_slices(docs.select(id_column, text_column), make, f"id {kind}, hash bigint, first int, last int", 256)
+    return map_slices(docs.select(id_column, text_column), make, f"id {kind}, hash bigint, place bigint", 256)
 
 
 def repeated_spans(docs: DataFrame, run: int = RUN, words: int = WORDS, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(id, repeated array<struct<first, last>>): of each document that has any, the spans that occurred before.
+    """(id, repeated array<long>): of each document that has any, the places of the spans that occurred before.
 
     First is the occurrence with the smallest id, then the smallest place. The
     spans are derived twice, for the count and for the join, which is cheaper
@@ -147,19 +146,19 @@ def repeated_spans(docs: DataFrame, run: int = RUN, words: int = WORDS, id_colum
     split them).
     """
     every = _spans(docs, run, words, id_column, text_column)
-    repeats = every.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "first")).alias("origin")).where("n > 1")
+    repeats = every.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "place")).alias("origin")).where("n > 1")
     repeats = checkpointed(repeats)
     hot = repeats.where(F.col("n") > HOT).select("hash")
     some = 0 < hot.limit(BROADCAST_HASHES + 1).count() <= BROADCAST_HASHES
     if some:
         every = every.join(F.broadcast(hot.select("hash", F.lit(True).alias("hot"))), "hash", "left")
-        every = every.withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("id", "first"), F.lit(SALTS))).otherwise(0).cast("int"))
+        every = every.withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("id", "place"), F.lit(SALTS))).otherwise(0).cast("int"))
         width = F.when(F.col("n") > HOT, SALTS).otherwise(1)
         repeats = repeats.withColumn("salt", F.explode(F.sequence(F.lit(0), width - 1)))
     later = every.join(repeats, ["hash", "salt"] if some else ["hash"]).where(
-        ~(F.col("id").eqNullSafe(F.col("origin.id")) & (F.col("first") == F.col("origin.first")))
+        ~(F.col("id").eqNullSafe(F.col("origin.id")) & (F.col("place") == F.col("origin.place")))
     )
-    return later.groupBy("id").agg(F.collect_set(F.struct("first", "last")).alias("repeated"))
+    return later.groupBy("id").agg(F.collect_set("place").alias("repeated"))
 
 
 def without(text: str, covered: list[tuple[int, int]]) -> str:
@@ -191,8 +190,9 @@ def dedup_substrings(docs: DataFrame, run: int = RUN, words: int = WORDS, id_col
             for text, repeated in zip(batch.column(text_column).to_pylist(), batch.column("repeated").to_pylist()):
                 units = sentences(text) if text and repeated else []
                 gone = [False] * len(units)
-                for span in repeated or []:
-                    gone[span["first"] : span["last"] + 1] = [True] * (span["last"] + 1 - span["first"])
+                for place in repeated or []:
+                    first, last = place >> 32, place & 0xFFFFFFFF
+                    gone[first : last + 1] = [True] * (last + 1 - first)
                 stretches = stretches_of(text, units, gone) if units else []
                 out["n_removed"].append(sum(gone))
                 out["removed"].append(",".join(f"{a}:{b}" for a, b in stretches))
