@@ -74,6 +74,24 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sluice.llm.fingerprints import edited_likeness
+
+    return edited_likeness(table(spark, sf_dir, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sluice.llm.spelling import spelling_variants
+
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sluice.llm.collocations import collocations
+
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
@@ -111,11 +129,13 @@ SHINGLE_JOIN = f"""
 
 
 def oracle_sql() -> dict[str, str]:
-    from sluice.llm import line_dedup
+    from sluice.llm import collocations, line_dedup, spelling
 
     return {
         "op2_line_dedup": line_dedup.oracle(),
         "op4_near_vectors": NEAR_VECTORS,
         "op8_shingle_join": SHINGLE_JOIN,
         "op9_maxscore_topk": TOP_K,
+        "op12_spelling_variants": spelling.oracle(),
+        "op13_collocations": collocations.oracle(),
     }
