@@ -34,6 +34,8 @@ from sluice.llm.batches import Kernel, code_points, joined_ids, lists_of, map_sl
 #: Arcs and pieces a task keeps before it starts afresh; bounds memory, not results.
 MAX_ARCS = 500_000
 MAX_PIECES = 250_000
+#: Bytes of a pre-token between looks at the number of arcs; ids are joined once for each stretch.
+STRETCH = 4_096
 #: Texts encoded at once.
 SLICE = 1_024
 #: Later than every merge.
@@ -240,14 +242,26 @@ class BpeTransducer:
         whole = self.ranks.get(piece)
         if whole is not None:
             return self.packed[whole]
+        self.room()
+        state, done = self.root, []
+        for start in range(0, len(piece), STRETCH):
+            if start:
+                state = self.room(state)
+            out = b""
+            for byte in piece[start : start + STRETCH]:
+                state, emitted = state[byte]
+                if emitted:
+                    out += emitted
+            done.append(out)
+        return b"".join([*done, state[State.ENDING]])
+
+    def room(self, state: State | None = None) -> State:
+        """Forget all states where they have too many arcs, but for the one that a pre-token is in; a state says all that its arcs are made from."""
         if self.arcs > MAX_ARCS:
             self.reset()
-        state, out = self.root, b""
-        for byte in piece:
-            state, emitted = state[byte]
-            if emitted:
-                out += emitted
-        return out + state[State.ENDING]
+            if state is not None:
+                state = self.states[state.before, state.pending] = State(self, state.before, state.pending, state.starts, state.tokens, state.places)
+        return self.root if state is None else state
 
 
 class Encoder:
