@@ -113,31 +113,38 @@ def span_hash(said: list[str], first: int, last: int) -> int:
     return xxhash.xxh3_64_intdigest(" ".join(said[first : last + 1])) - (1 << 63)
 
 
-def _spans(docs: DataFrame, run: int, words: int, id_column: str, text_column: str) -> DataFrame:
-    """(id, hash, place) of every span of every whole text; a place is first << 32 | last, one number to shuffle for two."""
+def _told_apart(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """(id, said, text): said tells apart the texts that share an id or have none; it is empty where every row has an id of its own."""
+    shared = docs.groupBy(id_column).agg(F.count(F.lit(1)).alias("n")).where((F.col("n") > 1) | F.col(id_column).isNull())
+    said = F.md5(F.coalesce(F.col(text_column), F.lit(""))) if shared.limit(1).count() else F.lit("")
+    return docs.select(F.col(id_column).alias("id"), said.alias("said"), F.col(text_column).alias("text"))
+
+
+def _spans(texts: DataFrame, run: int, words: int) -> DataFrame:
+    """(id, said, hash, place) of every span of every whole text; a place is first << 32 | last, one number to shuffle for two."""
 
     def make() -> Kernel:
         def kernel(batch: pa.RecordBatch) -> dict:
             rows: list[list[int]] = [[], [], []]
-            for k, text in enumerate(texts_of(batch, text_column)):
+            for k, text in enumerate(texts_of(batch)):
                 units = sentences(text)
                 said = [" ".join(unit) for unit in units]
                 for first, last in spans(units, run, words):
                     rows[0].append(k)
                     rows[1].append(span_hash(said, first, last))
                     rows[2].append(first << 32 | last)
-            return {"id": batch.column(id_column).take(pa.array(rows[0], pa.int64())), "hash": rows[1], "place": rows[2]}
+            of = pa.array(rows[0], pa.int64())
+            return {"id": batch.column("id").take(of), "said": batch.column("said").take(of), "hash": rows[1], "place": rows[2]}
 
         return kernel
 
-    kind = dict(docs.dtypes)[id_column]
-    return map_slices(docs.select(id_column, text_column), make, f"id {kind}, hash bigint, place bigint", 256)
+    return map_slices(texts, make, f"id {dict(texts.dtypes)['id']}, said string, hash bigint, place bigint", 256)
 
 
-def repeated_spans(docs: DataFrame, run: int = RUN, words: int = WORDS, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(id, repeated array<long>): of each document that has any, the places of the spans that occurred before.
+def repeated_spans(texts: DataFrame, run: int = RUN, words: int = WORDS) -> DataFrame:
+    """(id, said, repeated array<long>): of each text of (id, said, text) that has any, the places of the spans that occurred before.
 
-    First is the occurrence with the smallest id, then the smallest place. The
+    First is the occurrence with the smallest id, none before all, then the smallest place. The
     spans are derived twice, for the count and for the join, which is cheaper
     than to keep them: only hashes and places are shuffled. A hash with more
     than HOT occurrences is joined in SALTS parts; such hashes are at most one
@@ -145,20 +152,20 @@ def repeated_spans(docs: DataFrame, run: int = RUN, words: int = WORDS, id_colum
     BROADCAST_HASHES entries (beyond that Spark's own skew handling is left to
     split them).
     """
-    every = _spans(docs, run, words, id_column, text_column)
-    repeats = every.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "place")).alias("origin")).where("n > 1")
+    every = _spans(texts, run, words)
+    repeats = every.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "said", "place")).alias("origin")).where("n > 1")
     repeats = checkpointed(repeats)
     hot = repeats.where(F.col("n") > HOT).select("hash")
     some = 0 < hot.limit(BROADCAST_HASHES + 1).count() <= BROADCAST_HASHES
     if some:
         every = every.join(F.broadcast(hot.select("hash", F.lit(True).alias("hot"))), "hash", "left")
-        every = every.withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("id", "place"), F.lit(SALTS))).otherwise(0).cast("int"))
+        every = every.withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("id", "said", "place"), F.lit(SALTS))).otherwise(0).cast("int"))
         width = F.when(F.col("n") > HOT, SALTS).otherwise(1)
         repeats = repeats.withColumn("salt", F.explode(F.sequence(F.lit(0), width - 1)))
     later = every.join(repeats, ["hash", "salt"] if some else ["hash"]).where(
-        ~(F.col("id").eqNullSafe(F.col("origin.id")) & (F.col("place") == F.col("origin.place")))
+        ~(F.col("id").eqNullSafe(F.col("origin.id")) & (F.col("said") == F.col("origin.said")) & (F.col("place") == F.col("origin.place")))
     )
-    return later.groupBy("id").agg(F.collect_set("place").alias("repeated"))
+    return later.groupBy("id", "said").agg(F.collect_set("place").alias("repeated"))
 
 
 def without(text: str, covered: list[tuple[int, int]]) -> str:
@@ -177,17 +184,19 @@ def dedup_substrings(docs: DataFrame, run: int = RUN, words: int = WORDS, id_col
 
     ``removed`` lists the stretches taken out as start:end in code points of the
     old text, comma-joined; ``text`` is what is left. n_removed counts the
-    sentences taken out. Null and empty texts stay as they are; texts shorter than a span stay; rows with
-    one id are one document, whose rows all lose the same sentences; an empty
-    table gives an empty result; other columns are not read.
+    sentences taken out. Null and empty texts stay as they are; texts shorter than a span stay. Rows that share an
+    id, or have none, are documents of their own as far as their texts differ;
+    rows with the same id and text are one, and all lose the same sentences. An
+    empty table gives an empty result; other columns are not read.
     """
-    found = repeated_spans(docs, run, words, id_column, text_column)
-    joined = docs.select(id_column, text_column).join(found, F.col(id_column).eqNullSafe(F.col("id")), "left").drop("id")
+    texts = _told_apart(docs, id_column, text_column)
+    found = repeated_spans(texts, run, words).select(F.col("id").alias("_id"), F.col("said").alias("_said"), "repeated")
+    joined = texts.join(found, F.col("id").eqNullSafe(F.col("_id")) & (F.col("said") == F.col("_said")), "left").select("id", "text", "repeated")
 
     def make() -> Kernel:
         def kernel(batch: pa.RecordBatch) -> dict:
-            out: dict = {id_column: batch.column(id_column), "n_removed": [], "removed": [], "text": []}
-            for text, repeated in zip(batch.column(text_column).to_pylist(), batch.column("repeated").to_pylist()):
+            out: dict = {id_column: batch.column("id"), "n_removed": [], "removed": [], "text": []}
+            for text, repeated in zip(batch.column("text").to_pylist(), batch.column("repeated").to_pylist()):
                 units = sentences(text) if text and repeated else []
                 gone = [False] * len(units)
                 for place in repeated or []:
