@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 import zlib
 
 import numpy as np
@@ -44,6 +45,20 @@ def test_byte_bpe_is_tiktoken(spark, odd):
     assert byte_bpe.round_trip(odd.limit(0), RANKS, public_tokenizers.PATTERN).count() == 0
 
 
+def test_long_pre_token_takes_linear_time_and_memory(monkeypatch):
+    ranks = byte_bpe.parse_ranks(open(RANKS, "rb").read())
+    own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    transducer = byte_bpe.BpeTransducer(ranks)
+    letters = np.random.default_rng(3).integers(97, 123, 2_000_000).astype(np.uint8).tobytes()
+    start = time.perf_counter()
+    found = np.frombuffer(transducer.encode(letters), "<u4")
+    assert time.perf_counter() - start < 60 and transducer.arcs <= byte_bpe.MAX_ARCS + byte_bpe.STRETCH
+    assert b"".join(transducer.token[i] for i in found.tolist()) == letters
+    monkeypatch.setattr(byte_bpe, "MAX_ARCS", 3_000)  # forgets within a pre-token
+    assert np.array_equal(np.frombuffer(transducer.encode(letters[:60_000]), "<u4"), own.encode_ordinary(letters[:60_000].decode()))
+    assert np.array_equal(found[:10_000], own.encode_ordinary(letters[:60_000].decode())[:10_000])
+
+
 def test_encoders_are_the_libraries():
     ranks = byte_bpe.parse_ranks(open(RANKS, "rb").read())
     own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
@@ -215,6 +230,17 @@ def test_substring_dedup_is_what_brute_force_finds(spark):
         assert left.split() == expected[r["doc_id"]][0]
 
 
+def test_substring_dedup_of_rows_that_share_an_id(spark):
+    say = lambda w: " ".join(f"{w}{k} {w} said this and that." for k in range(10))
+    rows = [(1, say("p")), (7, say("p")), (None, say("p")), (7, say("own")), (None, say("lone")), (7, say("p")), (None, None)]
+    for left in ((7, say("lone")), (None, say("own"))):  # once more, elsewhere
+        got = substring_dedup.dedup_substrings(spark.createDataFrame([*rows, left], "doc_id long, text string")).collect()
+        texts = sorted((str(r["doc_id"]), r["text"] or "") for r in got)
+        kept = [t for _, t in texts if t]
+        # what occurs once stays whole, of what occurs several times one place does: a row without an id comes first, then the smallest id
+        assert sorted(kept) == sorted([say("p"), say("own"), say("lone")]) and ("None", say("p")) in texts and len(got) == 8
+
+
 def test_long_sentences_are_cut_alike_at_any_offset(spark):
     rnd = np.random.default_rng(5)
     draw = lambda n: " ".join(f"w{k}" for k in rnd.integers(0, 10**6, n))
