@@ -154,6 +154,7 @@ def enhanced_prompt(c: Column | str) -> Column:
 
 
 def is_thumbnail_source(src: Column | str) -> Column:
+    """Whether a lower-case address is of a picture."""
     return _col(src).rlike(r"\.(jpg|jpeg|png)")
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from itertools import combinations
+from math import comb
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +12,9 @@ from pyspark.sql import functions as F
 from sluice.operators.order import ranked
 from sluice.session import checkpointed
 
+#: Keys that one row may look up; the list of what they differ in is sent to every task.
+MAX_FLIPS = 100_000
+
 
 def first_by_key(df: DataFrame, key: str, order: str, copies: str | None = None) -> DataFrame:
     """One row (key, order) per key: the smallest order value wins; ``copies`` names a column with the number of the key's rows.
@@ -40,6 +45,10 @@ def ordered_union_distinct(frames: list[DataFrame], key: str, order: str = "pos"
 
 def band_masks(rows: int, threshold: int, bits: int, most: int = 4) -> list[int]:
     """The bits that pairs within a threshold may be joined on: every choice of g among threshold + g bands, as signed longs."""
+    return _best_masks(rows, threshold, bits, most)[1]
+
+
+def _best_masks(rows: int, threshold: int, bits: int, most: int) -> tuple[float, list[int]]:
     best = None
     for g in range(1, most + 1):
         bands = threshold + g
@@ -49,31 +58,86 @@ def band_masks(rows: int, threshold: int, bits: int, most: int = 4) -> list[int]
         cost = rows * len(masks) + sum(rows * rows / 2 ** (1 + m.bit_count()) for m in masks)
         if best is None or cost < best[0]:
             best = cost, masks
-    return sorted({m - (1 << 64) if m >> 63 else m for m in best[1]})
+    return best[0], sorted({_signed(m) for m in best[1]})
+
+
+@dataclass(frozen=True)
+class Probing:
+    """Bands of bits, each looked up with all keys within a number of flips."""
+
+    masks: tuple[int, ...]
+    radii: tuple[int, ...]
+    flips: int
+    meetings: float
+
+
+def probing(threshold: int, bits: int, bands: int) -> Probing:
+    """Pairs within t bits are within r_i of each other in one of m bands at least, for any radii that sum to t - m + 1."""
+    cuts = [bits * k // bands for k in range(bands + 1)]
+    left = max(0, threshold - bands + 1)
+    radii = tuple(left // bands + (i < left % bands) for i in range(bands))
+    widths = [hi - lo for lo, hi in zip(cuts, cuts[1:])]
+    keys = [sum(comb(w, k) for k in range(min(r, w) + 1)) for w, r in zip(widths, radii)]
+    masks = tuple(((1 << w) - 1) << lo for w, lo in zip(widths, cuts))
+    return Probing(masks, radii, sum(keys), sum(n / 2**w for n, w in zip(keys, widths)))
+
+
+def best_probing(rows: int, threshold: int, bits: int, most: int = 16) -> tuple[float, Probing] | None:
+    """(expected rows and meetings, bands) of the best number of bands whose flips may be sent to every task; None where none may."""
+    found = [probing(threshold, bits, m) for m in range(1, min(most, bits, threshold + 1) + 1)]
+    costs = [(rows * (len(p.masks) + p.flips) + rows * rows / 2 * p.meetings, p) for p in found if p.flips <= MAX_FLIPS]
+    return min(costs, key=lambda c: c[0], default=None)
+
 
+def _signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >> 63 else mask
 
-def hamming_pairs(df: DataFrame, threshold: int, id_column: str = "id", hash_column: str = "h", bits: int = 64) -> DataFrame:
+
+def _probed(base: DataFrame, plan: Probing) -> DataFrame:
+    """(a, ha, b, hb) of all that meet when each row looks its bands up within their radii; both orders."""
+    masks = F.array(*(F.lit(_signed(m)) for m in plan.masks))
+    banded = base.select("id", "h", F.inline(F.transform(masks, lambda m, k: F.struct(k.alias("band"), F.col("h").bitwiseAND(m).alias("bits")))))
+    rows = []
+    for band, (mask, radius) in enumerate(zip(plan.masks, plan.radii)):
+        places = [1 << k for k in range(64) if mask >> k & 1]
+        rows += [(band, _signed(sum(c))) for r in range(radius + 1) for c in combinations(places, r)]
+    flips = base.sparkSession.createDataFrame(rows, "band int, flip long")
+    asked = banded.join(F.broadcast(flips), "band").select(F.col("id").alias("a"), F.col("h").alias("ha"), "band", F.col("bits").bitwiseXOR(F.col("flip")).alias("bits"))
+    return asked.join(banded.select(F.col("id").alias("b"), F.col("h").alias("hb"), "band", "bits"), ["band", "bits"])
+
+
+def _agreeing(base: DataFrame, masks: list[int]) -> DataFrame:
+    """(a, ha, b, hb) of all that agree on one of some choices of bits; both orders."""
+    keys = F.transform(F.array(*(F.lit(m) for m in masks)), lambda m, k: F.struct(k.alias("band"), F.col("h").bitwiseAND(m).alias("bits")))
+    banded = base.select("id", "h", F.inline(keys))
+    left = banded.select(F.col("id").alias("a"), F.col("h").alias("ha"), "band", "bits")
+    return left.join(banded.select(F.col("id").alias("b"), F.col("h").alias("hb"), "band", "bits"), ["band", "bits"])
+
+
+def hamming_pairs(df: DataFrame, threshold: int, id_column: str = "id", hash_column: str = "h", bits: int = 64, probe: int | None = None) -> DataFrame:
     """(a, b, distance) of every pair a < b within a threshold, exactly.
 
-    A pair within t bits agrees on g of t + g bands at least, so the pairs are
-    an equi-join on choices of g bands: more keys for each row as g grows, but
-    longer ones, that fewer rows share by chance. g is what makes the number of
-    rows and expected meetings least. Equal hashes should be collapsed first, as
+    Two ways lead to all pairs. A pair within t bits agrees on g of t + g bands
+    at least, so it meets on a choice of g bands: an equi-join with more keys
+    for each row as g grows, but longer ones, that fewer rows share by chance.
+    And of m bands it has one in which it differs in t // m bits or fewer, so it
+    meets where each row looks up all keys that near: few wide bands, many
+    probes. What makes the expected number of rows and meetings least is taken;
+    ``probe`` sets m instead. Equal hashes should be collapsed first, as
     ``near_dup_greedy`` does.
     """
     base = checkpointed(df.where(F.col(hash_column).isNotNull()).select(F.col(id_column).alias("id"), F.col(hash_column).cast("long").alias("h")))
-    masks = band_masks(base.count(), threshold, bits)
-    keys = F.transform(F.array(*(F.lit(m) for m in masks)), lambda m, k: F.struct(k.alias("band"), F.col("h").bitwiseAND(m).alias("bits")))
-    banded = base.select("id", "h", F.inline(keys))
-    left = banded.select(F.col("id").alias("a"), F.col("h").alias("ha"), "band", "bits")
-    right = banded.select(F.col("id").alias("b"), F.col("h").alias("hb"), "band", "bits")
+    rows = base.count()
+    cost, masks = _best_masks(rows, threshold, bits, 4)
+    best = best_probing(rows, threshold, bits)
+    if probe:
+        met = _probed(base, probing(threshold, bits, probe))
+    elif best and best[0] < cost:
+        met = _probed(base, best[1])
+    else:
+        met = _agreeing(base, masks)
     distance = F.bit_count(F.col("ha").bitwiseXOR(F.col("hb")))
-    return (
-        left.join(right, ["band", "bits"])
-        .where((F.col("a") < F.col("b")) & (distance <= threshold))
-        .select("a", "b", distance.cast("int").alias("distance"))
-        .distinct()
-    )
+    return met.where((F.col("a") < F.col("b")) & (distance <= threshold)).select("a", "b", distance.cast("int").alias("distance")).distinct()
 
 
 def near_dup_greedy(df: DataFrame, threshold: int = 8, id_column: str = "id", hash_column: str = "h", bits: int = 64) -> DataFrame:

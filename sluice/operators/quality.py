@@ -9,14 +9,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions.arrays import aspect_ratio, softmax
+from sluice.operators import order
+from sluice.session import checkpointed
 
 #: Fixed values.
 MIN_WIDTH, MIN_HEIGHT = 480, 360
 MAX_WIDTH, MAX_HEIGHT = 1920, 1080
 SHARPNESS = 100.0
 SIMILARITY = 0.25
-#: Prompts that one call compares with at most: what is sent to every task.
-PROMPTS = 10_000
+#: Prompts that are sent to every task at once, and that one row of logits may have; blocks of them between checkpoints.
+PROMPTS, WAVE = 10_000, 4
 ANCHORS = ("flood", "disaster", "water damage", "emergency")
 
 
@@ -106,7 +108,7 @@ def similarity_logits(assets: DataFrame, prompts: DataFrame, asset_vector: str =
     The prompts (a query's keywords and anchors) are packed into one row of one
     array, whose size is the number of prompts, so the assets aren't multiplied.
     Every asset's logits have that size as well: more than PROMPTS prompts are
-    an error.
+    an error here and a case for ``similarity_of_many``, which has no such row.
     """
     if prompts.limit(PROMPTS + 1).count() > PROMPTS:
         raise ValueError(f"more than {PROMPTS} prompts for one set of logits")
@@ -117,6 +119,48 @@ def similarity_logits(assets: DataFrame, prompts: DataFrame, asset_vector: str =
     return assets.crossJoin(F.broadcast(packed)).select(*assets.columns, product.alias("logits"))
 
 
+def similarity_of_many(assets: DataFrame, prompts: DataFrame, n_keywords: str = "n_keywords", asset_vector: str = "embedding", prompt_vector: str = "vector", prompt_order: str = "prompt_pos", scale: float = 100.0, threshold: float = SIMILARITY, block: int = PROMPTS) -> DataFrame:
+    """What ``similarity`` says of ``similarity_logits``, for any number of prompts and without a row of logits.
+
+    The prompts, in order, are keywords up to each asset's ``n_keywords`` and
+    anchors from there on. They are taken in blocks of one broadcast row each;
+    an asset carries from block to block the largest logit, the sum of
+    exponentials less it, and the same of its keywords, which is all that a
+    softmax needs of what came before. An asset without a vector, or any asset
+    where there are keywords but no prompts, fails.
+    """
+    placed = checkpointed(order.ranked(prompts.select(F.col(prompt_order).alias("_order"), F.col(prompt_vector).alias("_vector")), [], ["_order"], "_place"))
+    blocks = -(-placed.count() // block)
+    state = F.struct(*(F.lit(x).alias(n) for n, x in (("most", float("-inf")), ("sum", 0.0), ("best", float("-inf")), ("own", 0.0))))
+    found = assets.withColumn("_state", state)
+    some = F.col(n_keywords) > 0
+    for k in range(blocks):
+        part = placed.where(F.floor(F.col("_place") / block) == k)
+        packed = part.agg(F.collect_list(F.struct("_place", "_vector")).alias("_block"))
+
+        def fold(now: Column, prompt: Column) -> Column:
+            product = F.aggregate(F.zip_with(prompt["_vector"], F.col(asset_vector), lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda a, x: a + x) * scale
+            most = F.greatest(now["most"], product)
+            shrunk, added = F.exp(now["most"] - most), F.exp(product - most)
+            own = prompt["_place"] < F.col(n_keywords)
+            return F.struct(
+                most.alias("most"),
+                (now["sum"] * shrunk + added).alias("sum"),
+                F.when(own, F.greatest(now["best"], product)).otherwise(now["best"]).alias("best"),
+                (now["own"] * shrunk + F.when(own, added).otherwise(0.0)).alias("own"),
+            )
+
+        found = found.crossJoin(F.broadcast(packed)).withColumn("_state", F.aggregate("_block", F.col("_state"), fold)).drop("_block")
+        if k % WAVE == WAVE - 1:  # what was sent to the tasks can go
+            found = checkpointed(found)
+    sums = F.col("_state.sum") > 0
+    best = F.when(sums, F.exp(F.col("_state.best") - F.col("_state.most")) / F.col("_state.sum"))
+    mean = F.when(sums, F.col("_state.own") / F.col("_state.sum") / F.col(n_keywords))
+    known = F.col(asset_vector).isNotNull()
+    passes = F.when(~some, F.lit(True)).otherwise(F.coalesce(known & (best >= threshold), F.lit(False)))
+    return found.select(*assets.columns, F.when(some & known, best).alias("max_prob"), F.when(some & known, mean).alias("avg_prob"), passes.alias("similar"))
+
+
 def compose(df: DataFrame, verdicts: Sequence[tuple[str, str]]) -> DataFrame:
     """valid and rejected_by: (name, boolean column) verdicts in order, all of which must hold."""
     failed = None

@@ -162,6 +162,73 @@ def thumbnail_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return web.thumbnails(_pictured(spark, sf_dir), BASE)
 
 
+#: The same in markup as it is met: nested containers, other quotes and cases, attributes in any order, class names that only begin like others.
+_UNTIDY = {
+    0: '<DIV CLASS=\'main-image x\'><div><span>a &lt; b</span></div><IMG alt="a > b" SRC=/m{}_th.png></DIV><div class="content"><img src="/no.png"></div>',
+    1: '<div class="content-wrapper"><img src="/w.png"></div><!-- <div class="content"><img src="/z.png"> --><div class=content><div><p>x</div><img src=\'/button.png\'><img data-src="/c{}_med.JPG?a=1&amp;b=2" src></div>',
+    2: '<script>"<article><img src=/s.png>"</script></p><article><section><a href=/deep{}>x</a><a HREF=\'/second\'>y</a><img src=http://x/a{}.gif></section></article>',
+    3: '<meta content="http://og/{}?a&amp;b" property="og:image"><div class="content"><img src="/logo.png"></div><a class="big card-image" href="/card{}">z</a><article><a href="/plain">x</a></article>',
+    4: '<figure class="image"></figure><div class="image-wrapper"><img src="/f{}.png"',
+}
+
+
+def _untidy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    form = F.create_map(*(F.lit(x) for pair in _UNTIDY.items() for x in pair))
+    said = F.replace(F.try_element_at(form, (F.col("page_id") % 5).cast("int")), F.lit("{}"), F.col("page_id").cast("string"))
+    return table(spark, sf_dir, "pages").select("page_id", "url", F.when(F.col("page_id") % 5 == 4, F.concat("html", said)).otherwise(F.concat(said, F.lit("<hr>"))).alias("html"))
+
+
+@query(
+    "untidy_main_images",
+    """select page_id, case page_id % 5 when 0 then 'https://b.org/m' || page_id || '_lrg.png' when 1 then 'https://b.org/c' || page_id || '_lrg.JPG?a=1&b=2'
+      when 2 then 'http://x/a' || page_id || '.gif' when 3 then 'http://og/' || page_id || '?a&b' end as url from pages""",
+)
+def untidy_main_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return web.main_image(_untidy(spark, sf_dir), BASE)
+
+
+@query(
+    "untidy_thumbnails",
+    """select page_id, pos::int as pos, url from (
+      select page_id, 0 as pos, 'https://b.org/m' || page_id || '_lrg.png' as url from pages where page_id % 5 = 0 union all
+      select page_id, 1, 'https://b.org/no.png' from pages where page_id % 5 = 0 union all
+      select page_id, 0, 'https://b.org/w.png' from pages where page_id % 5 = 1 union all
+      select page_id, 1, 'https://b.org/button.png' from pages where page_id % 5 = 1 union all
+      select page_id, 2, 'https://b.org/c' || page_id || '_lrg.JPG?a=1&b=2' from pages where page_id % 5 = 1 union all
+      select page_id, 0, 'https://b.org/logo.png' from pages where page_id % 5 = 3)""",
+)
+def untidy_thumbnails(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return web.thumbnails(_untidy(spark, sf_dir).where("page_id % 5 < 4"), BASE)
+
+
+@query(
+    "untidy_article_links",
+    """select page_id, 0::int as pos, 'https://b.org/' || case page_id % 5 when 2 then 'deep' else 'card' end || page_id as url from pages where page_id % 5 in (2, 3)""",
+)
+def untidy_article_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cards where there are any, else the first link in each article."""
+    return web.article_links(_untidy(spark, sf_dir).where("page_id % 5 < 4"), BASE)
+
+
+@query(
+    "search_pictures",
+    """with linked as (select page_id as s, (page_id + 1) % ((select max(page_id) from pages) + 1) as t from pages),
+    main as (
+      select page_id, case page_id % 5 when 0 then 'https://b.org/m' || page_id || '_lrg.png' when 1 then 'https://b.org/c' || page_id || '_lrg.jpg'
+        when 2 then 'http://x/a' || page_id || '.gif' when 3 then 'http://og/' || page_id end as url from pages)
+    select s as page_id, 0::int as part, url from linked join main on page_id = t where url is not null
+    union all select page_id, 1, 'https://b.org/own' || page_id || '_lrg.png' from pages""",
+)
+def search_pictures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Result pages that link the next page's article in a card and show a picture of their own."""
+    articles = _pictured(spark, sf_dir).withColumn("url", F.concat(F.lit(BASE + "/at/"), F.col("page_id").cast("string")))
+    pages = table(spark, sf_dir, "pages").select("page_id")
+    following = (F.col("page_id") + 1) % (F.col("most") + 1)
+    form = F.concat(F.lit("<a href='/at/"), following.cast("string"), F.lit("' class='card-image'></a><article><img src=/own"), F.col("page_id").cast("string"), F.lit("_th.png></article>"))
+    found = web.search_images(pages.crossJoin(pages.agg(F.max("page_id").alias("most"))).select("page_id", form.alias("html")), articles, BASE)
+    return found.select("page_id", "place.part", "url")
+
+
 @query(
     "listed_picture_urls",
     r"""select page_id, pos::int as pos, url from (

@@ -1,13 +1,15 @@
-"""Addresses of images in web pages, all by expressions over (page_id, url, html)."""
+"""Addresses of images in web pages, by expressions over (page_id, url, html) and over the elements that a page is read into."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.functions.text import absolute_url, is_decoration, large_variant, video_url
+from sluice.functions.markup import elements, tagged, value, within
+from sluice.functions.text import absolute_url, is_decoration, is_thumbnail_source, large_variant, video_url
 from sluice.operators.acquire import per_group_limit
 from sluice.operators.dedup import first_rows
+from sluice.session import ship
 
 #: Fixed values.
 MEDIA_URL, LISTED_URL = r"mediaurl=([^&\"]+)", r"\[\"(https://[^\"]+)\",\d+,\d+\]"
@@ -37,44 +39,53 @@ def listed_urls(pages: DataFrame, key: str = "page_id", html: str = "html") -> D
 
 def links(pages: DataFrame, base: Column | str = "", key: str = "page_id", html: str = "html") -> DataFrame:
     """(key, pos, url) of every href, absolute by putting the base before, first seen first."""
-    found = F.regexp_extract_all(html, F.lit(r"<a\b[^>]*?\shref=\"([^\"]*)\""), F.lit(1))
-    return pages.select(key, F.posexplode(F.array_distinct(found)).alias("pos", "href")).select(key, "pos", absolute_url("href", base).alias("url"))
+    found = _read(pages, key, html, ["a"], ["href"])
+    hrefs = F.array_compact(F.transform("found", lambda e: value(e, "href")))
+    return found.select(key, F.posexplode(F.array_distinct(hrefs)).alias("pos", "href")).select(key, "pos", absolute_url("href", base).alias("url"))
 
 
-def article_links(pages: DataFrame, base: str, key: str = "page_id", html: str = "html") -> DataFrame:
-    """(key, pos, url): links of class card-image, or else the links that articles open with."""
-    cards = F.regexp_extract_all(html, F.lit(r"<a\b(?=[^>]*\bclass=\"[^\"]*\bcard-image\b)[^>]*?\shref=\"([^\"]+)\""), F.lit(1))
-    plain = F.regexp_extract_all(html, F.lit(r"<article\b[^>]*>\s*<a\b[^>]*?\shref=\"([^\"]+)\""), F.lit(1))
-    found = F.when(F.size(cards) > 0, cards).otherwise(plain)
-    return pages.select(key, F.posexplode(found).alias("pos", "href")).select(key, "pos", absolute_url("href", base).alias("url"))
+def _read(pages: DataFrame, key: str, html: str, tags: list[str], attributes: list[str]) -> DataFrame:
+    """(key, found): each page's elements with some tags."""
+    ship(pages.sparkSession)
+    return pages.select(key, elements(html, tags, attributes).alias("found"))
+
+
+def _filled(element: Column, name: str) -> Column:
+    return F.nullif(value(element, name), F.lit(""))
 
 
-def _source(tag: Column) -> Column:
-    own = F.regexp_extract(tag, r"\ssrc=\"([^\"]+)\"", 1)
-    return F.coalesce(F.nullif(own, F.lit("")), F.nullif(F.regexp_extract(tag, r"\sdata-src=\"([^\"]+)\"", 1), F.lit("")))
+def _source(element: Column) -> Column:
+    return F.coalesce(_filled(element, "src"), _filled(element, "data-src"))
+
+
+def article_links(pages: DataFrame, base: str, key: str = "page_id", html: str = "html") -> DataFrame:
+    """(key, pos, url): links of class card-image, or else the first link in each article; empty ones go."""
+    read = _read(pages, key, html, ["a", "article"], ["href"])
+    anchors = read.select(key, "found", tagged(F.col("found"), "a").alias("anchors"))
+    cards = tagged(F.col("anchors"), "a", "card-image")
+    firsts = F.transform(tagged(F.col("found"), "article"), lambda e: F.get(within(F.col("anchors"), e), F.lit(0)))
+    hrefs = F.array_compact(F.transform(F.when(F.size(cards) > 0, cards).otherwise(firsts), lambda e: _filled(e, "href")))
+    return anchors.select(key, F.posexplode(hrefs).alias("pos", "href")).select(key, "pos", absolute_url("href", base).alias("url"))
 
 
 def thumbnails(pages: DataFrame, base: str, key: str = "page_id", html: str = "html") -> DataFrame:
     """(key, pos, url): the large versions of a page's pictures."""
-    tags = F.regexp_extract_all(html, F.lit(r"(<img\b[^>]*>)"), F.lit(1))
-    found = pages.select(key, F.posexplode(tags).alias("pos", "tag")).withColumn("src", _source(F.col("tag")))
-    found = found.where(F.col("src").rlike(r"\.(jpg|jpeg|png)"))
-    return found.select(key, "pos", large_variant(absolute_url("src", base)).alias("url"))
+    read = _read(pages, key, html, ["img"], ["src", "data-src"])
+    found = read.select(key, F.posexplode("found").alias("pos", "picture")).withColumn("src", _source(F.col("picture")))
+    return found.where(is_thumbnail_source(F.lower("src"))).select(key, "pos", large_variant(absolute_url("src", base)).alias("url"))
 
 
 def main_image(pages: DataFrame, base: str, key: str = "page_id", html: str = "html") -> DataFrame:
     """(key, url): the picture in the first of the main containers, else the first of the content that isn't decoration, else the one in the head; null without any."""
-    found = []
-    for tag, name in MAIN_IMAGE:
-        block = F.regexp_extract(html, rf"(?s)<{tag}\b[^>]*\bclass=\"[^\"]*\b{name}\b[^\"]*\"[^>]*>(.*?)</{tag}>", 1)
-        found.append(_source(F.regexp_extract(block, r"(<img\b[^>]*>)", 1)))
-    content = F.regexp_extract(html, r"(?s)<div\b[^>]*\bclass=\"[^\"]*\bcontent\b[^\"]*\"[^>]*>(.*)", 1)
-    content = F.when(content != "", content).otherwise(F.regexp_extract(html, r"(?s)<article\b[^>]*>(.*?)</article>", 1))
-    tags = F.regexp_extract_all(content, F.lit(r"(<img\b[^>]*>)"), F.lit(1))
-    plain = F.get(F.filter(F.transform(tags, _source), lambda s: s.isNotNull() & ~is_decoration(s)), F.lit(0))
-    head = F.nullif(F.regexp_extract(html, r"<meta\b[^>]*property=\"og:image\"[^>]*content=\"([^\"]*)\"", 1), F.lit(""))
-    picture = F.coalesce(*found, plain)
-    return pages.select(key, F.coalesce(large_variant(absolute_url(picture, base)), head).alias("url"))
+    read = _read(pages, key, html, ["figure", "div", "article", "img", "meta"], ["src", "data-src", "property", "content"])
+    found, pictures = F.col("found"), F.col("pictures")
+    first = lambda some: F.get(some, F.lit(0))
+    main = [_source(first(within(pictures, first(tagged(found, tag, name))))) for tag, name in MAIN_IMAGE]
+    content = F.coalesce(first(tagged(found, "div", "content")), first(tagged(found, "article")))
+    plain = first(F.filter(F.transform(within(pictures, F.col("inner")), _source), lambda s: s.isNotNull() & ~is_decoration(s)))
+    head = _filled(first(F.filter(tagged(found, "meta"), lambda e: value(e, "property") == "og:image")), "content")
+    placed = read.withColumn("pictures", tagged(found, "img")).withColumn("inner", content)
+    return placed.select(key, F.coalesce(large_variant(absolute_url(F.coalesce(*main, plain), base)), head).alias("url"))
 
 
 def search_images(pages: DataFrame, articles: DataFrame, base: str, key: str = "page_id", html: str = "html", url: str = "url") -> DataFrame:

@@ -1,9 +1,12 @@
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sluice.functions import arrays, pixels
+from sluice.functions import arrays, markup, pixels
 from sluice.functions import text as T
+from sluice.sources import web
 
 
 def value(spark, column, **cells):
@@ -84,3 +87,50 @@ def test_pixels():
     near[0, 0] = 128
     assert bin((pixels.perceptual_hash(picture) ^ pixels.perceptual_hash(near)) & (1 << 64) - 1).count("1") <= 4
     assert np.linalg.norm(pixels.histogram(board)[:256]) == pytest.approx(1)
+
+
+PAGES = {
+    '<div class="main-image"><div></div><img src="/a.jpg"></div>': "b/a.jpg",
+    "<div class='main-image'><img src='/a.jpg'></div>": "b/a.jpg",
+    "<DIV CLASS=main-image><IMG SRC=/a.jpg></DIV>": "b/a.jpg",
+    '<div id=x class="x main-image y"><p><img src="" data-src="/a.jpg"></div>': "b/a.jpg",
+    '<div class="main-images"><img src="/no.jpg"></div><article><b><img src="/a.jpg"></b></article>': "b/a.jpg",
+    '<div class="main-image"></div><img src="/no.jpg"><div class="image-wrapper"><img src="/a_th.jpg">': "b/a_lrg.jpg",
+    '<div class="content-wrapper"><img src="/no.jpg"></div><div class="content"><img src="/icon.jpg"><img src="/a.jpg"></div>': "b/a.jpg",
+    '<meta content="http://og?a&amp;b" property="og:image">': "http://og?a&b",
+    '<!-- <div class="content"><img src="/no.jpg"></div> --><style>a{}<img src="/no.jpg"></style><article></article>': None,
+    '<div class="content"></div><img src="/no.jpg">': None,
+    '<article title="a > b \' c"><img title=\'"\' src=/a.jpg></article>': "b/a.jpg",
+    "<article><img src='/a.jpg>": "b'/a.jpg",
+    "": None,
+}
+
+
+def test_main_images_as_a_parser_reads_them(spark):
+    pages = spark.createDataFrame([*enumerate(PAGES), (99, None)], "page_id int, html string")
+    found = {r["page_id"]: r["url"] for r in web.main_image(pages, "b").collect()}
+    assert [found[k] for k in range(len(PAGES))] == list(PAGES.values()) and found[99] is None
+
+
+def test_links_as_a_parser_reads_them(spark):
+    pages = [
+        """<a href='/x'>1</a><a href=/y>2</a><A HREF="/z">3</A><a href="/a?b=1&amp;c=2">4</a><abbr href="/no"></abbr><a data-href="/no" href = "/x">5</a><a>6</a>""",
+        '<article><h2>t</h2><p><a href="/deep">1</a><a href="/no">2</a></p></article><a href="/no">3</a><article></article><article><a href="">4</a></article>',
+        '<article><a href="/no"></a></article><a class="x card-image" href="/card"></a><a class="card-images" href="/no"></a>',
+    ]
+    pages = spark.createDataFrame([*enumerate(pages), (9, None)], "page_id int, html string")
+    urls = lambda found, k: [r["url"] for r in found.where(f"page_id = {k}").orderBy("pos").collect()]
+    assert urls(web.links(pages, "b"), 0) == ["b/x", "b/y", "b/z", "b/a?b=1&c=2"]
+    assert urls(web.article_links(pages, "b"), 1) == ["b/deep"] and urls(web.article_links(pages, "b"), 2) == ["b/card"]
+    assert urls(web.links(pages, "b"), 9) == [] and web.thumbnails(pages, "b").count() == 0
+
+
+def test_elements_take_linear_time():
+    found = lambda page: markup.elements_of(page, ["a", "div"], ["href"])
+    start = time.perf_counter()
+    n = 100_000
+    for page in ("<div>" * n, "</p>" * n, "<div></p>" * n, '<a "' * n, "<a '" * n + '"', "<!--" * n, "<a <" * n, "<script>" * n, "<a" + " " * n + ">", "<a x" + "=" * n + ">", "<" * n, '<div><a b="' * n, "<a href=\"'>" * n):
+        found(page)
+    assert time.perf_counter() - start < 20
+    deep = found("<div>" * 1000 + "</div>" * 999 + "<a href=x>")
+    assert [(e["pos"], e["last"]) for e in deep[:2]] == [(0, 1000), (1, 999)] and deep[-1]["attributes"] == [("href", "x")]

@@ -1,6 +1,7 @@
 import datetime
 import random
 
+import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sluice.operators import acquire, dedup, order, rate, report
 from sluice.operators.dedup import band_masks, hamming_pairs, near_dup_greedy, numbered_firsts, ordered_union_distinct
-from sluice.operators.quality import Thresholds, compose, heuristics, large_enough, normalized_size, sharp, similarity
+from sluice.operators.quality import Thresholds, compose, heuristics, large_enough, normalized_size, sharp, similarity, similarity_logits, similarity_of_many
 from sluice.operators.scenes import frame_names, scene_keyframes
 
 
@@ -192,3 +193,55 @@ def test_reports(spark):
     assert empty["total"] == 0 and empty["final"] == 0
     assert report.progress(spark.createDataFrame([], "status string"), 0).first()["progress_pct"] == 0
     assert report.pass_rate(spark.createDataFrame([(True,), (None,)], "valid boolean")).first()["shown"] == "50.0"
+
+
+@pytest.mark.parametrize("bits, threshold, probe", [(24, 6, 1), (24, 6, 2), (24, 6, 3), (64, 7, 4), (64, 3, 7), (16, 0, 1), (20, 9, 2)])
+def test_probing_finds_all_pairs(spark, bits, threshold, probe):
+    rnd = np.random.default_rng(bits + threshold)
+    values = rnd.integers(0, 1 << 63, 150, dtype=np.uint64) * np.uint64(2) >> np.uint64(64 - bits)
+    flipped = [int(v) ^ sum(1 << int(k) for k in set(rnd.integers(0, bits, rnd.integers(0, threshold + 2)))) for v in values]
+    hashes = [h - (1 << 64) if h >> 63 else h for h in dict.fromkeys([*map(int, values), *flipped])]
+    found = hamming_pairs(spark.createDataFrame([*enumerate(hashes), (999, None)], "id int, h long"), threshold, bits=bits, probe=probe)
+    apart = lambda a, b: ((a ^ b) & (1 << 64) - 1).bit_count()
+    expected = {(a, b, apart(x, y)) for a, x in enumerate(hashes) for b, y in enumerate(hashes) if a < b and apart(x, y) <= threshold}
+    assert {tuple(r) for r in found.collect()} == expected
+
+
+def test_the_cheaper_way_to_pairs():
+    # at 18 of 64 bits 3 in 10,000 random keys are pairs; in probes 13 in 100 meet, by choices of bands every pair does, more than once
+    cost, plan = dedup.best_probing(10**6, 18, 64)
+    assert plan.radii == (4, 4, 4, 3) and plan.flips < dedup.MAX_FLIPS and plan.meetings < 0.13
+    assert 7 * cost < dedup._best_masks(10**6, 18, 64, 4)[0] and dedup.best_probing(10**5, 18, 64)[1].meetings < 0.25
+    # narrow ones stay with choices of bands
+    assert dedup._best_masks(10**6, 3, 64, 4)[0] < dedup.best_probing(10**6, 3, 64)[0]
+
+
+def test_scenes_of_a_long_video_in_parts(spark, monkeypatch):
+    rnd = np.random.default_rng(4)
+    rows = [(v, 3 * i, None if rnd.random() < 0.05 else rnd.random(3).tolist()) for v, n in (("v", 500), ("w", 3), (None, 60)) for i in range(n)]
+    frames = spark.createDataFrame([rows[k] for k in rnd.permutation(len(rows))], "video string, frame_idx int, hist array<double>")
+    said = lambda: sorted(map(str, scene_keyframes(frames, 60.0).collect()))
+    whole = said()
+    for size in (40, 7):
+        monkeypatch.setattr(order, "RANKED_ROWS", size)
+        assert said() == whole
+
+
+def test_similarity_with_any_number_of_prompts(spark):
+    rnd = np.random.default_rng(8)
+    n, dim, keywords = 25_000, 4, 24_996
+    prompts, vectors = rnd.normal(size=(n, dim)), rnd.normal(size=(6, dim))
+    assets = spark.createDataFrame([(i, v.tolist(), keywords, 1.0) for i, v in enumerate(vectors)] + [(6, None, keywords, 1.0), (7, vectors[0].tolist(), 0, 1.0)], "id int, embedding array<double>, n_keywords int, best double")
+    asked = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(prompts)], "prompt_pos int, vector array<double>")
+    found = {r["id"]: r for r in similarity_of_many(assets, asked, scale=3.0, threshold=0.02, block=4_000).collect()}
+    for i, v in enumerate(vectors):
+        logits = 3.0 * prompts @ v
+        shares = np.exp(logits - logits.max())
+        shares = shares[:keywords] / shares.sum()
+        assert found[i]["max_prob"] == pytest.approx(shares.max()) and found[i]["avg_prob"] == pytest.approx(shares.mean()) and found[i]["similar"] == (shares.max() >= 0.02)
+    assert found[6]["similar"] is False and found[6]["max_prob"] is None and found[7]["similar"] is True and found[7]["max_prob"] is None
+    few = asked.where("prompt_pos < 9")
+    one = similarity(similarity_logits(assets.where("id < 6").withColumn("n_keywords", F.lit(5)), few), threshold=0.02)
+    many = similarity_of_many(assets.where("id < 6").withColumn("n_keywords", F.lit(5)), few, threshold=0.02, block=2)
+    assert [r["max_prob"] for r in many.orderBy("id").collect()] == pytest.approx([r["max_prob"] for r in one.orderBy("id").collect()])
+    assert [r["similar"] for r in similarity_of_many(assets, few.limit(0)).orderBy("id").collect()] == [False] * 7 + [True]

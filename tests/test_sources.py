@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from sluice.functions import pixels
 from sluice.operators import acquire
 from sluice.sources import files, lists, pictures, records, web
+from sluice.sources import search_api
 from sluice.sources.search_api import Gate, SearchSource, with_retry
 from sluice.streaming import live
 
@@ -236,3 +237,76 @@ def test_settings_in_yaml(tmp_path):
     lists.Settings(sharpness=50.0, keys={"pexels": "k"}).save(path)
     made = lists.Settings.load(path, {"PEXELS_API_KEY": "", "FLICKR_API_KEY": "f"})
     assert made.sharpness == 50.0 and made.min_size == (480, 360) and made.keys == {"pexels": "k", "flickr": "f"}
+
+
+def simulated(parts, options, answers, late=lambda: 0.0, slots=2):
+    """Reads the partitions in order with so many slots under a clock of its own; (when each request went, all rows)."""
+    went, rows, free = [], [], [1000.0] * slots
+    for part in parts:
+        k = min(range(slots), key=free.__getitem__)
+        now = [free[k] + late()]
+
+        def sleep(seconds):
+            now[0] += seconds + late() / 100
+
+        def asked(request, timeout):
+            went.append(now[0])
+            now[0] += 0.5
+            return answers(request.full_url)
+
+        reader = search_api.SearchReader(options, lambda: now[0], sleep)
+        search_api.urllib.request.urlopen, kept = asked, search_api.urllib.request.urlopen
+        try:
+            rows += list(reader.read(part))
+        finally:
+            search_api.urllib.request.urlopen = kept
+        free[k] = now[0]
+    return sorted(went), rows
+
+
+class Body:
+    headers = type("Headers", (), {"get_content_type": staticmethod(lambda: "text/html")})
+
+    def __init__(self, said):
+        self.said = said
+
+    def read(self):
+        return self.said.encode()
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *_):
+        return False
+
+
+@pytest.mark.parametrize("paging, limit", [("numbered", 3), ("numbered", 1), ("all", 4), ("numbered", 50)])
+def test_all_partitions_keep_one_limit(paging, limit):
+    rnd = np.random.default_rng(limit)
+    options = {"template": "http://x/{keyword}/{page}", "keywords": '["a", "b", "c", "d"]', "pages": "5", "paging": paging, "limit": str(limit), "delay": "1"}
+    parts = search_api.SearchReader(options, lambda: 1000.0).partitions()
+    assert len(parts) == (20 if paging == "numbered" else 4)
+    failures = {}
+
+    def answers(url):
+        failures[url] = failures.get(url, -1) + 1
+        if "3" in url and failures[url] < 2:  # too many requests, then an error of the server
+            code = [429, 503][failures[url]]
+            raise search_api.urllib.error.HTTPError(url, code, "", {"Retry-After": "700"} if code == 429 else {}, None)
+        return Body("ok")
+
+    went, rows = simulated(parts, options, answers, lambda: float(rnd.exponential(200.0)))
+    assert [r[2] for r in rows] == ["ok"] * 20 and len(went) == 28
+    assert all(sum(t <= u < t + 3600 for u in went) <= limit for t in went)
+    if limit == 50:
+        assert went[11] - went[0] < 3600  # what is within the limit goes at once
+
+
+def test_no_limit_no_wait_and_attempts_end():
+    options = {"template": "http://x/{keyword}/{page}", "keywords": '["a"]', "pages": "3", "attempts": "2", "delay": "1"}
+
+    def answers(url):
+        raise search_api.urllib.error.HTTPError(url, 404, "", {}, None) if "2" in url else OSError("none")
+
+    went, rows = simulated(search_api.SearchReader(options, lambda: 1000.0).partitions(), options, answers, slots=1)
+    assert [r[2:] for r in rows] == [(None, 0), (None, 404), (None, 0)] and len(went) == 6 and went[-1] < 1020
