@@ -64,7 +64,9 @@ def allocate(hits: DataFrame, sources: DataFrame, most: int, keyword: str = "key
         return hits.limit(0).withColumn("taken_pos", F.lit(0).cast("long"))
     of_source = lambda at: F.try_element_at(F.create_map(*(F.lit(x) for name, found in plan.items() for x in (name, found[at]))), F.col("source"))
     rank = F.row_number().over(Window.partitionBy(keyword, "source").orderBy("pos"))
-    cut = hits.withColumn("_order", of_source(0)).where("_order is not null").withColumn("_rank", rank).where(F.col("_rank") <= of_source(1))
+    # the largest quota is a number, which limits each task's rows before they are dealt
+    largest = max(quota for _, quota in plan.values())
+    cut = hits.withColumn("_order", of_source(0)).where("_order is not null").withColumn("_rank", rank).where(F.col("_rank") <= largest).where(F.col("_rank") <= of_source(1))
     rest = [c for c in hits.columns if c != keyword]
     listed = cut.groupBy(keyword).agg(F.array_sort(F.collect_list(F.struct("_order", "_rank", *rest))).alias("_hits"))
     element = cut.select(F.struct("_order", "_rank", *rest).alias("x")).schema["x"].dataType
@@ -146,8 +148,13 @@ def mark_failed(failed: DataFrame, proxies: DataFrame, marked: DataFrame, url: s
     return every if left else every.limit(0)
 
 
+def backoff_wait(attempt: Column | str, attempts: int, delay: float, jitter: Column | float = 0.0) -> Column:
+    """Seconds to wait after an attempt, counted from 0: doubling, with a part by chance; none after the last."""
+    at = F.col(attempt) if isinstance(attempt, str) else attempt
+    wait = F.lit(float(delay)) * F.pow(F.lit(2.0), at) + (jitter if isinstance(jitter, Column) else F.lit(float(jitter)))
+    return F.when(at >= attempts - 1, F.lit(0.0)).otherwise(wait)
+
+
 def backoff(spark: SparkSession, attempts: int, delay: float, jitter: float = 0.0, seed: int = 0) -> DataFrame:
     """(attempt, wait) before each retry: doubling, with a random part; no wait after the last attempt."""
-    wait = F.lit(float(delay)) * F.pow(F.lit(2.0), F.col("attempt")) + F.rand(seed) * jitter
-    last = F.col("attempt") == attempts - 1
-    return spark.range(attempts).select(F.col("id").cast("int").alias("attempt")).withColumn("wait", F.when(last, F.lit(0.0)).otherwise(wait))
+    return spark.range(attempts).select(F.col("id").cast("int").alias("attempt")).withColumn("wait", backoff_wait("attempt", attempts, delay, F.rand(seed) * jitter))

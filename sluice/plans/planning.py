@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.operators import acquire, rate
+from sluice.operators.order import ranked
 from sluice.plans.registry import query
 from sluice.session import table
 
@@ -18,14 +19,18 @@ NAMES = [s[0] for s in acquire.SOURCES]
 
 @query(
     "source_quotas",
-    """with s(name, priority) as (values ('unsplash', 1), ('pexels', 2), ('flickr', 5), ('wikimedia', 4), ('nasa', 3)),
+    """with s as (
+      select source as name, dense_rank() over (order by count(*) desc, source) as priority, count(*) as hits from documents where source is not null group by source),
     w as (select *, 1 / (priority * 0.5::double + 0.5::double) as weight from s)
-    select name, priority, round(weight, 6) as weight, greatest(floor(100 * weight / sum(weight) over ()), floor(100 / count(*) over ()))::bigint as quota from w""",
+    select name, priority::int as priority, round(weight, 6) as weight, greatest(floor(hits_in_all * weight / sum(weight) over ()), floor(hits_in_all / count(*) over ()))::bigint as quota
+    from w, (select count(*) // 2 as hits_in_all from documents)""",
 )
 def source_quotas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sources = acquire.source_registry(spark).withColumn("has_key", F.lit(True))
-    found = acquire.quotas(acquire.enabled_sources(sources), MOST)
-    return found.select("name", "priority", F.round("weight", 6).alias("weight"), "quota")
+    """Quotas of half of all documents for their sources, the larger ones first."""
+    docs = table(spark, sf_dir, "documents")
+    sizes = docs.where("source is not null").groupBy(F.col("source").alias("name")).agg(F.count(F.lit(1)).alias("hits"))
+    ordered = ranked(sizes.withColumn("_less", -F.col("hits")), [], ["_less", "name"], "priority").withColumn("priority", (F.col("priority") + 1).cast("int"))
+    return acquire.quotas(ordered, docs.count() // 2).select("name", "priority", F.round("weight", 6).alias("weight"), "quota")
 
 
 _HITS = """
@@ -84,9 +89,15 @@ def page_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return acquire.page_plan(totals, 30, 100)
 
 
-@query("backoff_schedule", "select i::int as attempt, case when i = 4 then 0.0 else 2.0 * pow(2, i) end::double as wait from range(5) t(i)")
-def backoff_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return acquire.backoff(spark, 5, 2.0)
+@query(
+    "retry_schedule",
+    """with t as (select event_id, user_id, ts, row_number() over (partition by user_id order by ts, event_id) - 1 as attempt from events where event_type = 'error')
+    select event_id, attempt::int as attempt, case when attempt >= 4 then 0.0 else 2.0 * pow(2, attempt) end::double as wait from t""",
+)
+def retry_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every error of a user is a failed attempt; the waits of five attempts."""
+    failed = ranked(table(spark, sf_dir, "events").where("event_type = 'error'").select("event_id", "user_id", "ts"), ["user_id"], ["ts", "event_id"], "attempt")
+    return failed.select("event_id", F.col("attempt").cast("int").alias("attempt"), acquire.backoff_wait("attempt", 5, 2.0).alias("wait"))
 
 
 @query(

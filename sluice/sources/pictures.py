@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import posixpath
 import struct
+import uuid
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -83,56 +85,103 @@ def downloads(assets: DataFrame, url: str = "url", fetch: Callable[[str], tuple[
     return got.select(*assets.columns, F.when(ending.isNotNull(), F.col("_got.content")).alias("content"), ending.alias("extension"))
 
 
+def complete_png(content: bytes) -> bool:
+    """Whether a PNG file is whole: every chunk's sum is right, and the rows are as many bytes as its head says."""
+    content = bytes(content)
+    if content[:8] != b"\x89PNG\r\n\x1a\n":
+        return False
+    at, packed, head = 8, [], b""
+    while at + 12 <= len(content):
+        size, kind = struct.unpack(">I4s", content[at : at + 8])
+        data = content[at + 8 : at + 8 + size]
+        if len(data) < size or content[at + 8 + size : at + 12 + size] != struct.pack(">I", zlib.crc32(kind + data)):
+            return False
+        at += 12 + size
+        head = data if kind == b"IHDR" else head
+        if kind == b"IDAT":
+            packed.append(data)
+        if kind == b"IEND":
+            break
+    else:
+        return False
+    width, height, depth, colours = struct.unpack(">IIBB", head[:10]) if len(head) == 13 else (0, 0, 0, -1)
+    samples = {0: 1, 2: 3, 3: 1, 4: 2, 6: 4}.get(colours)
+    if not samples or head[12]:  # interlaced pictures are left to a decoder
+        return bool(samples)
+    try:
+        return len(zlib.decompress(b"".join(packed))) == height * (1 + (width * samples * depth + 7) // 8)
+    except zlib.error:
+        return False
+
+
+def _file_system(folder: str):
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
+
+
+#: What a task has written, a name in each line, beside its files.
+MANIFEST = "names"
+
+
 @dataclass
 class Written(WriterCommitMessage):
-    names: list[str]
+    """A task's folder and how many files are in it: all that the driver is told."""
 
+    folder: str
+    files: int
+    rejected: int
 
-class FileWriter(DataSourceWriter):
-    """Each task writes its files under names of its own and, when all tasks are done, they get theirs: a task that runs twice or fails leaves nothing."""
-
-    def __init__(self, folder: str, overwrite: bool):
-        self.folder, self.overwrite = folder, overwrite
 
-    def _open(self):
-        from pyarrow import fs
+class FileWriter(DataSourceWriter):
+    """Each attempt of a task writes its files and their names into a folder of its own; which folders count is for the commit to say."""
 
-        return fs.FileSystem.from_uri(self.folder) if "://" in self.folder or self.folder.startswith("file:") else (fs.LocalFileSystem(), self.folder)
+    def __init__(self, folder: str, verify: Callable[[bytes], bool] | None):
+        self.folder, self.verify = folder, verify
 
     def write(self, rows: Iterator) -> Written:
         from pyspark import TaskContext
 
-        system, root = self._open()
+        system, root = _file_system(self.folder)
         context = TaskContext.get()
-        own = posixpath.join(root, "_unfinished", f"{context.partitionId() if context else 0}-{context.taskAttemptId() if context else 0}")
-        system.create_dir(own, recursive=True)
-        names = []
-        for row in rows:
-            name = posixpath.basename(row["name"])
-            if not name or row["content"] is None:
-                continue
-            with system.open_output_stream(posixpath.join(own, name)) as out:
-                out.write(bytes(row["content"]))
-            names.append(posixpath.join(own, name))
-        return Written(names)
+        own = f"{context.partitionId() if context else 0}-{context.taskAttemptId() if context else 0}"
+        at = posixpath.join(root, own)
+        system.create_dir(at, recursive=True)
+        files = rejected = 0
+        with system.open_output_stream(posixpath.join(at, MANIFEST)) as names:
+            for row in rows:
+                name = posixpath.basename(row["name"] or "")
+                if not name or row["content"] is None:
+                    continue
+                if self.verify and not self.verify(row["content"]):
+                    rejected += 1
+                    continue
+                with system.open_output_stream(posixpath.join(at, f"{files}.part")) as out:
+                    out.write(bytes(row["content"]))
+                names.write(json.dumps(name).encode() + b"\n")
+                files += 1
+        return Written(own, files, rejected)
 
     def commit(self, messages: list[Written | None]) -> None:
-        system, root = self._open()
-        for message in messages:
-            for path in message.names if message else ():
-                system.move(path, posixpath.join(root, posixpath.basename(path)))
-        self.abort(messages)
+        system, root = _file_system(self.folder)
+        done = [(m.folder, m.files, m.rejected) for m in messages if m]
+        with system.open_output_stream(posixpath.join(root, "committed")) as out:
+            out.write(json.dumps(done).encode())
 
     def abort(self, messages: list[Written | None]) -> None:
-        from pyarrow import fs
+        _remove(self.folder)
+
 
-        system, root = self._open()
-        if system.get_file_info(posixpath.join(root, "_unfinished")).type == fs.FileType.Directory:
-            system.delete_dir(posixpath.join(root, "_unfinished"))
+def _remove(folder: str) -> None:
+    from pyarrow import fs
+
+    system, root = _file_system(folder)
+    if system.get_file_info(root).type == fs.FileType.Directory:
+        system.delete_dir(root)
 
 
 class FileSink(DataSource):
-    """Rows (name, content) as files of a folder that all executors reach. Option: path. Of equal names the last one committed stays."""
+    """Rows (name, content) as numbered files in a folder for each task, with their names beside them; ``write_files`` gives them those names. Option: path."""
 
     @classmethod
     def name(cls) -> str:
@@ -142,12 +191,58 @@ class FileSink(DataSource):
         return "name string, content binary"
 
     def writer(self, schema, overwrite: bool) -> FileWriter:
-        return FileWriter(self.options["path"], overwrite)
+        return FileWriter(self.options["path"], complete_png if self.options.get("verify") == "png" else None)
+
 
+def write_files(rows: DataFrame, folder: str, verify: str = "") -> tuple[int, int]:
+    """Write (name, content) as files; (how many, how many were rejected). Sources are never touched.
 
-def write_files(rows: DataFrame, folder: str) -> None:
-    """Write (name, content) as files; sources are never touched."""
+    One job writes the files of each task aside, a second one gives them their
+    names, task by task; the driver knows tasks and counts only. A task that
+    runs twice or fails leaves nothing, and moving is safe to repeat. Two rows
+    with one name are an error, and then nothing is written; a file that was
+    there before is replaced. With ``verify="png"`` what isn't a whole PNG file
+    is left out. Rows without a name or content are none.
+    """
     spark = rows.sparkSession
     ship(spark)
     spark.dataSource.register(FileSink)
-    rows.select("name", "content").write.format("named_files").mode("append").option("path", folder).save()
+    aside = f"{folder.rstrip('/')}/_unfinished-{uuid.uuid4().hex}"
+    try:
+        rows.select("name", "content").write.format("named_files").mode("append").option("path", aside).option("verify", verify).save()
+        system, root = _file_system(aside)
+        with system.open_input_stream(posixpath.join(root, "committed")) as said:
+            done = json.loads(said.read())
+        tasks = [(own, files) for own, files, _ in done if files]
+        if tasks:
+            _move(spark.createDataFrame(tasks, "own string, files long").repartition(len(tasks)), aside, folder)
+    finally:
+        _remove(aside)
+    return sum(files for _, files, _ in done), sum(rejected for *_, rejected in done)
+
+
+def _move(tasks: DataFrame, aside: str, folder: str) -> None:
+    def names_of(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        system, root = _file_system(aside)
+        for part in parts:
+            for own in part["own"]:
+                with system.open_input_stream(posixpath.join(root, own, MANIFEST)) as said:
+                    names = [json.loads(line) for line in said.read().splitlines()]
+                yield pd.DataFrame({"own": own, "file": range(len(names)), "name": names})
+
+    def move(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        (system, root), (_, out) = _file_system(aside), _file_system(folder)
+        for part in parts:
+            for own, file, name in zip(part["own"], part["file"], part["name"]):
+                source = posixpath.join(root, own, f"{file}.part")
+                if system.get_file_info(source).type == fs.FileType.File:  # else an attempt before this one has moved it
+                    system.move(source, posixpath.join(out, name))
+            yield pd.DataFrame({"moved": [len(part)]})
+
+    named = tasks.mapInPandas(names_of, "own string, file long, name string")
+    twice = [r["name"] for r in named.groupBy("name").count().where("count > 1").limit(3).collect()]
+    if twice:
+        raise ValueError(f"several rows have one name: {', '.join(twice)}")
+    named.mapInPandas(move, "moved long").agg(F.sum("moved")).collect()

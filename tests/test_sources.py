@@ -310,3 +310,40 @@ def test_no_limit_no_wait_and_attempts_end():
 
     went, rows = simulated(search_api.SearchReader(options, lambda: 1000.0).partitions(), options, answers, slots=1)
     assert [r[2:] for r in rows] == [(None, 0), (None, 404), (None, 0)] and len(went) == 6 and went[-1] < 1020
+
+
+def test_many_files_are_named_in_tasks(spark, tmp_path):
+    whole = pictures.png(np.zeros((1, 1, 3), np.uint8))
+    rows = spark.range(10_000).select(F.concat(F.lit("n"), F.col("id").cast("string"), F.lit(".png")).alias("name"), F.lit(whole).alias("content")).repartition(6)
+    out = str(tmp_path / "out")
+    assert pictures.write_files(rows, out, verify="png") == (10_000, 0)
+    assert len(list((tmp_path / "out").iterdir())) == 10_000 and (tmp_path / "out" / "n77.png").read_bytes() == whole
+    odd = spark.createDataFrame([("a.png", whole[:-3]), ("b.png", whole), (None, whole), ("", whole), ("c.png", None), ("d.png", b""), ("n1.png", whole[:40] + b"x" + whole[41:])], "name string, content binary")
+    assert pictures.write_files(odd, out, verify="png") == (1, 3) and (tmp_path / "out" / "b.png").exists()
+    assert pictures.write_files(odd.limit(0), out) == (0, 0)
+    twice = spark.createDataFrame([("z.png", b"1"), ("z.png", b"2"), ("y.png", b"3")], "name string, content binary")
+    with pytest.raises(ValueError, match=r"z\.png"):
+        pictures.write_files(twice, out)
+    assert not (tmp_path / "out" / "y.png").exists() and not list((tmp_path / "out").glob("_unfinished*"))
+
+
+def test_a_failed_write_leaves_nothing(spark, tmp_path):
+    @F.udf("binary")
+    def broken(k):
+        if k == 17:
+            raise ValueError("no content")
+        return b"x"
+
+    rows = spark.range(20).select(F.col("id").cast("string").alias("name"), broken("id").alias("content")).repartition(3)
+    with pytest.raises(Exception, match="no content"):
+        pictures.write_files(rows, str(tmp_path / "out"))
+    assert not (tmp_path / "out").exists() or not list((tmp_path / "out").iterdir())
+
+
+@pytest.mark.parametrize("colours, interlaced", [(2, 0), (0, 0), (6, 0), (2, 1)])
+def test_whole_png_files(colours, interlaced):
+    rows = b"\0" + bytes(4 * {2: 3, 0: 1, 6: 4}[colours])
+    chunk = lambda kind, data: struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
+    head = chunk(b"IHDR", struct.pack(">IIBBBBB", 4, 2, 8, colours, 0, 0, interlaced))
+    made = lambda n: b"\x89PNG\r\n\x1a\n" + head + chunk(b"IDAT", zlib.compress(rows * n)) + chunk(b"IEND", b"")
+    assert pictures.complete_png(made(2)) and pictures.complete_png(made(3)) == bool(interlaced) and not pictures.complete_png(made(2)[:-13])
