@@ -53,9 +53,19 @@ ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog for
 WORDS = frozenset(
     "ad ads adbox adslot advert advertisement adverts banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies "
     "disqus footer gdpr login menu modal nav navbar navigation newsletter notice notices overlay pagination paywall popup promo "
-    "promoted recommended reply replies respond responses share sharing sidebar signup skip social sponsor sponsored subscribe toolbar topbar widget widgets".split()
+    "promoted recommended respond share sharing sidebar signup skip social sponsor sponsored subscribe toolbar topbar widget widgets".split()
 )
 FILLING = frozenset("area bar block bottom box button buttons container content form inner item items left links list main outer right section top wrap wrapper".split())
+#: Words that say what an element is where they come last; where they, or those after them, come first, followed by words for a part of it; a header's first words.
+LAST = frozenset("ads adverts advertisement breadcrumb breadcrumbs comment comments footer nav navbar navigation pagination sidebar topnav".split())
+FIRST = LAST | frozenset("ad advert cookie cookies disqus gdpr newsletter".split())
+PARTS = FILLING | frozenset("author body code collapse count entry feed header id label meta placement policy post reply settings slot text thread title toggle unit zone".split())
+SITE = FILLING | frozenset("blog global masthead page site web".split())
+#: What others wrote, and lists of other pages.
+TALK = frozenset("comment comments disqus".split())
+OTHERS, PAGES = frozenset("latest more popular recommended related similar trending".split()), frozenset("articles links news posts reading stories topics".split())
+#: Words that mean nothing beside a class that names the content.
+WEAK = frozenset("recommended share sharing skip social".split())
 PARAGRAPHS = frozenset("blockquote dd dt figcaption h1 h2 h3 h4 h5 h6 li p pre tr td th".split())
 MARKED = frozenset("article main".split())
 MARKED_WORDS = frozenset("article content entry main post story".split())
@@ -109,11 +119,30 @@ def markup(page: str):
     yield page[start:], "", False, {}
 
 
-def named_out(classes: str) -> bool:
-    """Whether some class consists of words for what is left out, and of none that say otherwise."""
-    for one in classes.split():
-        words = [w for w in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", one).lower()) if w]
-        if any(w in WORDS for w in words) and all(w in WORDS or w in FILLING for w in words):
+def named_out(classes: str, own: bool = False, marked: bool = False) -> bool:
+    """Whether some class names what is left out.
+
+    It does if it has such words and none that say otherwise; if its last word
+    is one for the thing itself, as in site-footer; if its first is and the
+    others are for parts, as in comment-body; and if it names other pages. A
+    header is a site's unless it is within a marked element. An element that is
+    itself marked is left out only as what others wrote.
+    """
+    every = [[w for w in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", one).lower()) if w] for one in classes.split()]
+    content = any(len(words) == 1 and words[0] in MARKED_WORDS for words in every)
+    for words in every:
+        if not words:
+            continue
+        first, last, rest = words[0], words[-1], words[1:]
+        if own:
+            if last in TALK or first in TALK and all(w in PARTS for w in rest):
+                return True
+            continue
+        if any(w in WORDS for w in words) and all(w in WORDS or w in FILLING for w in words) and not (content and all(w in WEAK for w in words)):
+            return True
+        if last in LAST or first in FIRST and all(w in PARTS or w in WORDS for w in rest) or first in OTHERS and last in PAGES:
+            return True
+        if last == "header" and not marked and all(w in SITE for w in words[:-1]):
             return True
     return False
 
@@ -165,7 +194,7 @@ def _element(name: str, attributes: dict[str, str], above: Element | None, at: i
         or "hidden" in attributes
         or attributes.get("aria-hidden", "").lower() == "true"
         or bool(_HIDDEN.search(attributes.get("style", "").lower()))
-        or bool(named) and not own and name not in PARAGRAPHS and name not in ("body", "html") and named_out(named)
+        or bool(named) and name not in PARAGRAPHS and name not in ("body", "html") and named_out(named, own, bool(above and above.marked))
     )
     rank = 2 if own else int(bool(named) and not MARKED_WORDS.isdisjoint(re.split("[^a-z]+", named.lower())))
     path = xxhash.xxh3_64_intdigest(label.encode("utf-8", "surrogatepass"), seed=above.path if above else 0)

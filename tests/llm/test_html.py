@@ -121,6 +121,24 @@ def test_furniture_goes(part):
     assert html_extract.article(f"<article><p>one</p>{part}<p>two</article>", [], []) == "one\n\ntwo"
 
 
+@pytest.mark.parametrize("name", "header site-header site-footer page-footer navbar-collapse topnav ad-unit google-ads related-posts disqus_thread comment-body comment-text user-comments cookie-policy right-col-sidebar commentThread".split())
+def test_furniture_goes_by_its_head_word(name):
+    assert html_extract.article(f"<div><p>one</p><div class='x {name}'><p>k</p></div><p>two</div>", [], []) == "one\n\ntwo"
+    if not name.endswith("header"):  # within an article a header is the article's
+        assert html_extract.article(f"<article><p>one</p><section id={name}>k</section><p>two</article>", [], []) == "one\n\ntwo"
+
+
+@pytest.mark.parametrize("part", ["<article class=comment>k</article>", "<article id='c7' class='user-comment even'>k</article>", "<article class=comment-body><p>k</article>"])
+def test_what_readers_wrote_goes_from_marked_elements(part):
+    assert html_extract.article(f"<article><p>one</p>{part}<p>two</article>", [], []) == "one\n\ntwo"
+    assert html_extract.article(f"<main><article class=post><p>one</p></article>{part}</main>", [], []) == "one"
+
+
+@pytest.mark.parametrize("part", ["<div class='social content'>k</div>", "<section id=responses>k</section>", "<div class=cookie-recipe>k</div>", "<div class=ad-hoc>k</div>", "<div class=entry-header>k</div>", "<article class='commentary'>k</article>", "<div class=more-about>k</div>", "<div class=header>k</div>"])
+def test_content_that_sounds_like_furniture_stays(part):
+    assert html_extract.article(f"<article><p>one</p>{part}<p>two</article>", [], []) == "one\n\nk\n\ntwo"
+
+
 def test_references_and_white_space():
     said = "a &amp; b&nbsp;&#8364; &eacute;&lt;p&gt; 3 < 5 <3"
     assert html_extract.article(f"<article>{said}\n\t x</article>", [], []) == " ".join(html.unescape(said).split()) + " x"
