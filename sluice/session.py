@@ -9,6 +9,7 @@ import re
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -82,6 +83,22 @@ def stored(df: DataFrame) -> DataFrame:
     return out
 
 
+def stored_one_by_one(frames: Iterable[DataFrame]) -> DataFrame | None:
+    """One table of several results of one schema, each written before the next one is asked for, so that only one is held at a time; None without any."""
+    path, spark, several = "", None, 0
+    for several, df in enumerate(frames, 1):
+        if not spark:
+            spark = df.sparkSession
+            path = f"{shared_folder(spark).rstrip('/')}/sluice-{uuid.uuid4().hex}"
+            atexit.register(_delete, spark, path)
+        df.write.parquet(f"{path}/{several}")
+    if not spark:
+        return None
+    out = spark.read.option("recursiveFileLookup", "true").parquet(path)
+    out._sluice_path = path
+    return out
+
+
 def free(df: DataFrame) -> None:
     """Delete the table behind a result of ``stored`` that nothing will read any more; other DataFrames are left alone."""
     path = getattr(df, "_sluice_path", None)
