@@ -20,7 +20,7 @@ from pyspark.sql.window import Window
 
 from sluice.llm.batches import schema_of
 from sluice.llm.vectors import matrix
-from sluice.session import checkpointed, ship
+from sluice.session import checkpointed, ship, stored_one_by_one
 
 SHARD_ROWS = 16_384
 QUERY_ROWS = 32_768
@@ -116,11 +116,12 @@ def _block(table: pa.Table, id_column: str, vector_column: str, scale: int) -> t
 def search(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256, id_column: str = "vec_id", vector_column: str = "embedding") -> DataFrame:
     """The k best rows of ``vectors`` for each of ``queries``: (query_id, rank, id, score), rank from 1.
 
-    Queries are dealt into blocks of a bounded size by hash. A block goes to all
-    tasks, each of which reads its part of the table shard by shard where it
-    lies, carries the k-th best score of every query on from shard to shard, and
-    sends k rows a query on to the merge: the table itself is never shuffled or
-    copied. Rows with a null id, a null vector, or null or non-finite components
+    Queries are dealt into blocks of a bounded size by hash, one job each. A
+    block goes to all tasks, each of which reads its part of the table shard by
+    shard where it lies, carries the k-th best score of every query on from
+    shard to shard, and sends k rows a query on to the merge: the table itself is
+    never shuffled or copied. A block's results are written before the next
+    block is read, so the driver holds one block however many there are. Rows with a null id, a null vector, or null or non-finite components
     take no part; rows with one id count once, by their best score, and of
     queries with one id the least vector asks. Fewer than k candidates give as
     many rows; an empty side gives no rows. Short vectors count as filled up
@@ -167,18 +168,20 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256,
         held_kind = to_arrow_schema(schema_of(ddl)).field(0).type
         return rows.mapInArrow(run, ddl)
 
-    hits = None
-    for block in range(blocks):
-        names, wanted = _block(asked.where(F.col("block") == block).select(id_column, vector_column).toArrow(), id_column, vector_column, scale)
-        if len(names):
-            part = against(names, wanted)
-            hits = part if hits is None else hits.union(part)
-    if hits is None:
-        hits = vectors.sparkSession.createDataFrame([], ddl)
-    once = hits.groupBy("query_id", "found").agg(F.max("score").alias("score"))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "found")
-    return (
-        once.withColumn("rank", F.row_number().over(order))
-        .where(F.col("rank") <= k)
-        .select("query_id", F.col("rank").cast("int").alias("rank"), F.col("found").alias(id_column), "score")
-    )
+    def merged(hits: DataFrame) -> DataFrame:
+        once = hits.groupBy("query_id", "found").agg(F.max("score").alias("score"))
+        order = Window.partitionBy("query_id").orderBy(F.desc("score"), "found")
+        return (
+            once.withColumn("rank", F.row_number().over(order))
+            .where(F.col("rank") <= k)
+            .select("query_id", F.col("rank").cast("int").alias("rank"), F.col("found").alias(id_column), "score")
+        )
+
+    def waves() -> Iterator[DataFrame]:
+        for block in range(blocks):
+            names, wanted = _block(asked.where(F.col("block") == block).select(id_column, vector_column).toArrow(), id_column, vector_column, scale)
+            if len(names):
+                yield merged(against(names, wanted))
+
+    found = stored_one_by_one(waves())
+    return merged(vectors.sparkSession.createDataFrame([], ddl)) if found is None else found
