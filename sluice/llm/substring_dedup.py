@@ -15,7 +15,6 @@ taken out.
 from __future__ import annotations
 
 import re
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +34,8 @@ _END = re.compile(r"[.!?…][\"'”’)\]]*(?=\s|$)|\n")
 _WORD = re.compile(r"\S+")
 
 
-def sentences(text: str) -> list[list[str]]:
-    """The words of every sentence or piece of one."""
+def cut(text: str) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The words of a text, their hashes, and where each sentence or piece of one begins among them."""
     words: list[str] = []
     starts, at = [], 0
     for end in [*(m.end() for m in _END.finditer(text)), len(text)]:
@@ -46,10 +45,9 @@ def sentences(text: str) -> list[list[str]]:
             starts.append(len(words))
             words += own
     n, side = len(words), AROUND
-    places = starts
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, n)
+    places = first = np.array(starts, np.int64)
     if n > 2 * side:
-        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, n)
-        first = np.array(starts)
         sizes = np.diff(first, append=n)
         inside = np.arange(n) - np.repeat(first, sizes)
         fine = (inside >= side) & (np.repeat(sizes, sizes) - inside > side)
@@ -59,14 +57,20 @@ def sentences(text: str) -> list[list[str]]:
             least &= own_hash < hashes[side - k : n - side - k]
             least &= own_hash <= hashes[side + k : n - side + k]
         fine[first] = True
-        places = np.flatnonzero(fine).tolist()
-    out = []
-    for start, end in zip(places, [*places[1:], n]):
-        if end - start <= LONG:
-            out.append(words[start:end])
-        else:
-            out += [words[k : min(k + LONG, end)] for k in range(start, end, LONG)]
-    return out
+        places = np.flatnonzero(fine)
+    sizes = np.diff(places, append=n)
+    if (sizes > LONG).any():
+        parts = -(-sizes // LONG)
+        ends = np.cumsum(parts)
+        places = np.repeat(places, parts) + LONG * (np.arange(ends[-1]) - np.repeat(ends - parts, parts))
+    return words, hashes, places
+
+
+def sentences(text: str) -> list[list[str]]:
+    """The words of every sentence or piece of one."""
+    words, _, places = cut(text)
+    at = places.tolist()
+    return [words[a:b] for a, b in zip(at, [*at[1:], len(words)])]
 
 
 def stretches_of(text: str, units: list[list[str]], gone: list[bool]) -> list[tuple[int, int]]:
@@ -82,35 +86,51 @@ def stretches_of(text: str, units: list[list[str]], gone: list[bool]) -> list[tu
     return out
 
 
+def spans_of(total: np.ndarray, run: int = RUN, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """(first, last) of every span of sentences, each once, from the number of words before each sentence and all."""
+    n = len(total) - 1
+    at = np.arange(n)
+    last = np.maximum(at + run - 1, np.searchsorted(total, total[:-1] + words) - 1)  # the shortest run from each on
+    first = np.minimum(at - run + 1, np.searchsorted(total, total[1:] - words, "right") - 1)  # and back from each
+    some, back = last < n, first >= 0
+    both = np.unique(np.concatenate([at[some] << 32 | last[some], first[back] << 32 | at[back]]))
+    return both >> 32, both & 0xFFFFFFFF
+
+
 def spans(units: list[list[str]], run: int = RUN, words: int = WORDS) -> list[tuple[int, int]]:
     """(first, last) of every span of sentences, each once."""
-    total = [0, *accumulate(map(len, units))]
-    n = len(units)
-    found = []
-    last = 0
-    for i in range(n):  # the shortest run from i on
-        last = max(last, i + run - 1)
-        least = total[i] + words
-        while last < n and total[last + 1] < least:
-            last += 1
-        if last >= n:
-            break
-        found.append((i, last))
-    first = n - 1
-    for j in range(n - 1, -1, -1):  # the shortest run back from j
-        first = min(first, j - run + 1)
-        most = total[j + 1] - words
-        while first >= 0 and total[first] > most:
-            first -= 1
-        if first < 0:
-            break
-        found.append((first, j))
-    return sorted(set(found))
+    first, last = spans_of(np.cumsum([0, *map(len, units)]), run, words)
+    return list(zip(first.tolist(), last.tolist()))
+
+
+_POWERS = np.ones((2, 1), np.uint64)
+
+
+def _powers(n: int) -> np.ndarray:
+    """The first powers of an odd number and of its inverse among numbers of 64 bits."""
+    global _POWERS
+    if _POWERS.shape[1] < n:
+        base = 0x9E3779B97F4A7C15
+        steps = np.array([[base], [pow(base, -1, 1 << 64)]], np.uint64).repeat(2 * n, 1)
+        steps[:, 0] = 1
+        _POWERS = np.cumprod(steps, 1, dtype=np.uint64)
+    return _POWERS
+
+
+def hashes_of(hashes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64 bits of each run of words, from start up to end, wherever it stands: a polynomial of their hashes, from sums over the words before."""
+    up, down = _powers(len(hashes) + 1)[:, : len(hashes) + 1]
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * up[:-1], dtype=np.uint64)])
+    value = (sums[end] - sums[start]) * down[start]
+    value = (value ^ (value >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93) + (end - start).astype(np.uint64)
+    return (value ^ (value >> np.uint64(32))).view(np.int64)
 
 
 def span_hash(said: list[str], first: int, last: int) -> int:
-    """64 bits of the words of a span, whatever the white space between them."""
-    return xxhash.xxh3_64_intdigest(" ".join(said[first : last + 1])) - (1 << 63)
+    """64 bits of the words of a span, whatever the white space between them and wherever the span stands."""
+    words = " ".join(said[first : last + 1]).split()
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    return int(hashes_of(hashes, np.array([0]), np.array([len(words)]))[0])
 
 
 def _told_apart(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -125,16 +145,20 @@ def _spans(texts: DataFrame, run: int, words: int) -> DataFrame:
 
     def make() -> Kernel:
         def kernel(batch: pa.RecordBatch) -> dict:
-            rows: list[list[int]] = [[], [], []]
-            for k, text in enumerate(texts_of(batch)):
-                units = sentences(text)
-                said = [" ".join(unit) for unit in units]
-                for first, last in spans(units, run, words):
-                    rows[0].append(k)
-                    rows[1].append(span_hash(said, first, last))
-                    rows[2].append(first << 32 | last)
-            of = pa.array(rows[0], pa.int64())
-            return {"id": batch.column("id").take(of), "said": batch.column("said").take(of), "hash": rows[1], "place": rows[2]}
+            none = np.empty(0, np.int64)
+            sizes, hashes, places = [], [none], [none]
+            for text in texts_of(batch):
+                said, own, at = cut(text) if len(text) >= words else ((), none, none)
+                if len(said) < words:
+                    sizes.append(0)
+                    continue
+                total = np.append(at, len(said))
+                first, last = spans_of(total, run, words)
+                hashes.append(hashes_of(own, total[first], total[last + 1]))
+                places.append(first << 32 | last)
+                sizes.append(len(first))
+            of = pa.array(np.repeat(np.arange(len(sizes)), sizes))
+            return {"id": batch.column("id").take(of), "said": batch.column("said").take(of), "hash": np.concatenate(hashes), "place": np.concatenate(places)}
 
         return kernel
 
