@@ -89,5 +89,5 @@ def test_empty_documents_pass_through(spark):
 def test_every_operator_is_registered_once(name):
     names = [n for n in getattr(__spark_entry__, name)() if n.startswith("op")]
     numbers = sorted(int(n[2:].split("_")[0]) for n in names)
-    assert numbers == sorted(set(numbers)) and (name == "oracle_sql" or numbers == list(range(1, 11)))
+    assert numbers == sorted(set(numbers)) and (name == "oracle_sql" or numbers == list(range(1, 14)))
     assert "pipeline" in __spark_entry__.queries()
