@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
 from sluice.functions import pixels
+from sluice.functions.jpeg import complete_jpeg, jpeg
 from sluice.functions.text import mime_extension, output_name, url_extension
 from sluice.session import ship
 from sluice.sources.files import picture
@@ -24,10 +25,11 @@ from sluice.sources.search_api import fetch_bytes
 
 #: What every frame is resized to.
 FRAME_WIDTH, FRAME_HEIGHT = 1920, 1080
+JPEG_SUFFIXES = (".jpg", ".jpeg")
 
 
 def png(shown: np.ndarray) -> bytes:
-    """A picture of blue, green and red as a PNG file. The box has no JPEG encoder; what is written loses nothing."""
+    """A picture of blue, green and red as a PNG file, which loses nothing."""
     height, width, _ = shown.shape
     raw = np.zeros((height, 1 + 3 * width), np.uint8)
     raw[:, 1:] = shown[..., ::-1].reshape(height, -1)
@@ -40,31 +42,47 @@ def png(shown: np.ndarray) -> bytes:
 
 
 def _encoded(rows: DataFrame, height: int | None, width: int | None, larger_only: bool) -> DataFrame:
-    """(name, content): rows (name, width, height, channels, data) as PNG files, resized where asked for; rows without data go."""
+    """(name, content): rows (name, width, height, channels, data) as files of their suffix, resized where asked for; rows without data go."""
     ship(rows.sparkSession)
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             files = []
-            for w, h, c, data in zip(part["width"], part["height"], part["channels"], part["data"]):
+            for name, w, h, c, data in zip(part["name"], part["width"], part["height"], part["channels"], part["data"]):
                 shown = picture(data, int(w), int(h), int(c))
                 if height and width and (not larger_only or h > height or w > width):
                     shown = pixels.resized_picture(shown, height, width)
-                files.append(png(shown))
+                files.append(jpeg(shown) if name and name.lower().endswith(JPEG_SUFFIXES) else png(shown))
             yield pd.DataFrame({"name": part["name"], "content": files})
 
     return rows.where(F.col("data").isNotNull()).select("name", "width", "height", "channels", "data").mapInPandas(run, "name string, content binary")
 
 
-def encoded_images(images: DataFrame, max_width: int = FRAME_WIDTH, max_height: int = FRAME_HEIGHT) -> DataFrame:
-    """(name, content) of decoded images: <parent>_<file> without its suffix; what exceeds the largest size becomes just that size."""
-    name = F.concat(F.regexp_replace(output_name("path"), r"\.[^.]*$", ""), F.lit(".png"))
+def _suffix(kind: str) -> str:
+    if kind not in ("png", "jpeg"):
+        raise ValueError(f"pictures are written as png or jpeg, not {kind}")
+    return ".png" if kind == "png" else ".jpg"
+
+
+def encoded_images(images: DataFrame, max_width: int = FRAME_WIDTH, max_height: int = FRAME_HEIGHT, kind: str = "png") -> DataFrame:
+    """(name, content) of decoded images: <parent>_<file>; what exceeds the largest size becomes just that size.
+
+    They become PNG files, or JPEG files of quality 95. With ``kind="own"`` JPEG
+    files stay what they are and keep their names, all others become PNG files.
+    """
+    name = output_name("path")
+    bare = F.regexp_replace(name, r"\.[^.]*$", "")
+    if kind == "own":
+        suffix = F.regexp_extract(name, r"\.[^.]*$", 0)
+        name = F.when(F.lower(suffix).isin(*JPEG_SUFFIXES), name).otherwise(F.concat(bare, F.lit(".png")))
+    else:
+        name = F.concat(bare, F.lit(_suffix(kind)))
     return _encoded(images.withColumn("name", name), max_height, max_width, True)
 
 
-def encoded_frames(frames: DataFrame, name: str = "name") -> DataFrame:
-    """(name, content) of decoded keyframes with their names; every frame is resized to the one size, smaller ones too."""
-    return _encoded(frames.withColumn("name", F.regexp_replace(F.col(name), r"\.[^.]*$", ".png")), FRAME_HEIGHT, FRAME_WIDTH, False)
+def encoded_frames(frames: DataFrame, name: str = "name", kind: str = "png") -> DataFrame:
+    """(name, content) of decoded keyframes with their names; every frame is resized to the one size, smaller ones too. As PNG, or JPEG of quality 95."""
+    return _encoded(frames.withColumn("name", F.regexp_replace(F.col(name), r"\.[^.]*$", _suffix(kind))), FRAME_HEIGHT, FRAME_WIDTH, False)
 
 
 def downloads(assets: DataFrame, url: str = "url", fetch: Callable[[str], tuple[bytes, str] | None] = fetch_bytes) -> DataFrame:
@@ -114,6 +132,14 @@ def complete_png(content: bytes) -> bool:
         return False
 
 
+#: What a sink can verify files as.
+CHECKS: dict[str, Callable[[bytes], bool]] = {
+    "png": complete_png,
+    "jpeg": complete_jpeg,
+    "picture": lambda content: complete_png(content) or complete_jpeg(content),
+}
+
+
 def _file_system(folder: str):
     from pyarrow import fs
 
@@ -191,7 +217,7 @@ class FileSink(DataSource):
         return "name string, content binary"
 
     def writer(self, schema, overwrite: bool) -> FileWriter:
-        return FileWriter(self.options["path"], complete_png if self.options.get("verify") == "png" else None)
+        return FileWriter(self.options["path"], CHECKS.get(self.options.get("verify")))
 
 
 def write_files(rows: DataFrame, folder: str, verify: str = "") -> tuple[int, int]:
@@ -201,9 +227,12 @@ def write_files(rows: DataFrame, folder: str, verify: str = "") -> tuple[int, in
     names, task by task; the driver knows tasks and counts only. A task that
     runs twice or fails leaves nothing, and moving is safe to repeat. Two rows
     with one name are an error, and then nothing is written; a file that was
-    there before is replaced. With ``verify="png"`` what isn't a whole PNG file
-    is left out. Rows without a name or content are none.
+    there before is replaced. With ``verify`` as "png", "jpeg" or "picture" (one
+    of both) what isn't a whole file of that kind is left out. Rows without a
+    name or content are none.
     """
+    if verify and verify not in CHECKS:
+        raise ValueError(f"files can be verified as {', '.join(CHECKS)}, not {verify}")
     spark = rows.sparkSession
     ship(spark)
     spark.dataSource.register(FileSink)
