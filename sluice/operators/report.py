@@ -2,25 +2,72 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from sluice.session import stored
+
 #: What can become of an asset.
 FATES = ("unreadable", "low_res", "blur", "duplicate", "null_hash", "invalid", "kept")
 
 
-def image_funnel(assets: DataFrame, fate: str = "fate") -> DataFrame:
-    """total, processed, removed_*, final in one row. Unreadable counts as low resolution, no hash as duplicate."""
+def funnel_counters(fate: str = "fate") -> dict[str, Column]:
+    """The counters of a funnel, to be aggregated or observed. Unreadable counts as low resolution, no hash as duplicate."""
     f = F.col(fate)
-    return assets.agg(
-        F.count(F.lit(1)).alias("total"),
-        F.count_if(~f.isin("unreadable", "low_res")).alias("processed"),
-        F.count_if(f.isin("unreadable", "low_res")).alias("removed_low_res"),
-        F.count_if(f == "blur").alias("removed_blur"),
-        F.count_if(f.isin("duplicate", "null_hash")).alias("removed_duplicates"),
-        F.count_if(f == "invalid").alias("removed_validation"),
-        F.count_if(f == "kept").alias("final"),
-    )
+    return {
+        "total": F.count(F.lit(1)),
+        "processed": F.count_if(~f.isin("unreadable", "low_res")),
+        "removed_low_res": F.count_if(f.isin("unreadable", "low_res")),
+        "removed_blur": F.count_if(f == "blur"),
+        "removed_duplicates": F.count_if(f.isin("duplicate", "null_hash")),
+        "removed_validation": F.count_if(f == "invalid"),
+        "final": F.count_if(f == "kept"),
+    }
+
+
+def image_funnel(assets: DataFrame, fate: str = "fate") -> DataFrame:
+    """total, processed, removed_*, final in one row."""
+    return assets.agg(*_named(funnel_counters(fate)))
+
+
+def _named(counters: dict[str, Column]) -> list[Column]:
+    return [c.alias(n) for n, c in counters.items()]
+
+
+def status_counters(status: str = "status") -> dict[str, Column]:
+    """The counters of progress, to be aggregated or observed."""
+    s = F.col(status)
+    return {
+        "processed": F.count_if(s.isin("success", "failed", "skipped")),
+        "success": F.count_if(s == "success"),
+        "failed": F.count_if(s == "failed"),
+        "skipped": F.count_if(s == "skipped"),
+    }
+
+
+def watched(rows: DataFrame, counters: dict[str, Column]) -> tuple[DataFrame, Callable[[], DataFrame]]:
+    """(the rows, a function that gives their counters in one row), counted while the rows are written and not by a pass of their own.
+
+    What is watched is to be the last step before the one sink: tasks of the
+    last stage count once however often they run, those of a stage before a
+    shuffle may count again when an executor is lost. The function waits for the
+    sink's job, and every job on the rows after the first is not counted.
+    """
+    seen = Observation()
+
+    def counts() -> DataFrame:
+        found = seen.get
+        return rows.sparkSession.range(1).select(*(F.lit(found.get(n) or 0).cast("long").alias(n) for n in counters))
+
+    return rows.observe(seen, *_named(counters)), counts
+
+
+def stored_with_funnel(assets: DataFrame, fate: str = "fate") -> tuple[DataFrame, DataFrame]:
+    """(the assets as a table in the shared folder, their funnel): one pass for both."""
+    seen, counts = watched(assets, funnel_counters(fate))
+    return stored(seen), counts()
 
 
 def video_counts(videos: DataFrame, frames: DataFrame) -> DataFrame:
@@ -60,16 +107,16 @@ def pass_rate(assets: DataFrame, valid: str = "valid") -> DataFrame:
 
 def progress(items: DataFrame, total: int, status: str = "status", started=None, ended=None) -> DataFrame:
     """processed, success, failed, skipped, progress_pct, error_count (and elapsed seconds) of items by status."""
-    s = F.col(status)
-    done = F.count_if(s.isin("success", "failed", "skipped"))
-    out = items.agg(
+    return progress_of(items.agg(*_named(status_counters(status))), total, started, ended)
+
+
+def progress_of(counts: DataFrame, total: int, started=None, ended=None) -> DataFrame:
+    """The summary of one row of progress counters, aggregated or watched."""
+    out = counts.select(
         F.lit(total).cast("long").alias("total"),
-        done.alias("processed"),
-        F.count_if(s == "success").alias("success"),
-        F.count_if(s == "failed").alias("failed"),
-        F.count_if(s == "skipped").alias("skipped"),
-        (done / F.lit(total) * 100 if total else F.lit(0.0)).alias("progress_pct"),
-        F.count_if(s == "failed").alias("error_count"),
+        *counts.columns,
+        (F.col("processed") / F.lit(total) * 100 if total else F.lit(0.0)).alias("progress_pct"),
+        F.col("failed").alias("error_count"),
     )
     if started is not None and ended is not None:
         out = out.withColumn("elapsed_seconds", (F.unix_micros(F.lit(ended)) - F.unix_micros(F.lit(started))) / 1e6)

@@ -55,10 +55,9 @@ def clean_videos(frames: DataFrame, how: Cleaning = Cleaning()) -> DataFrame:
 
 def run(spark: SparkSession, folder: str, frames: DataFrame | None = None, how: Cleaning = Cleaning()) -> tuple[DataFrame, DataFrame]:
     """(images with their fates, the report in long form) of a folder of pictures and a table of frames."""
-    images = checkpointed(clean_images(image_features(read_images(spark, folder)), how))
+    images, counts = report.stored_with_funnel(clean_images(image_features(read_images(spark, folder)), how))
     if frames is None:
         frames = spark.createDataFrame([], "video string, frame_idx int, hist array<double>, lap_var double")
-    counts = report.image_funnel(images)
     videos = report.video_counts(frames.select("video").distinct(), clean_videos(frames, how))
     rows = report.long_form(counts, "images").unionByName(report.long_form(videos, "videos"))
     return images, rows.unionByName(report.long_form(report.combined_totals(counts, videos), "total"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import uuid
 from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,27 +38,88 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 class Checkpoint:
-    """Completed items of tasks: a table that is only ever added to; reading makes it a set."""
-
-    SCHEMA = "task_name string, item_id string, ts timestamp"
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
-
-    def load(self, task: str | None = None) -> DataFrame:
+    """Completed items of tasks: a table that is only ever added to; reading makes it a set.
+
+    Every append is a folder of its own, <path>/task_name=<task>/batch=<id>, so
+    writers never meet. Batches of like size are merged when there are more than
+    ``most_batches`` of them: an item is rewritten as often as the table grows
+    sixteenfold, and a load reads a number of files that hardly grows. Because
+    reading makes a set, two writers may add the same items, a merge that dies
+    before it deletes loses nothing, and the same batches may be merged twice.
+    What a writer that died has left counts as far as it is there. A job that
+    reads while another merges may find a file gone, fails and is to be run again.
+    """
+
+    SCHEMA = "item_id string, ts timestamp, task_name string"
+    #: A merged batch of this many bytes is never rewritten.
+    LARGE = 128 << 20
+
+    def __init__(self, spark: SparkSession, path: str, most_batches: int = 32):
+        self.spark, self.path, self.most_batches = spark, path, most_batches
+
+    def _rows(self, task: str | None = None, batches: list[str] | None = None) -> DataFrame:
         if not _exists(self.spark, self.path):
             return self.spark.createDataFrame([], self.SCHEMA)
-        rows = self.spark.read.schema(self.SCHEMA).parquet(self.path)
-        rows = rows if task is None else rows.where(F.col("task_name") == task)
-        return rows.groupBy("task_name", "item_id").agg(F.min("ts").alias("ts"))
+        rows = self.spark.read.schema(self.SCHEMA).option("basePath", self.path).parquet(*(batches or [self.path]))
+        return rows if task is None else rows.where(F.col("task_name") == task)
 
-    def add(self, task: str, items: DataFrame, item: str = "item_id") -> None:
-        """Append the items that aren't there yet."""
-        new = items.select(F.col(item).cast("string").alias("item_id")).distinct().join(self.load(task).select("item_id"), "item_id", "left_anti")
-        new.select(F.lit(task).alias("task_name"), "item_id", F.current_timestamp().alias("ts")).write.mode("append").parquet(self.path)
+    def load(self, task: str | None = None) -> DataFrame:
+        """(task_name, item_id, ts) of a task or of all, each item once, with its first time."""
+        return self._rows(task).groupBy("task_name", "item_id").agg(F.min("ts").alias("ts"))
 
-    def clear(self) -> None:
-        self.spark.createDataFrame([], self.SCHEMA).write.mode("overwrite").parquet(self.path)
+    def add(self, task: str, items: DataFrame, item: str = "item_id") -> None:
+        """Append the items that aren't there yet. Items without an id are never done.
+
+        What is there is cut to the items that are asked for first: where those
+        are few they go to the table, which isn't shuffled.
+        """
+        if not task:
+            raise ValueError("a task needs a name")
+        asked = items.select(F.col(item).cast("string").alias("item_id")).where("item_id is not null").distinct()
+        known = self._rows(task).select("item_id").join(asked, "item_id", "left_semi")
+        new = asked.join(known, "item_id", "left_anti")
+        self._append(task, new.select("item_id", F.current_timestamp().alias("ts")))
+        self.compact(task)
+
+    def _target(self, path: str):
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return target, target.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _folder(self, task: str) -> str:
+        part = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString("task_name", task)
+        return f"{self.path.rstrip('/')}/{part}"
+
+    def _append(self, task: str, rows: DataFrame) -> None:
+        rows.write.parquet(f"{self._folder(task)}/batch={uuid.uuid4().hex}")
+
+    def batches(self, task: str) -> dict[str, int]:
+        """The task's finished batches and their bytes; one that is still being written isn't among them."""
+        target, system = self._target(self._folder(task))
+        folders = [f.getPath() for f in system.listStatus(target)] if system.exists(target) else []
+        finished = [f.toString() for f in folders if system.exists(self._target(f"{f.toString()}/_SUCCESS")[0])]
+        return {f: system.getContentSummary(self._target(f)[0]).getLength() for f in finished}
+
+    def compact(self, task: str) -> None:
+        """Merge the task's batches of like size where there are too many of them; ``add`` does so by itself."""
+        tiers: dict[int, list[str]] = {}
+        sizes = self.batches(task)
+        for path, size in sizes.items():
+            if size < self.LARGE:
+                tiers.setdefault(size.bit_length() // 4, []).append(path)
+        for paths in tiers.values():
+            if len(paths) > self.most_batches:
+                merged = self._rows(batches=paths).groupBy("item_id").agg(F.min("ts").alias("ts"))
+                self._append(task, merged.coalesce(1 + sum(sizes[p] for p in paths) // self.LARGE))
+                for path in paths:
+                    self._delete(path)
+
+    def _delete(self, path: str) -> None:
+        target, system = self._target(path)
+        system.delete(target, True)
+
+    def clear(self, task: str | None = None) -> None:
+        """Forget the items of a task, or all."""
+        self._delete(self.path if task is None else self._folder(task))
 
 
 def load_checkpoint_json(spark: SparkSession, path: str) -> DataFrame:
