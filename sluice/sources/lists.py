@@ -85,16 +85,17 @@ class Checkpoint:
         target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return target, target.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def _folder(self, task: str) -> str:
+    def folder(self, task: str) -> str:
+        """Where the task's batches are."""
         part = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString("task_name", task)
         return f"{self.path.rstrip('/')}/{part}"
 
     def _append(self, task: str, rows: DataFrame) -> None:
-        rows.write.parquet(f"{self._folder(task)}/batch={uuid.uuid4().hex}")
+        rows.write.parquet(f"{self.folder(task)}/batch={uuid.uuid4().hex}")
 
     def batches(self, task: str) -> dict[str, int]:
         """The task's finished batches and their bytes; one that is still being written isn't among them."""
-        target, system = self._target(self._folder(task))
+        target, system = self._target(self.folder(task))
         folders = [f.getPath() for f in system.listStatus(target)] if system.exists(target) else []
         finished = [f.toString() for f in folders if system.exists(self._target(f"{f.toString()}/_SUCCESS")[0])]
         return {f: system.getContentSummary(self._target(f)[0]).getLength() for f in finished}
@@ -119,7 +120,7 @@ class Checkpoint:
 
     def clear(self, task: str | None = None) -> None:
         """Forget the items of a task, or all."""
-        self._delete(self.path if task is None else self._folder(task))
+        self._delete(self.path if task is None else self.folder(task))
 
 
 def load_checkpoint_json(spark: SparkSession, path: str) -> DataFrame:
