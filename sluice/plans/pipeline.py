@@ -14,6 +14,7 @@ from sluice.operators.quality import heuristics, large_enough, sharp
 from sluice.operators.scenes import frame_names, scene_keyframes
 from sluice.session import checkpointed
 from sluice.sources.files import image_features, read_images
+from sluice.sources.settings import Sections
 
 
 @dataclass(frozen=True)
@@ -27,6 +28,12 @@ class Cleaning:
     hamming: int | None = None
     scene_change: float | None = None
 
+    @classmethod
+    def of(cls, settings: Sections) -> Cleaning:
+        """As the settings say; what is kept is validated where they ask for it."""
+        p, v = settings.processor, settings.validator
+        return cls(validate=v.enabled and v.enable_heuristic, sharpness=p.blur_threshold, hamming=p.phash_threshold, scene_change=p.scene_threshold)
+
 
 def clean_images(features: DataFrame, how: Cleaning = Cleaning()) -> DataFrame:
     """The features with fate and the name each kept picture gets.
