@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sluice.plans import acquisition, curation, extensions, planning, scalars, sequences  # noqa: F401  they register their queries
+from sluice.plans import acquisition, curation, extensions, planning, scalars, sequences, stages  # noqa: F401  they register their queries
 from sluice.plans.registry import QUERIES, SQL, Query
 
 

@@ -199,7 +199,7 @@ def composite_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rate.select("valid", "invalid", "total", F.round("rate", 6).alias("rate"))
 
 
-_FATE = f"""
+QUERY_FATES = f"""
     d as (
       select doc_id, n_chars, quality, text, min(doc_id) over (partition by md5(text)) as first_id
       from documents left join labels using (doc_id)),
@@ -221,14 +221,14 @@ def fates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cascade(joined, checks).select("doc_id", F.coalesce("failed_check", F.lit("kept")).alias("fate"))
 
 
-@query("clean_pipeline", f"with {_FATE} select fate, count(*) as n from fates group by fate")
+@query("clean_pipeline", f"with {QUERY_FATES} select fate, count(*) as n from fates group by fate")
 def clean_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fates(spark, sf_dir).groupBy("fate").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(
     "funnel_report",
-    f"""with {_FATE}, c as (
+    f"""with {QUERY_FATES}, c as (
       select count(*) as total, count(*) filter (where fate <> 'low_res') as processed, count(*) filter (where fate = 'low_res') as removed_low_res,
         0::bigint as removed_blur, count(*) filter (where fate = 'duplicate') as removed_duplicates,
         count(*) filter (where fate = 'invalid') as removed_validation, count(*) filter (where fate = 'kept') as final from fates)
@@ -240,7 +240,7 @@ def funnel_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "combined_totals",
-    f"""with {_FATE}, c as (select count(*) as n, count(*) filter (where fate = 'kept') as kept, count(*) filter (where fate in ('low_res', 'duplicate')) as gone from fates),
+    f"""with {QUERY_FATES}, c as (select count(*) as n, count(*) filter (where fate = 'kept') as kept, count(*) filter (where fate in ('low_res', 'duplicate')) as gone from fates),
     v as (select count(distinct conv_id) as videos, count(*) as frames from conversations)
     select n + videos as total_input, kept + frames as total_output, gone as total_removed from c, v""",
 )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import json
 import os
 import uuid
@@ -118,6 +119,11 @@ class Checkpoint:
         target, system = self._target(path)
         system.delete(target, True)
 
+    def discard(self) -> None:
+        """Delete the table; a session that is gone is no error."""
+        with contextlib.suppress(Exception):
+            self.clear()
+
     def clear(self, task: str | None = None) -> None:
         """Forget the items of a task, or all."""
         self._delete(self.path if task is None else self.folder(task))
