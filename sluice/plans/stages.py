@@ -74,9 +74,9 @@ def cleaned_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
     from documents left join labels using (doc_id)""",
 )
 def validated_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.char_length("text").alias("chars")).join(table(spark, sf_dir, "labels"), "doc_id", "left")
     checks = [
-        ExpressionValidator("length", lambda: F.char_length("text") >= 200),
+        ExpressionValidator("length", lambda: F.col("chars") >= 200),
         ExpressionValidator("quality", lambda: F.col("quality") == 1, lambda: {"seen_quality": F.col("quality")}),
         ExpressionValidator("toxic", lambda: F.col("toxic") == 0),
     ]
