@@ -2,18 +2,29 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
 from math import comb
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from sluice.operators.order import ranked
-from sluice.session import checkpointed
+from sluice.session import checkpointed, ship
 
 #: Keys that one row may look up; the list of what they differ in is sent to every task.
 MAX_FLIPS = 100_000
+#: Rows of a block that is compared with another, and how many comparisons of hashes cost as much as one more row of a cell.
+BLOCK_ROWS, ROW_COST = 16_384, 1_500
+#: Hashes compared at once, pairs held before they are passed on, and comparisons of one task.
+COMPARED_AT_ONCE, HELD_PAIRS, TASK_COMPARISONS = 1 << 18, 200_000, 10_000_000_000
+#: Rows of one hash that are paired with others in one task.
+CROWD = 500
 
 
 def first_by_key(df: DataFrame, key: str, order: str, copies: str | None = None) -> DataFrame:
@@ -106,38 +117,151 @@ def _probed(base: DataFrame, plan: Probing) -> DataFrame:
     return asked.join(banded.select(F.col("id").alias("b"), F.col("h").alias("hb"), "band", "bits"), ["band", "bits"])
 
 
-def _agreeing(base: DataFrame, masks: list[int]) -> DataFrame:
-    """(a, ha, b, hb) of all that agree on one of some choices of bits; both orders."""
+def compared_masks(rows: int, threshold: int, bits: int, most: int = 4) -> tuple[float, list[int]]:
+    """(cost in comparisons, masks) of the best choice of bits whose cells are compared row by row: none, so all in one cell, or g among threshold + g bands."""
+    found = [(rows * max(1, rows / BLOCK_ROWS) * ROW_COST + rows * rows / 2, [0])]
+    for g in range(1, most + 1):
+        cuts = [bits * k // (threshold + g) for k in range(threshold + g + 1)]
+        masks = [sum(choice) for choice in combinations([(1 << hi) - (1 << lo) for lo, hi in zip(cuts, cuts[1:])], g)]
+        cells = [rows / 2 ** m.bit_count() for m in masks]
+        found.append((sum(rows * max(1, c / BLOCK_ROWS) * ROW_COST + rows * c / 2 for c in cells), sorted({_signed(m) for m in masks})))
+    return min(found, key=lambda c: c[0])
+
+
+def _hits(left: np.ndarray, right: np.ndarray, threshold: int, within: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(places on the left, on the right) of what is within a threshold, some rows after the other; of a block with itself each pair once."""
+    step = max(1, COMPARED_AT_ONCE // max(1, len(right)))
+    for start in range(0, len(left), step):
+        others = right[start:] if within else right
+        near = np.bitwise_count(left[start : start + step, None] ^ others) <= threshold
+        rows, columns = np.divmod(np.flatnonzero(near), len(others))
+        if within:
+            rows, columns = rows[columns > rows], columns[columns > rows] + start
+        if len(rows):
+            yield rows + start, columns
+
+
+def _compared(base: DataFrame, masks: list[int], threshold: int, rows: int, cost: float) -> DataFrame:
+    """(a, b, distance) of the pairs within a threshold among rows of different hashes, each pair once and in any order.
+
+    Rows that agree on a mask's bits form a cell, which one task compares by
+    their hashes alone. A cell of more than BLOCK_ROWS rows is cut into blocks,
+    and each two blocks are compared on their own. A pair that agrees on several
+    masks counts for the first of them.
+    """
+    spark = base.sparkSession
+    ship(spark)
     keys = F.transform(F.array(*(F.lit(m) for m in masks)), lambda m, k: F.struct(k.alias("band"), F.col("h").bitwiseAND(m).alias("bits")))
-    banded = base.select("id", "h", F.inline(keys))
-    left = banded.select(F.col("id").alias("a"), F.col("h").alias("ha"), "band", "bits")
-    return left.join(banded.select(F.col("id").alias("b"), F.col("h").alias("hb"), "band", "bits"), ["band", "bits"])
+    cells = base.select("id", "h", F.inline(keys)).withColumn("own", F.lit(0)).withColumn("i", F.lit(0)).withColumn("j", F.lit(0))
+    if rows > BLOCK_ROWS:
+        large = cells.groupBy("band", "bits").count().where(F.col("count") > BLOCK_ROWS).select("band", "bits", F.ceil(F.col("count") / BLOCK_ROWS).cast("int").alias("blocks"))
+        # a table of rows * masks / BLOCK_ROWS rows at most
+        own = F.pmod(F.xxhash64("h"), F.coalesce("blocks", F.lit(1))).cast("int")
+        with_own = cells.drop("own", "i", "j").join(F.broadcast(large), ["band", "bits"], "left").withColumn("own", own)
+        other = with_own.withColumn("other", F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1)))
+        cells = other.select("id", "h", "band", "bits", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    before = np.array(masks, np.int64)
+
+    def compared(part: pa.Table) -> Iterator[pa.RecordBatch]:
+        ids = part.column("id").combine_chunks()
+        h, band, own, i, j = (part.column(c).to_numpy() for c in ("h", "band", "own", "i", "j"))
+        h = h.view(np.uint64)
+        starts = np.append(_starts(part), len(h))
+        out, held = [], 0
+        for k in np.flatnonzero(np.diff(starts) > 1).tolist():
+            a, b = int(starts[k]), int(starts[k + 1])
+            within = i[a] == j[a]
+            first = second = np.arange(a, b)
+            if not within:
+                first, second = first[own[a:b] == i[a]], second[own[a:b] == j[a]]
+            for left, right in _hits(h[first], h[second], threshold, within):
+                left, right = first[left], second[right]
+                apart = h[left] ^ h[right]
+                new = ~((apart.view(np.int64)[:, None] & before[None, : band[a]]) == 0).any(1)
+                out.append((left[new], right[new]))
+                held += len(out[-1][0])
+                if held > HELD_PAIRS:
+                    yield said(ids, h, out)
+                    out, held = [], 0
+        if held:
+            yield said(ids, h, out)
+
+    def said(ids: pa.Array, h: np.ndarray, out: list) -> pa.RecordBatch:
+        left, right = (np.concatenate(x) for x in zip(*out))
+        distance = np.bitwise_count(h[left] ^ h[right]).astype(np.int32)
+        return pa.RecordBatch.from_arrays([ids.take(pa.array(left)), ids.take(pa.array(right)), pa.array(distance)], ["a", "b", "distance"])
+
+    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, enough = [], 0, 2 * BLOCK_ROWS
+        for batch in source:
+            held.append(batch)
+            size += batch.num_rows
+            if size >= enough:  # the last cell may go on
+                part = pa.Table.from_batches(held).combine_chunks()
+                cut = int(_starts(part)[-1])
+                yield from compared(part.slice(0, cut))
+                held, size = part.slice(cut).combine_chunks().to_batches(), part.num_rows - cut
+                enough = 2 * max(BLOCK_ROWS, size)
+        if size:
+            yield from compared(pa.Table.from_batches(held).combine_chunks())
+
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(cost / TASK_COMPARISONS))
+    cell = ["band", "bits", "i", "j"]
+    schema = StructType([StructField("a", base.schema["id"].dataType), StructField("b", base.schema["id"].dataType), StructField("distance", IntegerType())])
+    return cells.repartition(tasks, *cell).sortWithinPartitions(*cell).mapInArrow(run, schema)
+
+
+def _starts(part: pa.Table) -> np.ndarray:
+    """Where the cells of sorted rows begin."""
+    new = np.zeros(part.num_rows, bool)
+    new[:1] = True
+    for name in ("band", "bits", "i", "j"):
+        column = part.column(name).to_numpy()
+        new[1:] |= column[1:] != column[:-1]
+    return np.flatnonzero(new)
+
+
+def distinct_pairs(base: DataFrame, threshold: int, bits: int, probe: int | None = None) -> DataFrame:
+    """(a, b, distance), a < b, of the pairs within a threshold among rows (id, h) of different hashes, exactly and each once.
+
+    A pair within t bits agrees on g of t + g bands at least, so it meets in the
+    cell of a choice of g bands, where rows are compared one with the other: more
+    keys for each row as g grows, but smaller cells; with g = 0 all is one cell,
+    cut into blocks. And of m bands it has one in which it differs in t // m bits
+    or fewer, so it meets where each row looks up all keys that near: few wide
+    bands, many probes. What costs least by the expected number of rows and
+    comparisons is taken; ``probe`` sets m instead.
+    """
+    rows = base.count()
+    cost, masks = compared_masks(rows, threshold, bits)
+    best = best_probing(rows, threshold, bits)
+    if probe or (best and best[0] * ROW_COST < cost):
+        met = _probed(base, probing(threshold, bits, probe) if probe else best[1])
+        distance = F.bit_count(F.col("ha").bitwiseXOR(F.col("hb")))
+        return met.where((F.col("a") < F.col("b")) & (distance <= threshold)).select("a", "b", distance.cast("int").alias("distance")).distinct()
+    return _compared(base, masks, threshold, rows, cost).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "distance")
 
 
 def hamming_pairs(df: DataFrame, threshold: int, id_column: str = "id", hash_column: str = "h", bits: int = 64, probe: int | None = None) -> DataFrame:
     """(a, b, distance) of every pair a < b within a threshold, exactly.
 
-    Two ways lead to all pairs. A pair within t bits agrees on g of t + g bands
-    at least, so it meets on a choice of g bands: an equi-join with more keys
-    for each row as g grows, but longer ones, that fewer rows share by chance.
-    And of m bands it has one in which it differs in t // m bits or fewer, so it
-    meets where each row looks up all keys that near: few wide bands, many
-    probes. What makes the expected number of rows and meetings least is taken;
-    ``probe`` sets m instead. Equal hashes should be collapsed first, as
-    ``near_dup_greedy`` does.
+    Equal hashes are compared once (``distinct_pairs``); the rows of two near
+    hashes, and those of one, are then paired by joins. A hash of more than
+    CROWD rows is joined in parts.
     """
-    base = checkpointed(df.where(F.col(hash_column).isNotNull()).select(F.col(id_column).alias("id"), F.col(hash_column).cast("long").alias("h")))
-    rows = base.count()
-    cost, masks = _best_masks(rows, threshold, bits, 4)
-    best = best_probing(rows, threshold, bits)
-    if probe:
-        met = _probed(base, probing(threshold, bits, probe))
-    elif best and best[0] < cost:
-        met = _probed(base, best[1])
-    else:
-        met = _agreeing(base, masks)
-    distance = F.bit_count(F.col("ha").bitwiseXOR(F.col("hb")))
-    return met.where((F.col("a") < F.col("b")) & (distance <= threshold)).select("a", "b", distance.cast("int").alias("distance")).distinct()
+    base = checkpointed(df.where(F.col(hash_column).isNotNull()).select(F.col(id_column).alias("id"), F.col(hash_column).cast("long").alias("h")).where("id is not null").distinct())
+    sizes = checkpointed(base.groupBy("h").count())
+    near = distinct_pairs(sizes.select(F.col("h").alias("id"), "h"), threshold, bits, probe)
+    links = near.union(sizes.where("count > 1").select(F.col("h").alias("a"), F.col("h").alias("b"), F.lit(0).alias("distance")))
+    crowds = F.broadcast(sizes.where(F.col("count") > CROWD).select(F.col("h").alias("of"), F.ceil(F.col("count") / CROWD).cast("int").alias("parts")))
+    parts = F.coalesce("parts", F.lit(1))
+    left = base.select(F.col("id").alias("x"), F.col("h").alias("ha"))
+    right = base.join(crowds, F.col("h") == F.col("of"), "left").select(F.col("id").alias("y"), F.col("h").alias("hb"), F.pmod(F.xxhash64("id"), parts).cast("int").alias("part"))
+    asked = links.select(F.col("a").alias("ha"), F.col("b").alias("hb"), "distance").join(crowds, F.col("hb") == F.col("of"), "left")
+    asked = asked.select("ha", "hb", "distance", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+    met = asked.join(left, "ha").join(right, ["hb", "part"]).where("x < y or (x > y and ha <> hb)")
+    pairs = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "distance")
+    return pairs if base.select("id").distinct().count() == base.count() else pairs.distinct()
 
 
 def near_dup_greedy(df: DataFrame, threshold: int = 8, id_column: str = "id", hash_column: str = "h", bits: int = 64) -> DataFrame:

@@ -245,3 +245,32 @@ def test_similarity_with_any_number_of_prompts(spark):
     many = similarity_of_many(assets.where("id < 6").withColumn("n_keywords", F.lit(5)), few, threshold=0.02, block=2)
     assert [r["max_prob"] for r in many.orderBy("id").collect()] == pytest.approx([r["max_prob"] for r in one.orderBy("id").collect()])
     assert [r["similar"] for r in similarity_of_many(assets, few.limit(0)).orderBy("id").collect()] == [False] * 7 + [True]
+
+
+@pytest.mark.parametrize("bits, threshold, block", [(64, 18, 16), (64, 8, 10**6), (60, 8, 5), (20, 3, 7)])
+def test_pairs_by_cells_and_blocks(spark, monkeypatch, bits, threshold, block):
+    rnd = np.random.default_rng(block)
+    values = [int(v) >> 64 - bits for v in rnd.integers(0, 1 << 64, 40, dtype=np.uint64)]
+    flipped = [v ^ sum(1 << int(k) for k in set(rnd.integers(0, bits, rnd.integers(0, threshold + 3)))) for v in values for _ in range(3)]
+    hashes = [h - (1 << 64) if h >> 63 else h for h in [*values, *flipped, *values[:9], *[values[0]] * 20]]
+    rows = [(f"{i:03}", h) for i, h in enumerate(hashes)]
+    monkeypatch.setattr(dedup, "BLOCK_ROWS", block)
+    monkeypatch.setattr(dedup, "COMPARED_AT_ONCE", 50)
+    monkeypatch.setattr(dedup, "HELD_PAIRS", 10)
+    monkeypatch.setattr(dedup, "CROWD", 3)
+    apart = lambda a, b: ((a ^ b) & (1 << 64) - 1).bit_count()
+    expected = sorted((a, b, apart(x, y)) for a, x in rows for b, y in rows if a < b and apart(x, y) <= threshold)
+    for most in (0, 2):
+        monkeypatch.setattr(dedup, "compared_masks", lambda n, t, b, most=most: (1e9, [0] if not most else band_masks(10**4, t, b, most)))
+        df = spark.createDataFrame([*rows, ("x", None), rows[0]], "id string, h long")
+        assert sorted(tuple(r) for r in hamming_pairs(df, threshold, bits=bits).collect()) == expected
+        found = near_dup_greedy(spark.createDataFrame(rows, "id string, h long"), threshold, bits=bits)
+        assert {r["id"]: r["fate"] for r in found.collect()} == sequential_greedy(rows, threshold)
+
+
+def test_equal_hashes_meet_once():
+    # 6 GB of documents hold about 2.8 million hashes: cells instead of all bands of every pair
+    cost, masks = dedup.compared_masks(2_800_000, 8, 60)
+    assert len(masks) == 45 and cost < 3e11
+    # at wide radii each pair is compared once
+    assert dedup.compared_masks(600_000, 18, 64)[1] == [0]
