@@ -277,8 +277,8 @@ def near_dup_greedy(df: DataFrame, threshold: int = 8, id_column: str = "id", ha
     """
     threshold = threshold or 8
     base = df.select(F.col(id_column).alias("id"), F.col(hash_column).cast("long").alias("h"))
-    firsts = first_by_key(base.where("h is not null"), "h", "id")
-    edges = checkpointed(hamming_pairs(firsts, threshold, bits=bits).select("a", "b"))
+    firsts = checkpointed(first_by_key(base.where("h is not null"), "h", "id"))
+    edges = checkpointed(distinct_pairs(firsts.where("id is not null"), threshold, bits).select("a", "b"))
     decided = None
     while edges.limit(1).count():
         later = edges.select(F.col("b").alias("id")).distinct()
