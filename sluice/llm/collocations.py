@@ -36,6 +36,8 @@ LONGEST, MIN_COUNT, PERCENT, FIRST = 4, 30, 80, 2000
 UNKNOWN = "und"
 #: Pointers that one task holds, on average; a word is hot with a part of so many as PARTS, and there are no more hot words than HOT_WORDS.
 TASK_POINTERS, PARTS, HOT_WORDS = 2_000_000, 4, 1_000_000
+#: Bytes of pointers' words that are read at once.
+LINE_BYTES = 1 << 22
 #: Bits of the table that tells which words can't be frequent.
 BITS = 1 << 26
 
@@ -61,7 +63,7 @@ def words_in(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray, np.ndar
     opens[edges] = True
     starts = np.flatnonzero(word & np.append(True, ~word[:-1] | opens[1 : len(raw)])[: len(raw)])
     ends = np.flatnonzero(word & (np.append(~word[1:], True)[: len(raw)] | opens[1:])) + 1
-    pieces = np.cumsum(kind == _BREAK, dtype=np.int64)[starts] if len(starts) else starts
+    pieces = np.searchsorted(np.flatnonzero(kind == _BREAK), starts)
     of = np.searchsorted(edges, starts, "right") - 1
     cuts = np.append(0, np.cumsum(ends - starts)).astype("<i4")
     said = pa.StringArray.from_buffers(len(starts), pa.py_buffer(cuts.tobytes()), pa.py_buffer(_LOWER[raw[word]].tobytes()))
@@ -187,24 +189,41 @@ def packed(words: np.ndarray, least: np.ndarray, times: np.ndarray, bucket: np.n
 
 
 def unpacked(batches: list[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str], list[str], np.ndarray]:
-    """(words by row, least, times, words, languages, language by row) of rows that ``packed`` made."""
+    """(words by row, least, times, words, languages, language by row) of rows that ``packed`` made. Their lines are read LINE_BYTES at a time."""
     codec = pa.Codec(_CODEC[0])
     whole = pa.Table.from_batches(batches)
-    least, times, lines = [], [], []
-    for rows, size, blob in zip(whole.column("rows").to_pylist(), whole.column("size").to_pylist(), whole.column("packed")):
+    sizes = whole.column("rows").to_pylist()
+    least, times, tables, lines, held = [], [], [], [], 0
+    known: dict[str, int] = {}
+
+    def read() -> np.ndarray:
+        codes, words, _, more = words_in(pa.array(lines, pa.string()))
+        own = np.fromiter((known.setdefault(w, len(known)) for w in words.to_pylist()), np.int32, len(words))
+        begins = np.append(True, ~more[:-1])
+        row, firsts = np.cumsum(begins) - 1, np.flatnonzero(begins)
+        place = np.arange(len(codes)) - firsts[row]
+        table = np.full((len(firsts), int(place.max()) + 1), -1, np.int32)
+        table[row, place] = own[codes]
+        return table
+
+    for rows, size, blob in zip(sizes, whole.column("size").to_pylist(), whole.column("packed")):
         raw = codec.decompress(blob.as_buffer(), size, asbytes=True)
-        least.append(np.frombuffer(raw, "<i1", rows))
-        times.append(np.frombuffer(raw, "<i8", rows, rows))
+        least.append(np.frombuffer(raw[:rows], "<i1"))
+        times.append(np.frombuffer(raw[rows : 9 * rows], "<i8"))
         lines.append(raw[9 * rows :])
-    counts = np.array(whole.column("rows").to_pylist())
+        held += len(lines[-1])
+        if held > LINE_BYTES:
+            tables.append(read())
+            lines, held = [], 0
+    if lines:
+        tables.append(read())
+    table = np.full((sum(map(len, tables)), max(t.shape[1] for t in tables)), -1, np.int32)
+    at = 0
+    for t in tables:
+        table[at : at + len(t), : t.shape[1]] = t
+        at += len(t)
     langs = whole.column("lang").combine_chunks().dictionary_encode()
-    codes, words, _, more = words_in(pa.array(lines, pa.string()))
-    row = np.cumsum(np.append(0, ~more[:-1]))
-    firsts = np.flatnonzero(np.append(True, ~more[:-1]))
-    place = np.arange(len(codes)) - firsts[row]
-    table = np.full((len(firsts), int(place.max()) + 1), -1, np.int64)
-    table[row, place] = codes
-    return table, np.concatenate(least), np.concatenate(times), words.to_pylist(), langs.dictionary.to_pylist(), np.repeat(langs.indices.to_numpy(), counts)
+    return table, np.concatenate(least), np.concatenate(times), list(known), langs.dictionary.to_pylist(), np.repeat(langs.indices.to_numpy(), np.array(sizes))
 
 
 def _runs(keys: np.ndarray) -> tuple[np.ndarray, list[int]]:

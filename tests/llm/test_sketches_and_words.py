@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from sluice.llm import collocations, fingerprints, spelling
@@ -220,3 +221,24 @@ def test_queries_equal_their_sql(spark, name):
     found = registry.queries()[name](spark, folder)
     columns = expected.columns
     assert sorted(map(str, expected.fetchall())) == sorted(str(tuple(r)) for r in found.select(*columns).collect())
+
+
+def test_pointers_are_read_piecewise(monkeypatch):
+    import tracemalloc
+
+    monkeypatch.setattr(collocations, "LINE_BYTES", 1 << 16, raising=False)
+    said = pa.array([f"word{k:05}" for k in range(5000)])
+    rnd = np.random.default_rng(1)
+    batches, sent = [], []
+    for _ in range(50):
+        words = rnd.integers(0, 5000, (4000, 4))
+        words[np.arange(4) >= rnd.integers(2, 5, 4000)[:, None]] = -1
+        out = collocations.packed(words, np.full(4000, 2), rnd.integers(1, 9, 4000), np.zeros(4000, np.int64), np.zeros(5000, np.int64), said)
+        batches.append(pa.RecordBatch.from_pydict({"lang": ["en"] * len(out["rows"]), "rows": out["rows"], "size": out["size"], "packed": out["packed"]}))
+        sent += [[said[k].as_py() for k in row if k >= 0] for row in words[:20].tolist()]
+    tracemalloc.start()
+    table, _, times, names, *_ = collocations.unpacked(batches)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(table) == len(times) == 200_000 and peak < 200 * len(table)
+    assert [[names[k] for k in row if k >= 0] for at in range(0, 200_000, 4000) for row in table[at : at + 20].tolist()] == sent
